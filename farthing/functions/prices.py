@@ -19,8 +19,36 @@ def positive(price: Column, finite: bool = False) -> Column:
 
 
 def half_even(value: Column, digits: int) -> Column:
-    """Round half to even, as the capture-side rounding does."""
-    return F.bround(value, digits)
+    """Round to ``digits`` decimals, exact ties of the binary value to even.
+
+    ``bround`` decides on the shortest decimal text of a double, so 2.675
+    (which is a little less than that) would round up. Here the product with
+    the power of ten is split into its rounded value and its exact error
+    (Dekker's product); only an exact half without error is a tie.
+    """
+    x = value.cast("double")
+    if digits == 0:
+        return F.rint(x)
+    scale = 10.0**digits
+    product = x * scale
+
+    def split(v):
+        big = v * 134217729.0
+        high = big - (big - v)
+        return high, v - high
+
+    high, low = split(x)
+    big = scale * 134217729.0
+    scale_high = big - (big - scale)
+    scale_low = scale - scale_high
+    error = ((high * scale_high - product) + high * scale_low + low * scale_high) + low * scale_low
+    half = product - F.floor(product) == 0.5
+    nearest = (
+        F.when(half & (error > 0), F.floor(product) + 1)
+        .when(half & (error < 0), F.floor(product))
+        .otherwise(F.rint(product))
+    )
+    return nearest.cast("double") / scale
 
 
 def unit_price(total: Column, count: Column, digits: int = 4) -> Column:

@@ -7,30 +7,70 @@ row ever reaches Python.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from itertools import groupby
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Spec = tuple[str, str]  # ("sub" | "re", pattern)
 
 
-def spec_hit(text: Column, specs: Sequence[Spec]) -> Column:
-    """True when any spec of the set occurs in ``text``.
+def required_literal(pattern: str) -> str:
+    """Longest literal every match of the regex must contain, or ''.
 
-    Substrings stay substring searches; the regexes become one alternation.
+    Groups, classes, escapes and optional characters are taken out; what is
+    left between them is literal. A top-level alternative has none.
+    """
+    bare = re.sub(r"\\[.]", "\0", pattern)  # an escaped dot, kept apart
+    bare = re.sub(r"\\.(?:[*+?]|\{[^}]*\})?", "\n", bare)
+    bare = re.sub(r"\[[^\]]*\](?:[*+?]|\{[^}]*\})?", "\n", bare)
+    while "(" in bare:
+        shrunk = re.sub(r"\([^()]*\)(?:[*+?]|\{[^}]*\})?", "\n", bare)
+        if shrunk == bare:
+            return ""
+        bare = shrunk
+    if "|" in bare:
+        return ""
+    bare = re.sub(r".(?:[*?]|\{[^}]*\})", "\n", bare)
+    runs = re.split(r"[\n+.^$]", bare)
+    return max((r.replace("\0", ".") for r in runs), key=len)
+
+
+def regex_hit(text: Column, pattern: str) -> Column:
+    """Regex test behind a substring test for the literal it needs.
+
+    The substring test is many times cheaper, so a long cascade runs few
+    regexes per row.
     """
+    test = text.rlike("(?U)" + pattern)
+    literal = required_literal(pattern)
+    return text.contains(literal) & test if literal else test
+
+
+def spec_hit(text: Column, specs: Sequence[Spec]) -> Column:
+    """True when any spec of the set occurs in ``text``."""
     tests = [text.contains(p) for kind, p in specs if kind == "sub"]
-    regexes = [p for kind, p in specs if kind == "re"]
-    if regexes:
-        tests.append(text.rlike("(?U)" + "|".join(f"(?:{p})" for p in regexes)))
+    tests += [regex_hit(text, p) for kind, p in specs if kind == "re"]
     hit = tests[0]
     for test in tests[1:]:
         hit = hit | test
     return hit
 
 
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add expensive columns that are computed exactly once per row.
+
+    A later filter on a plain projected column is pushed below it by copying
+    its expression; for a cascade of a hundred tests that multiplies both
+    planning and run time. A one-row generator is not copied.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    one = F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))
+    return df.select(*[F.col(f"`{c}`") for c in rest], F.inline(one))
+
+
 def cascade(text: Column, rules: Iterable[tuple[str, Sequence[Spec]]]) -> Column:
     """Value of the first rule with a hit, NULL when none hits.
 

@@ -18,7 +18,7 @@ from farthing.rulebook import brands, packs, types
 
 def enrich_category(df: DataFrame, title: str = "title", out: str = "caliber_normalized", table=None) -> DataFrame:
     staged = df.withColumn("_low", F.lower(F.col(title)))
-    return staged.withColumn(out, text.category_of(F.col("_low"), table)).drop("_low")
+    return rules.settle(staged, {out: text.category_of(F.col("_low"), table)}).drop("_low")
 
 
 def enrich_brand(
@@ -37,7 +37,7 @@ def enrich_brand(
         ]
     if default is not None:
         options.append(F.lit(default))
-    return staged.withColumn(out, F.coalesce(*options)).drop("_title_text", "_url_text")
+    return rules.settle(staged, {out: F.coalesce(*options)}).drop("_title_text", "_url_text")
 
 
 def enrich_type(
@@ -49,7 +49,7 @@ def enrich_type(
     if url is not None:
         staged = staged.withColumn("_url_type", text.type_text(F.col(url)))
         found = F.coalesce(found, text.type_of(F.col("_url_type"), table))
-    return staged.withColumn(out, found).drop("_type_text", "_url_type")
+    return rules.settle(staged, {out: found}).drop("_type_text", "_url_type")
 
 
 def enrich_listing(df: DataFrame, title: str = "title", url: str = "product_url", body: str | None = None) -> DataFrame:
@@ -114,7 +114,7 @@ def type_with_overrides(df: DataFrame, overrides: Sequence[tuple[str, str]], tit
     """Source-specific phrases first, then the shared cascade."""
     early = rules.ordered_words(F.upper(text.filled(F.col(title))), overrides)
     staged = df.withColumn("_type_text", text.type_text(F.col(title)))
-    return staged.withColumn(out, F.coalesce(early, text.type_of(F.col("_type_text")))).drop("_type_text")
+    return rules.settle(staged, {out: F.coalesce(early, text.type_of(F.col("_type_text")))}).drop("_type_text")
 
 
 def slug_text(title: Column, url: Column) -> Column:
@@ -151,10 +151,9 @@ def fill_null_only(
         .withColumn("_rest", text.type_text(F.regexp_replace(F.col(url), ambiguous, " ")))
         .withColumn("_ambiguous", F.coalesce(F.col(url).rlike(ambiguous), F.lit(False)))
     )
-    staged = staged.withColumn("_by_full", text.type_of(F.col("_full"), table))
-    staged = staged.withColumn(
-        "_by_rest", F.when(F.col("_ambiguous"), text.type_of(F.col("_rest"), table)).otherwise(F.col("_by_full"))
-    )
+    staged = rules.settle(staged, {"_by_full": text.type_of(F.col("_full"), table)})
+    by_rest = F.when(F.col("_ambiguous"), text.type_of(F.col("_rest"), table)).otherwise(F.col("_by_full"))
+    staged = rules.settle(staged, {"_by_rest": by_rest})
     outcome = (
         F.when(F.col(column).isNotNull(), "kept")
         .when(F.col("retailer_id").isin(list(skip_retailers)), "excluded_source")
@@ -173,9 +172,8 @@ def fill_component_types(df: DataFrame, name: str = "product_name") -> DataFrame
     staged = df.where((F.col("category") == "bullet") & F.col("bullet_type").isNull()).withColumn(
         "_type_text", text.type_text(F.col(name))
     )
-    return staged.withColumn("bullet_type", text.type_of(F.col("_type_text"))).drop("_type_text").where(
-        F.col("bullet_type").isNotNull()
-    )
+    named = rules.settle(staged, {"bullet_type": text.type_of(F.col("_type_text"))})
+    return named.drop("_type_text").where(F.col("bullet_type").isNotNull())
 
 
 def fill_brands(df: DataFrame) -> DataFrame:

@@ -44,6 +44,11 @@ def floors(spark: SparkSession, data=FLOORS) -> DataFrame:
     return rows(spark, data, "category string, floor double")
 
 
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """Dates as ISO text, which every engine prints alike."""
+    return df.select(*[F.col(n).cast("string") if t == "date" else F.col(n) for n, t in df.dtypes])
+
+
 def catalog(spark: SparkSession, d: str) -> DataFrame:
     return pool.capped_catalog(view(spark, d, "v_listings"), mult=3.0)
 
@@ -156,7 +161,7 @@ def active_window(spark, d):
         F.date_add(F.to_date("o_orderdate"), 10).alias("submit_by"),
         F.expr("o_orderdate - INTERVAL '100' DAY").alias("last_seen_active_at"),
     )
-    return pool.active_window(offers, clock.instant("1998-06-01 12:00:00"), 24 * 30)
+    return _dates_as_text(pool.active_window(offers, clock.instant("1998-06-01 12:00:00"), 24 * 30))
 
 
 @query
@@ -624,7 +629,7 @@ def right_closed_bins(spark, d):
 def day_numbers(spark, d):
     day = clock.day_number(F.col("recorded_at"))
     return view(spark, d, "v_history").groupBy(day.alias("day_no")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("day", clock.day_date(F.col("day_no")))
+        F.count(F.lit(1)).alias("n")).withColumn("day", clock.day_date(F.col("day_no")).cast("string"))
 
 
 @query
@@ -651,10 +656,10 @@ def bucket_floor_one(spark, d):
 
 
 def _daily(spark, d, **kwargs):
-    return series.daily_floor_series(
+    return _dates_as_text(series.daily_floor_series(
         view(spark, d, "v_obs"), catalog(spark, d), "PROMO", "2024-01-05 06:00:00", 1.0, 60.0, "2024-01-29 05:00:00",
         price_mult=1.08, **kwargs,
-    )
+    ))
 
 
 @query
@@ -997,7 +1002,8 @@ def field_first(spark, d):
 
 @query
 def price_from_text(spark, d):
-    price = F.format_string("%.2f", F.col("l_extendedprice") / 1000)
+    hundredths = F.floor(F.col("l_extendedprice") / 10)
+    price = F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."), F.lpad((hundredths % 100).cast("string"), 2, "0"))
     unit = F.format_string("%.2f", F.col("l_tax"))
     blob = F.concat(F.lit("Was $"), price, F.lit(" Now $"), F.format_string("%.2f", F.col("l_quantity")), F.lit(" ($"), unit, F.lit(" per)"))
     apart = F.concat(F.lit("$"), F.col("l_quantity").cast("int").cast("string"), F.lit(" "), F.lpad(F.col("l_linenumber").cast("string"), 2, "0"))
@@ -1100,7 +1106,7 @@ def _product_pages(spark, d):
     body = F.to_json(F.struct(
         F.lit("Product").alias("@type"), F.col("p_name").alias("name"),
         F.struct(
-            F.lit("Offer").alias("@type"), F.format_string("%,.2f", F.col("p_retailprice") * 2).alias("price"),
+            F.lit("Offer").alias("@type"), F.format_number(F.floor(F.col("p_retailprice") * 2), 0).alias("price"),
             F.when(F.col("p_partkey") % 5 == 0, F.lit("https://schema.org/OutOfStock"))
             .when(F.col("p_partkey") % 5 == 1, F.lit("PreOrder")).otherwise(F.lit("InStock")).alias("availability"),
         ).alias("offers")))
