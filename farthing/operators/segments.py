@@ -92,10 +92,10 @@ def segment_trimmed_mean(
 ) -> DataFrame:
     """Mean of the prices within [median / mult, median * mult]."""
     seen = observations(history, listings, since, condition, False, segment)
-    middle = interpolated_median(seen.select(*segment, "ppr"), segment, "ppr")
-    # Pre-aggregated by distinct price: the join back to the median then moves
-    # prices instead of observations and no segment is a single hot partition.
+    # Counted by distinct price once: the median and the mean both read this
+    # one shuffle, which spreads a hot segment by its prices.
     counted = seen.groupBy(*segment, "ppr").agg(F.count(F.lit(1)).alias("_times"))
+    middle = interpolated_median(counted, segment, "ppr", weight="_times").drop("n")
     joined = counted.join(middle, list(segment))
     inside = F.col("ppr").between(F.col("median") / mult, F.col("median") * mult)
     return joined.groupBy(*segment, "median").agg(

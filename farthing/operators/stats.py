@@ -14,27 +14,32 @@ CELLS_PER_DOUBLING = 256
 
 
 def order_values(
-    df: DataFrame, by: Sequence[str], value: str, positions: dict[str, Column], size: str = "n"
+    df: DataFrame, by: Sequence[str], value: str, positions: dict[str, Column], size: str = "n",
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact values at 0-based positions of the ascending sort, per group.
 
     ``positions`` maps an output name to an expression over the group's row
-    count ``n``. Values must be positive.
+    count ``n``. Values must be positive. ``weight`` names a multiplicity
+    column when the input is already counted by (group, value).
 
-    No group is ever sorted whole. A first pass counts rows per logarithmic
-    cell (a monotone function of the value, so a few thousand cells per
-    group); the cells that hold the wanted positions are found by a running
-    count; only the rows of those cells are counted by distinct value and
-    scanned.
+    No group is ever sorted whole. Rows are first counted by (group, value),
+    a shuffle that spreads a hot group by its values and that both later steps
+    reuse. Counts per logarithmic cell (a monotone function of the value, so
+    a few thousand cells per group) then show which cells hold the wanted
+    positions, and only the values of those cells are scanned in order.
     """
     by = list(by)
-    cell = F.floor(F.log2(F.col(value)) * CELLS_PER_DOUBLING).cast("int")
-    cells = df.withColumn("_cell", cell)
+    if weight is None:
+        counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_same"))
+    else:
+        counted = df.select(*by, value, F.col(weight).alias("_same"))
+    cells = counted.withColumn("_cell", F.floor(F.log2(F.col(value)) * CELLS_PER_DOUBLING).cast("int"))
     along = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     histogram = (
         cells.groupBy(*by, "_cell")
-        .agg(F.count(F.lit(1)).alias("_here"))
+        .agg(F.sum("_same").alias("_here"))
         .withColumn("_before", F.coalesce(F.sum("_here").over(along), F.lit(0)))
         .withColumn(size, F.sum("_here").over(whole))
     )
@@ -43,17 +48,13 @@ def order_values(
     holds = F.lit(False)
     for name in positions:
         holds = holds | ((F.col(name) >= F.col("_before")) & (F.col(name) < F.col("_before") + F.col("_here")))
-    wanted = histogram.where(holds).drop("_here")
-    keys = [F.col(f"_w_{k}").eqNullSafe(F.col(k)) for k in by] + [F.col("_w__cell") == F.col("_cell")]
-    wanted = wanted.select(
-        *[F.col(k).alias(f"_w_{k}") for k in [*by, "_cell"]], "_before", size, *list(positions)
+    wanted = histogram.where(holds).select(
+        *[F.col(k).alias(f"_w_{k}") for k in [*by, "_cell"]], "_before", size, *positions
     )
+    keys = [F.col(f"_w_{k}").eqNullSafe(F.col(k)) for k in by] + [F.col("_w__cell") == F.col("_cell")]
     inner = Window.partitionBy(*by, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    exact = (
-        cells.join(wanted, keys, "inner")
-        .groupBy(*by, "_cell", "_before", size, *positions, value)
-        .agg(F.count(F.lit(1)).alias("_same"))
-        .withColumn("_start", F.col("_before") + F.coalesce(F.sum("_same").over(inner), F.lit(0)))
+    exact = cells.join(wanted, keys, "inner").withColumn(
+        "_start", F.col("_before") + F.coalesce(F.sum("_same").over(inner), F.lit(0))
     )
     picks = [
         F.max(F.when((F.col(p) >= F.col("_start")) & (F.col(p) < F.col("_start") + F.col("_same")), F.col(value)))
@@ -68,10 +69,12 @@ def upper_median(df: DataFrame, by: Sequence[str], value: str, name: str = "medi
     return order_values(df, by, value, {name: F.floor(F.col("n") / 2)})
 
 
-def interpolated_median(df: DataFrame, by: Sequence[str], value: str, name: str = "median") -> DataFrame:
+def interpolated_median(
+    df: DataFrame, by: Sequence[str], value: str, name: str = "median", weight: str | None = None
+) -> DataFrame:
     """Mean of the two middle elements (one element when the count is odd)."""
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    both = order_values(df, by, value, {"_low": low, "_high": high})
+    both = order_values(df, by, value, {"_low": low, "_high": high}, weight=weight)
     middle = F.col("_low") + (F.col("_high") - F.col("_low")) * F.when(F.col("n") % 2 == 0, 0.5).otherwise(0.0)
     return both.select(*by, "n", middle.alias(name))
 

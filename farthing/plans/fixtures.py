@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from farthing.session import pin_utc
+from farthing.sources.tables import spread_small
 
 
 def pick(expression: str, words: list[str]) -> str:
@@ -139,14 +140,21 @@ SOURCES = {"v_listings": "part", "v_obs": "events", "v_steps": "events", "v_hist
            "v_eligible": "part", "v_spec": "part"}
 
 
+# Columns of the views whose rows feed long rule cascades.
+TEXT_VIEWS = {"v_titles": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    frame = pin_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spread_small(frame) if name in ("documents", "pages") else frame
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A derived view as a DataFrame over the folder's tables."""
     source = SOURCES[name]
     frame = table(spark, folder, source)
+    if name in TEXT_VIEWS:
+        frame = spread_small(frame.select(*TEXT_VIEWS[name]))
     return spark.sql(VIEWS[name].format(TS="TIMESTAMP_NTZ").replace(f"FROM {source}", "FROM {base}"), base=frame)
 
 

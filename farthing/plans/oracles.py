@@ -338,7 +338,7 @@ check("coverage_counters", """SELECT retailer_id, count(*) AS total, count(*) FI
    count(*) FILTER (WHERE bullet_type IS NULL AND id % 2 = 0 AND in_stock) AS derivable_in_stock,
    round(count(*) FILTER (WHERE bullet_type IS NULL AND in_stock) * 100.0 / count(*) FILTER (WHERE in_stock), 6) AS null_pct_in_stock FROM v_listings GROUP BY 1""")
 check("value_distribution", "SELECT bullet_type, count(*) AS total, count(*) FILTER (WHERE in_stock) AS in_stock_count FROM v_listings GROUP BY 1")
-CHANGED = f"""parsed AS (SELECT retailer_id, old_value, {brand_of('bt')} AS new_value FROM (
+CHANGED = f"""parsed AS MATERIALIZED (SELECT retailer_id, old_value, {brand_of('bt')} AS new_value FROM (
    SELECT retailer_id, upper(left(split_part(title, ' ', 1), 1)) || lower(substr(split_part(title, ' ', 1), 2)) AS old_value, {BRAND_TEXT.format(c='product_url')} AS bt FROM v_titles)),
   changed AS (SELECT * FROM parsed WHERE new_value IS NOT NULL AND new_value IS DISTINCT FROM old_value)"""
 check("transition_matrix", "SELECT old_value, new_value, count(*) AS rows FROM changed GROUP BY 1, 2", CHANGED)
@@ -390,11 +390,11 @@ check("day_numbers", """SELECT CAST(floor(epoch(recorded_at) / 86400) AS INT) AS
 check("latest_per_key", """SELECT listing_id, in_stock, id, price_per_round FROM (SELECT *, row_number() OVER (PARTITION BY listing_id, in_stock ORDER BY recorded_at DESC, id DESC) AS rn FROM v_obs) WHERE rn = 1""")
 
 
-def bucket_series(end: str, hours: int, pool: str, min_pool: int) -> str:
+def bucket_series(end: str, hours: int, pool: str, min_pool: int, share: float) -> str:
     start = f"TIMESTAMP '{end}' - INTERVAL 30 DAY"
     floor = f"time_bucket(INTERVAL {hours} HOUR, recorded_at, {start})"
     return f"""pool AS (SELECT id, caliber_normalized AS cal FROM v_listings WHERE in_stock {pool}),
-  sizes AS (SELECT cal, count(*) AS n, greatest(3, ceil(count(*) * 0.25)) AS need FROM pool GROUP BY 1),
+  sizes AS (SELECT cal, count(*) AS n, greatest(3, ceil(count(*) * {share})) AS need FROM pool GROUP BY 1),
   binned AS (SELECT p.cal, o.listing_id, o.price_per_round AS v, o.recorded_at, o.id, CASE WHEN {floor} = recorded_at THEN recorded_at ELSE {floor} + INTERVAL {hours} HOUR END AS bkt
     FROM v_obs o JOIN pool p ON p.id = o.listing_id WHERE recorded_at > {start} - INTERVAL {hours} HOUR AND recorded_at <= TIMESTAMP '{end}' AND price_per_round >= 2.0),
   latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cal, listing_id, bkt ORDER BY recorded_at DESC, id DESC) AS rn FROM binned) WHERE rn = 1),
@@ -405,9 +405,9 @@ def bucket_series(end: str, hours: int, pool: str, min_pool: int) -> str:
   series AS (SELECT cal AS caliber_normalized, b AS day_bucket, ff AS floor_cpr, alive AS alive_count, n AS pool_size FROM filled WHERE ff IS NOT NULL AND n >= {min_pool})"""
 
 
-check("bucket_floor_locf", "SELECT * FROM series", bucket_series(q.AS_OF, 6, "", 3))
+check("bucket_floor_locf", "SELECT * FROM series", bucket_series(q.AS_OF, 6, "", 3, 0.02))
 check("bucket_floor_one", "SELECT * FROM series", bucket_series(
-    "2024-01-29 13:00:00", 12, "AND condition_type = 'New' AND caliber_normalized = 'PROMO' AND id NOT IN (1, 5, 6, 9)", 1))
+    "2024-01-29 13:00:00", 12, "AND condition_type = 'New' AND caliber_normalized = 'PROMO' AND id NOT IN (1, 5, 6, 9)", 1, 0.03))
 
 
 def daily(split: str, where: str = "TRUE", until: str = "TRUE") -> str:
@@ -467,8 +467,8 @@ check("top_per_group", """SELECT * FROM (SELECT retailer_id, caliber_normalized,
    CAST(row_number() OVER (PARTITION BY retailer_id ORDER BY count(*) DESC, caliber_normalized) AS INT) AS rank FROM v_listings GROUP BY 1, 2) WHERE rank <= 3""")
 check("union_processed", """SELECT id, price_per_round, NULL AS category FROM v_listings WHERE id % 4 = 0
    UNION ALL SELECT id, NULL, 'excluded' FROM v_listings WHERE id % 4 = 1""")
-check("set_difference", """SELECT listing_id, 'left' AS side FROM (SELECT listing_id FROM v_obs WHERE price_per_round > 20 EXCEPT SELECT listing_id FROM v_obs WHERE NOT in_stock)
-   UNION ALL SELECT listing_id, 'right' FROM (SELECT listing_id FROM v_obs WHERE NOT in_stock EXCEPT SELECT listing_id FROM v_obs WHERE price_per_round > 20)""")
+check("set_difference", """SELECT listing_id, 'left' AS side FROM (SELECT listing_id FROM v_obs WHERE price_per_round > 150 EXCEPT SELECT listing_id FROM v_obs WHERE price_per_round < 0.5)
+   UNION ALL SELECT listing_id, 'right' FROM (SELECT listing_id FROM v_obs WHERE price_per_round < 0.5 EXCEPT SELECT listing_id FROM v_obs WHERE price_per_round > 150)""")
 check("additive_diff", """SELECT id, before, after, CASE WHEN before IS NOT NULL THEN 'flip' WHEN after IN ('red', 'blue', 'new', 'old') THEN 'pickup' ELSE 'unexpected' END AS outcome
    FROM (SELECT id, CASE WHEN id % 3 <> 0 THEN bullet_type END AS before, CASE WHEN id % 50 = 1 THEN 'zzz' ELSE bullet_type END AS after FROM v_listings) WHERE before IS DISTINCT FROM after""")
 check("table_compare", """SELECT coalesce(a.id, b.id) AS id, a.manufacturer AS left_value, b.m AS right_value,

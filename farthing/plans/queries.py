@@ -642,7 +642,7 @@ def latest_per_key(spark, d):
 def bucket_floor_locf(spark, d):
     return series.bucket_floor_series(
         view(spark, d, "v_obs"), view(spark, d, "v_listings"), AS_OF, condition=None, series=("caliber_normalized",),
-        min_pool=3, price_floor=2.0,
+        min_pool=3, price_floor=2.0, min_alive_fraction=0.02,
     )
 
 
@@ -651,6 +651,7 @@ def bucket_floor_one(spark, d):
     return series.bucket_floor_series(
         view(spark, d, "v_obs"), view(spark, d, "v_listings"), "2024-01-29 13:45:10", series=("caliber_normalized",),
         keep={"caliber_normalized": "PROMO"}, min_pool=1, price_floor=2.0, bucket_hours=12, fresh_hours=12,
+        min_alive_fraction=0.03,
         exclude_ids=[1, 5, 6, 9],
     )
 
@@ -752,8 +753,8 @@ def union_processed(spark, d):
 
 @query
 def set_difference(spark, d):
-    a = view(spark, d, "v_obs").where(F.col("price_per_round") > 20).select("listing_id")
-    b = view(spark, d, "v_obs").where(~F.col("in_stock")).select("listing_id")
+    a = view(spark, d, "v_obs").where(F.col("price_per_round") > 150).select("listing_id")
+    b = view(spark, d, "v_obs").where(F.col("price_per_round") < 0.5).select("listing_id")
     return audit.set_difference(a, b)
 
 
