@@ -61,9 +61,10 @@ def derived_count(total: Column, unit: Column, minimum: int = 1) -> Column:
     ``minimum`` 1 lifts a zero result to one; a higher minimum rejects smaller
     results instead (a card that shows only its unit price is not a pack).
     """
-    raw = half_even(F.try_divide(total.cast("double"), unit.cast("double")), 0).cast("bigint")
+    shown = F.when(unit.cast("double") > 0, unit.cast("double"))
+    raw = half_even(total.cast("double") / shown, 0).cast("bigint")
     if minimum <= 1:
-        return F.greatest(F.lit(1), raw)
+        return F.when(raw < 1, F.lit(1)).otherwise(raw)
     return F.when(raw >= minimum, raw)
 
 

@@ -205,10 +205,10 @@ check("price_gate", f"""SELECT caliber_normalized, CASE WHEN p IS NULL THEN 'nul
   FROM (SELECT g.*, price_per_round AS p, coalesce(blo, 0.15) AS lo, coalesce(bhi, 3.0) AS hi FROM v_gate g
         LEFT JOIN {CAPTURE} b ON b.cat = g.caliber_normalized) GROUP BY 1, 2, 3, 4""")
 COUNTS = """counted AS (SELECT base_price, display_ppr,
-   coalesce(total_rounds, greatest(1, CAST(round_even(base_price / display_ppr, 0) AS BIGINT))) AS one,
+   coalesce(total_rounds, CASE WHEN display_ppr > 0 THEN greatest(1, CAST(round_even(base_price / display_ppr, 0) AS BIGINT)) END) AS one,
    coalesce(total_rounds, CASE WHEN round_even(base_price / display_ppr, 0) >= 2 THEN CAST(round_even(base_price / display_ppr, 0) AS BIGINT) END) AS two
    FROM v_gate)"""
-check("derive_unit_price", """SELECT CASE WHEN display_ppr IS NULL AND one IS NULL THEN NULL ELSE one END AS total_rounds, count(*) AS n,
+check("derive_unit_price", """SELECT one AS total_rounds, count(*) AS n,
    min(round_even(base_price / one, 4)) AS lowest, max(round_even(base_price / one, 4)) AS highest FROM counted GROUP BY 1""", COUNTS)
 check("derive_minimum_two", """SELECT two AS total_rounds, count(*) AS n,
    min(coalesce(display_ppr, round_even(base_price / two, 4))) AS lowest,
