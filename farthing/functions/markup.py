@@ -122,6 +122,16 @@ def list_spec(html: Column, label: str) -> Column:
     return text.truthy(inner_text(F.regexp_extract(html, rf"(?is)<li[^>]*>\s*(?:<[^>]+>\s*)*{label}\s*:\s*(.*?)</li>", 1)))
 
 
+def chunks(html: Column, marker: str) -> Column:
+    """Pieces that start at the marker regex; what precedes the first is dropped.
+
+    A leading space keeps an opening marker from being the split's start,
+    which would swallow the empty piece before it.
+    """
+    pieces = F.split(F.concat(F.lit(" "), html), f"(?i)(?={marker})")
+    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+
 # -- embedded JSON -------------------------------------------------------------
 
 JSONLD = r"(?is)<script[^>]*type=['\"]application/ld\+json['\"][^>]*>(.*?)</script>"

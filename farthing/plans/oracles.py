@@ -707,6 +707,29 @@ check("page_verdict", f"""SELECT retailer_id, category, CASE WHEN stage = 'empty
          GROUP BY 1, 2, 3))))""")
 check("number_near_keyword", """SELECT doc_id, doc_id % 3 <> 0 AS near FROM documents""")
 
+check("ballistics_facts", """SELECT p_partkey AS page_id, 'S' || p_partkey AS external_id,
+   CASE k WHEN 0 THEN 'Line ' || p_type WHEN 1 THEN p_type END AS product_line,
+   CASE k WHEN 0 THEN '9mm' WHEN 1 THEN '10mm' WHEN 2 THEN '45acp' WHEN 3 THEN '380acp' ELSE '9mm' END AS caliber_normalized, p_size AS grain,
+   CASE k WHEN 0 THEN 'FMJ' WHEN 1 THEN 'FMJ' WHEN 2 THEN 'JHP' WHEN 3 THEN 'JHP' ELSE 'TMJ' END AS bullet_type,
+   CAST(p_size * 10 + 700 AS INT) AS muzzle_velocity_fps, CAST(p_size + 300 AS INT) AS muzzle_energy_ftlb FROM (SELECT *, p_partkey % 5 AS k FROM part)""")
+check("tile_facts", """SELECT CAST(floor(p_partkey / 10) AS BIGINT) AS page_id, 'Q' || p_partkey AS sku, p_type AS product_line, CASE p_partkey % 3 WHEN 0 THEN '9mm' ELSE '10mm' END AS caliber_normalized,
+   p_size AS grain, 'SP' AS bullet_type, CAST(p_size + 900 AS INT) AS muzzle_velocity_fps FROM part WHERE p_partkey % 3 <> 1 AND p_size % 7 <> 0""")
+check("rebate_facts", """SELECT 'R10' || lpad(CAST(rebate_id AS VARCHAR), 3, '0') AS external_id, 'Offer ' || lpad(CAST(rebate_id AS VARCHAR), 3, '0') AS title,
+   'https://r.example.com#R10' || lpad(CAST(rebate_id AS VARCHAR), 3, '0') AS detail_url, rebate_id AS min_qty_required, 75.0 AS amount_max_total, '2026-03-01' AS valid_from,
+   '2026-05-' || lpad(CAST(rebate_id % 28 + 1 AS VARCHAR), 2, '0') AS valid_through, '2026-06-30' AS submit_by, min(length(product_line) + 0.5) AS amount_min_per_unit,
+   max(length(product_line) + 0.5) AS amount_max_per_unit FROM v_eligible GROUP BY rebate_id""")
+check("rebate_lines", """SELECT 'R10' || lpad(CAST(rebate_id AS VARCHAR), 3, '0') AS external_id, product_line, length(product_line) + 0.5 AS amount_override FROM v_eligible""")
+check("component_rows", """SELECT p_partkey AS page_id, CASE WHEN p_partkey % 2 = 0 THEN 'powder' ELSE 'bullet' END AS category, 'G' || p_partkey AS parent_sku, v || p_partkey AS variant_sku,
+   p_name || ' ' || p_size || ' Grain' AS product_name, p_brand AS brand, CASE WHEN v = 'A' THEN CASE WHEN p_partkey % 2 = 0 THEN 0.5 ELSE 4.0 END ELSE p_size * 10.0 END AS package_size,
+   CASE WHEN p_partkey % 2 = 0 THEN 'lb' ELSE 'count' END AS package_unit, CAST(CASE WHEN v = 'A' THEN p_size ELSE p_size + 5 END AS DOUBLE) AS price,
+   CASE WHEN v = 'A' THEN p_partkey % 5 <> 0 ELSE p_partkey % 3 = 0 END AS in_stock, CASE WHEN p_partkey % 2 <> 0 THEN p_size END AS grain
+  FROM part, (VALUES ('A'), ('B')) AS t(v)""")
+check("verified_numbers", """SELECT CASE WHEN m % 10 = 9 THEN url || '?gone' ELSE url END AS url, CAST(m + CASE WHEN m % 4 = 0 THEN 5001 ELSE 1000 END AS INT) AS expected, m % 10 <> 9 AND m % 4 <> 0 AS verified
+   FROM (SELECT url, max(page_id) AS m FROM pages GROUP BY 1)""")
+check("card_tiers", """SELECT CASE WHEN u THEN q * 9.0 WHEN t THEN q + 0.99 END AS base_price, CASE WHEN u THEN low WHEN t THEN round_even((q + 0.99) / 20, 4) END AS price_per_round,
+   CASE WHEN u THEN greatest(1, CAST(round_even(q * 9.0 / low, 0) AS BIGINT)) WHEN t THEN 20 END AS total_rounds, count(*) AS n
+  FROM (SELECT CAST(l_quantity AS INT) AS q, l_partkey % 3 <> 0 AS u, l_partkey % 2 = 0 AS t, least(CAST('0.' || l_linenumber AS DOUBLE), 0.9) AS low FROM lineitem) GROUP BY 1, 2, 3""")
+
 # -- store on change ------------------------------------------------------------------------------
 
 
@@ -731,5 +754,17 @@ check("stamp_on_success", f"""SELECT r.id, CASE WHEN s.saved > 0 AND r.id % 2 =
 check("stock_stamps", f"""SELECT id, in_stock, CASE WHEN in_stock THEN 'In Stock' ELSE 'Out of Stock' END AS stock_level, CASE WHEN in_stock THEN TIMESTAMP '{q.AS_OF}' END AS last_seen_in_stock FROM v_listings""")
 
 
+check("ingest_flow", f"""SELECT retailer_id, retailer_product_id, caliber_normalized, manufacturer, total_rounds, price_per_round, in_stock FROM (
+   SELECT *, row_number() OVER (PARTITION BY retailer_id, retailer_product_id ORDER BY seq) AS rn FROM (
+   SELECT c.*, coalesce(b.blo, 0.15) AS lo, coalesce(b.bhi, 3.0) AS hi, round_even(base_price / total_rounds, 4) AS price_per_round FROM (
+    SELECT retailer_id, seq, {CATEGORY} AS caliber_normalized, coalesce({brand_of('b1')}, {PREFIX}, {brand_of('b2')}, 'Unknown') AS manufacturer,
+      coalesce(nullif({pack('simple')}, 0), greatest(1, CAST(round_even(base_price / 0.5, 0) AS BIGINT))) AS total_rounds, base_price,
+      nullif(regexp_extract(regexp_replace(product_url, '/+$', ''), '([^/]*)$', 1), '') AS retailer_product_id, NOT {any_word('low', packs.STOCK_RULES['absent_phrases']['out'])} AS in_stock
+     FROM (SELECT retailer_id, product_url, c.seq AS seq, c.title AS title, lower(c.title) AS low, c.base_price AS base_price, {BRAND_TEXT.format(c='c.title')} AS b1, {BRAND_TEXT.format(c='product_url')} AS b2
+        FROM (SELECT retailer_id, product_url, min({{'seq': id, 'title': title, 'source': source, 'page_category': page_category, 'base_price': CAST(partkey % 90 + 10 AS DOUBLE)}}) AS c FROM v_titles GROUP BY 1, 2))) c
+    LEFT JOIN {CAPTURE} b ON b.cat = c.caliber_normalized WHERE caliber_normalized IS NOT NULL)
+  WHERE price_per_round >= 0.01 AND price_per_round <= 5 AND price_per_round >= lo AND price_per_round <= hi) WHERE rn = 1""")
+
+
 def oracles() -> dict[str, str]:
     return dict(CHECKS)

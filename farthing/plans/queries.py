@@ -1152,6 +1152,130 @@ def page_verdict(spark, d):
         "retailer_id", "category", "verdict", "redirect", "title_match", "gate_pass_pct", "n_products")
 
 
+def _spec_pages(spark, d):
+    """Specification pages in five templates, written from the part rows."""
+    kinds = {"schema": "Full Metal Jacket", "labels": "FMJ", "imperial": "JHP", "lines": "Hollow Point", "heading": "TMJ"}
+    source = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    key, grain = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    speed, energy = (F.col("p_size") * 10 + 700).cast("string"), (F.col("p_size") + 300).cast("string")
+
+    def page(text_, *parts):
+        return F.format_string(text_, *parts)
+
+    html = {
+        "schema": page(
+            '<script type="application/ld+json">{"@type":"Product","sku":"S%s","name":"Line %s, 9mm Luger, %s Grain, Full Metal Jacket, x"}</script>'
+            '<table><tr><td>Muzzle Velocity</td><td>%s fps</td></tr></table>'
+            '<script id="chart-data-energy">{"points":[[%s,2,3,4,5]]}</script>', key, F.col("p_type"), grain, speed, energy),
+        "labels": page(
+            '<h1 class="itemtitle">10mm Auto %s gr FMJ %s®</h1><span class="stats">Item #S%s | 25/Box</span>'
+            '<div data-label="Muzzle Velocity">%s fps</div><div data-label="Muzzle Energy">%s</div>', grain, F.col("p_type"), key, speed, energy),
+        "imperial": page(
+            '<h1>45 Auto %sGR JHP</h1><span class="symbol">S%s</span><table id="table-imperial"><tr><td>fps</td></tr>'
+            "<tr><td>Muzzle</td><td>%s</td><td>%s</td></tr></table>", grain, key, speed, energy),
+        "lines": page(
+            "<h1>380 Auto</h1><b>ITEM NO:</b><i>S%s</i><b>BULLET TYPE:</b><i>Hollow Point</i><b>WEIGHT:</b><i>%s GR</i><p>VELOCITY</p><p>(FEET PER SECOND)</p>"
+            "<p>Muzzle:</p><p>%s</p><p>ENERGY</p><p>(FOOT POUNDS)</p><p>Muzzle:</p><p>%s</p>", key, grain, speed, energy),
+        "heading": page(
+            '<h1>9 mm LUGER TMJ %s GRS S%s</h1><table class="large"><tr><th>Velocity</th><th>x</th><td>%s</td></tr>'
+            "<tr><th>Energy</th><th>x</th><td>%s</td></tr></table>", grain, key, speed, energy),
+    }
+    chain = None
+    for name, body in html.items():
+        chain = F.when(source == name, body) if chain is None else chain.when(source == name, body)
+    return table(spark, d, "part").select(
+        F.col("p_partkey").alias("page_id"), F.concat(F.lit("https://m.example.com/bronze/"), key, F.lit(".html")).alias("url"),
+        source.alias("source"), chain.alias("html"))
+
+
+@query
+def ballistics_facts(spark, d):
+    return pages.ballistics_facts(_spec_pages(spark, d)).select(
+        "page_id", "external_id", "product_line", "caliber_normalized", "grain", "bullet_type", "muzzle_velocity_fps",
+        "muzzle_energy_ftlb")
+
+
+@query
+def tile_facts(spark, d):
+    cell = '<div class="b-producttile__info-item %s">%%s</div>'
+    tile = F.format_string(
+        '<div class="b-producttile__info">' + "".join(cell % c for c in ("cartridge", "weight", "type", "muzzle-velocity", "symbol", "brand")) + "</div>",
+        rules.lookup((F.col("p_partkey") % 3).cast("string"), {"0": "9mm Luger", "1": ".243 Win", "2": "10mm Auto"}),
+        F.concat(F.col("p_size").cast("string"), F.lit(" gr")), F.lit("Soft Point"),
+        F.when(F.col("p_size") % 7 == 0, F.lit("n/a")).otherwise((F.col("p_size") + 900).cast("string")),
+        F.concat(F.lit("<a>Q"), F.col("p_partkey").cast("string"), F.lit("</a>")), F.col("p_type"))
+    tiled = table(spark, d, "part").groupBy(F.floor(F.col("p_partkey") / 10).alias("page_id")).agg(
+        F.array_join(F.sort_array(F.collect_list(tile)), "").alias("html")).withColumn("url", F.lit("u"))
+    return pages.tile_facts(tiled).select("page_id", "sku", "product_line", "caliber_normalized", "grain", "bullet_type", "muzzle_velocity_fps")
+
+
+def _rebate_pages(spark, d):
+    line = F.format_string("Federal %s — $%s.50 rebate per box<br/>", F.col("product_line"), F.length("product_line").cast("string"))
+    grouped = view(spark, d, "v_eligible").groupBy("rebate_id").agg(F.array_join(F.sort_array(F.collect_list(line)), "").alias("body"))
+    number = F.lpad(F.col("rebate_id").cast("string"), 3, "0")
+    html = F.concat(
+        F.lit('<div id="R10'), number, F.lit('"></div><h3>Offer '), number, F.lit('</h3><p class="fine-print">'), F.col("body"),
+        F.lit('</p><p class="minimum-copy">Minimum ('), F.col("rebate_id").cast("string"),
+        F.lit(') boxes. Maximum rebate $75.00</p><p class="font-italic">Valid for purchases made 3/1/2026 through 5/'),
+        (F.col("rebate_id") % 28 + 1).cast("string"), F.lit("/2026. DEADLINE: 6/30/2026</p>"))
+    return grouped.groupBy((F.col("rebate_id") % 3).alias("page_id")).agg(
+        F.array_join(F.sort_array(F.collect_list(html)), "").alias("html")).withColumn("url", F.lit("https://r.example.com"))
+
+
+@query
+def rebate_facts(spark, d):
+    return _dates_as_text(pages.rebate_blocks(_rebate_pages(spark, d)).select(
+        "external_id", "title", "detail_url", "min_qty_required", "amount_max_total", "valid_from", "valid_through", "submit_by",
+        "amount_min_per_unit", "amount_max_per_unit"))
+
+
+@query
+def rebate_lines(spark, d):
+    return pages.rebate_lines(pages.rebate_blocks(_rebate_pages(spark, d))).select("external_id", "product_line", "amount_override")
+
+
+@query
+def component_rows(spark, d):
+    part = F.col("p_partkey").cast("string")
+    body = F.format_string(
+        '<script type="application/ld+json">{"@graph":[{"@type":"WebPage"},{"@type":"ProductGroup","name":"%s %s Grain","productGroupID":"G%s",'
+        '"brand":{"name":"%s"},"hasVariant":[{"sku":"A%s","size":"%s","offers":{"priceSpecification":[{"price":"%s"}]}},'
+        '{"sku":"B%s","url":"u?attribute_pa_quantity=%s","offers":{"price":%s}},{"sku":"C%s","offers":{"price":1}}]}]}</script>'
+        '<p class="stock %s">x</p><form data-product_variations="[{&quot;sku&quot;:&quot;A%s&quot;,&quot;is_in_stock&quot;:%s}]"></form>',
+        F.col("p_name"), F.col("p_size").cast("string"), part, F.col("p_brand"), part,
+        F.when(F.col("p_partkey") % 2 == 0, F.lit("8-oz")).otherwise(F.lit("4")), F.col("p_size").cast("string"), part,
+        (F.col("p_size") * 10).cast("string"), (F.col("p_size") + 5).cast("string"), part,
+        F.when(F.col("p_partkey") % 3 == 0, F.lit("in-stock")).otherwise(F.lit("out-of-stock")), part,
+        F.when(F.col("p_partkey") % 5 == 0, F.lit("false")).otherwise(F.lit("true")))
+    fetched = table(spark, d, "part").select(
+        F.col("p_partkey").alias("page_id"), F.lit("u").alias("url"),
+        F.when(F.col("p_partkey") % 2 == 0, F.lit("powder")).otherwise(F.lit("bullet")).alias("kind"), body.alias("html"))
+    out = pages.component_rows(fetched, {"powder": "lb", "bullet": "count"})
+    return out.select("page_id", "category", "parent_sku", "variant_sku", "product_name", "brand",
+                      F.col("package_size").cast("double").alias("package_size"), "package_unit", "price", "in_stock", "grain")
+
+
+@query
+def verified_numbers(spark, d):
+    fetched = table(spark, d, "pages").withColumn(
+        "html", F.concat(F.col("html"), F.lit("<p>muzzle "), F.format_number(F.col("page_id") + 1000, 0), F.lit("</p>")))
+    wanted = table(spark, d, "pages").groupBy("url").agg(F.max("page_id").alias("page_id")).select(
+        F.when(F.col("page_id") % 10 == 9, F.concat(F.col("url"), F.lit("?gone"))).otherwise(F.col("url")).alias("url"),
+        (F.col("page_id") + F.when(F.col("page_id") % 4 == 0, 5001).otherwise(1000)).cast("int").alias("expected"))
+    out = pages.verified_numbers(fetched, wanted, ["muzzle"], 220)
+    return out.groupBy("url", "expected").agg(F.max("verified").alias("verified"))
+
+
+@query
+def card_tiers(spark, d):
+    cents = F.col("l_linenumber").cast("string")
+    price_attr = F.concat(F.lit("$"), F.col("l_quantity").cast("int").cast("string"), F.lit(".99|$"), (F.col("l_quantity") * 9).cast("int").cast("string"))
+    unit_attr = F.when(F.col("l_partkey") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("$0."), cents, F.lit("|$0.9")))
+    tiers = pages.tier_prices(price_attr, unit_attr, F.when(F.col("l_partkey") % 2 == 0, F.lit("20 rounds")).otherwise(F.lit("x")))
+    return table(spark, d, "lineitem").select(tiers.alias("t")).select("t.*").groupBy(
+        "base_price", "price_per_round", "total_rounds").agg(F.count(F.lit(1)).alias("n"))
+
+
 # -- store on change ------------------------------------------------------------------------------------
 
 @query
