@@ -76,18 +76,15 @@ def cascade_evict(
     parked = retailers.withColumn(
         "is_active", F.when(F.col("id") == retailer_id, F.lit(False)).otherwise(F.col("is_active"))
     )
-    report = (
-        gone.agg(F.count(F.lit(1)).alias("listings_evicted"))
-        .crossJoin(history.join(gone, "listing_id", "left_semi").agg(F.count(F.lit(1)).alias("history_evicted")))
-        .crossJoin(
-            kept_listings.where(F.col("retailer_id") == retailer_id).agg(
-                F.count(F.lit(1)).alias("listings_remaining")
-            )
-        )
-        .crossJoin(
-            kept_history.join(gone, "listing_id", "left_semi").agg(F.count(F.lit(1)).alias("history_remaining"))
-        )
+    tagged = lambda df, name: df.select(F.lit(name).alias("what"))
+    counted = (
+        tagged(gone, "listings_evicted")
+        .unionByName(tagged(history.join(gone, "listing_id", "left_semi"), "history_evicted"))
+        .unionByName(tagged(kept_listings.where(F.col("retailer_id") == retailer_id), "listings_remaining"))
+        .unionByName(tagged(kept_history.join(gone, "listing_id", "left_semi"), "history_remaining"))
     )
+    names = ["listings_evicted", "history_evicted", "listings_remaining", "history_remaining"]
+    report = counted.agg(*[F.count_if(F.col("what") == n).alias(n) for n in names])
     return {"retailers": parked, "listings": kept_listings, "history": kept_history, "report": report}
 
 

@@ -47,10 +47,8 @@ def retention_plan(
         .withColumn("day", clock.day_number(F.col("recorded_at")))
         .withColumn("_ok", F.coalesce(F.col("in_stock"), F.lit(False)) & prices.positive(price, finite=True))
     )
-    orphans = staged.where(F.col("_lid").isNull())
-    grouped = staged.where(F.col("_lid").isNotNull())
     rank = F.struct(price.alias("p"), F.col("recorded_at").alias("ts"), F.col("id").alias("id"))
-    facts = grouped.groupBy("listing_id", "day").agg(
+    facts = staged.groupBy("listing_id", "day").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.min(F.when(F.col("_ok"), rank)).alias("_best"),
         F.min(F.when(F.col("_ok") & (price >= F.col("_floor")), rank)).alias("_above"),
@@ -66,54 +64,57 @@ def retention_plan(
         F.col("_marker.id").alias("_marker_id"),
         "_seen",
     )
-    rows = grouped.select("id", "listing_id", "day", "price_per_round", "in_stock", "recorded_at", "_ok")
+    known = F.col("_lid").isNotNull().alias("_known")
+    rows = staged.select("id", "listing_id", "day", "price_per_round", "in_stock", "recorded_at", "_ok", known)
     full = attach_facts(rows, facts, ["listing_id", "day"], "_rows", "id", hot_rows)
     kept = (F.col("id") == F.col("_best_id")) | (F.col("id") == F.coalesce("_above_id", "_best_id"))
     expired = (F.col("day") < F.lit(expiry_day)) & (F.col("_seen") == 0)
     action = (
-        F.when(F.col("_best_id").isNotNull(), F.when(kept, "keep").otherwise("tier1"))
+        F.when(~F.col("_known"), "orphan")
+        .when(F.col("_best_id").isNotNull(), F.when(kept, "keep").otherwise("tier1"))
         .when(expired, "tier2")
         .otherwise(F.when(F.col("id") == F.col("_marker_id"), "keep").otherwise("tier1"))
     )
     columns = ["id", "listing_id", "day", "price_per_round", "in_stock", "recorded_at"]
-    eligible = F.col("_ok").alias("eligible")
-    planned = full.select(*columns, eligible, action.alias("action"))
-    return planned.unionByName(orphans.select(*columns, eligible, F.lit("orphan").alias("action")))
+    return full.select(*columns, (F.col("_ok") & F.col("_known")).alias("eligible"), action.alias("action"))
 
 
 def retention_invariants(
     plan: DataFrame, max_deletes: int = MAX_DELETES, max_share: float = MAX_DELETE_SHARE
 ) -> DataFrame:
     """One row of violation counts; a sound plan has zero in each."""
-    keep = F.col("action") == "keep"
+    keep, orphan = F.col("action") == "keep", F.col("action") == "orphan"
     tier1, tier2 = F.col("action") == "tier1", F.col("action") == "tier2"
     price = F.col("price_per_round").cast("double")
-    known = plan.where(F.col("action") != "orphan")
-    groups = known.groupBy("listing_id", "day").agg(
-        F.count_if(keep).alias("kept"),
+    stocked = F.coalesce(F.col("in_stock"), F.lit(False))
+    groups = plan.groupBy("listing_id", "day").agg(
+        F.count(F.lit(1)).alias("examined"),
+        F.count_if(tier1 | tier2).alias("deletes"),
+        F.count_if(keep).alias("keeps"),
+        F.count_if(orphan).alias("orphans"),
+        F.count_if(tier2 & stocked).alias("expired"),
         F.count_if(F.col("eligible")).alias("able"),
         F.min(F.when(F.col("eligible"), price)).alias("group_min"),
         F.min(F.when(F.col("eligible") & keep, price)).alias("kept_min"),
     )
     able = F.col("able") > 0
-    group_checks = groups.agg(
-        F.count_if(able & ~F.col("kept").between(1, 2)).alias("eligible_keep_count"),
-        F.count_if(~able & (F.col("kept") > 1)).alias("marker_keep_count"),
+    checks = [
+        *[F.sum(n).alias(n) for n in ("examined", "deletes", "keeps", "orphans")],
+        F.sum("expired").alias("expired_in_stock"),
+        F.count_if(able & ~F.col("keeps").between(1, 2)).alias("eligible_keep_count"),
+        F.count_if(~able & (F.col("keeps") > 1)).alias("marker_keep_count"),
         F.count_if(able & ~F.col("kept_min").eqNullSafe(F.col("group_min"))).alias("group_min_lost"),
-    )
-    distinct_ids = plan.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
-    overlap = distinct_ids.agg(F.count_if(F.col("times") > 1).alias("id_in_two_tiers"))
-    totals = plan.agg(
-        F.count_if(tier2 & F.coalesce(F.col("in_stock"), F.lit(False))).alias("expired_in_stock"),
-        F.count(F.lit(1)).alias("examined"),
-        F.count_if(tier1 | tier2).alias("deletes"),
-        F.count_if(keep).alias("keeps"),
-        F.count_if(F.col("action") == "orphan").alias("orphans"),
-    )
+    ]
+    twice = plan.groupBy("id").agg(F.count(F.lit(1)).alias("_times")).where(F.col("_times") > 1)
+    overlap = twice.agg(F.count(F.lit(1)).alias("id_in_two_tiers"))
+    # Two one-row results become one row by a union and a maximum per column.
+    both = groups.agg(*checks).unionByName(overlap, allowMissingColumns=True)
+    names = [*groups.agg(*checks).columns, "id_in_two_tiers"]
+    one = both.agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in names])
     unaccounted = F.abs(F.col("examined") - F.col("deletes") - F.col("keeps") - F.col("orphans"))
     share = F.try_divide(F.col("deletes"), F.col("examined"))
     over = (F.col("deletes") > max_deletes) | (F.coalesce(share, F.lit(0.0)) > max_share)
-    return totals.crossJoin(group_checks).crossJoin(overlap).select(
+    return one.select(
         "examined", "deletes", "keeps", "orphans", "id_in_two_tiers", "expired_in_stock", "eligible_keep_count",
         "marker_keep_count", "group_min_lost", unaccounted.alias("unaccounted"), over.cast("int").alias("over_band"),
     )

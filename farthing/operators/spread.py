@@ -68,17 +68,11 @@ def carry_forward(
     """
     staged = df.withColumn("_state", state)
     moment = F.struct(*order)
-    tails = (
-        staged.where(F.col("_state").isNotNull())
-        .groupBy(*keys, slice_col)
-        .agg(F.max_by("_state", moment).alias("_tail"))
-    )
-    slices = staged.select(*keys, slice_col).distinct()
+    present = F.col("_state").isNotNull()
     across = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    null_safe = [slices[k].eqNullSafe(tails[k]) for k in [*keys, slice_col]]
     carried = (
-        slices.join(tails, null_safe, "left")
-        .select(*[slices[k] for k in [*keys, slice_col]], "_tail")
+        staged.groupBy(*keys, slice_col)
+        .agg(F.max_by(F.when(present, F.col("_state")), F.when(present, moment)).alias("_tail"))
         .withColumn("_carry", F.last("_tail", ignorenulls=True).over(across))
         .select(*[F.col(k).alias(f"_s_{k}") for k in [*keys, slice_col]], "_carry")
     )
