@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from farthing.functions import clock, prices
 from farthing.operators import pool as pools
-from farthing.operators.spread import carry_forward, cheapest
+from farthing.operators.spread import carry_forward, cheapest, running_sum
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -39,10 +39,16 @@ def locf(
     return filled.where(F.col("_filled").isNotNull()).withColumn(value, F.col("_filled")).drop("_filled")
 
 
-def islands(df: DataFrame, by: Sequence[str], order: Sequence[str], starts: Column, name: str = "island") -> DataFrame:
-    """Number of island starts so far, per key."""
+def islands(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], starts: Column, name: str = "island",
+    slice_of: Column | None = None,
+) -> DataFrame:
+    """Number of island starts so far, per key (``slice_of`` as in ``locf``)."""
+    step = F.when(starts, 1).otherwise(0)
+    if slice_of is not None:
+        return running_sum(df.withColumn("_slice", slice_of), by, "_slice", order, step, name).drop("_slice")
     frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(F.when(starts, 1).otherwise(0)).over(frame))
+    return df.withColumn(name, F.sum(step).over(frame))
 
 
 def right_closed_bins(df: DataFrame, ts: str, origin: str, step: int, name: str = "bin") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farthing.functions import prices
-from farthing.operators.spread import cheapest
+from farthing.operators.spread import attach_facts, cheapest, running_sum
 
 CELLS_PER_DOUBLING = 256
 
@@ -79,6 +79,19 @@ def interpolated_median(
     return both.select(*by, "n", middle.alias(name))
 
 
+def ranked_with_count(df: DataFrame, by: Sequence[str], value: str, tie: str) -> DataFrame:
+    """Rank by value (ties by ``tie``) and group size, on every row.
+
+    A full ranking cannot be limited before the shuffle, so the rows of a
+    group are ranked in slices of the value's logarithmic cells. Values must
+    be positive.
+    """
+    cell = F.floor(F.log2(F.col(value)) * 4).cast("int")
+    ranked = running_sum(df.withColumn("_cell", cell), by, "_cell", [value, tie], F.lit(1), "rn").drop("_cell")
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return attach_facts(ranked, sizes, by, "n", tie)
+
+
 def cheapest_n_mean(df: DataFrame, by: Sequence[str], value: str, n: int, name: str = "mean") -> DataFrame:
     """Mean of the n lowest values per group, added in ascending order."""
     kept = cheapest(df.select(*by, value), by, [value], n)

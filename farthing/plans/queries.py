@@ -582,16 +582,14 @@ def request_priority(spark, d):
 
 @query
 def ranked_with_count(spark, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("listing_id").orderBy("price_per_round", "id")
-    n = F.count(F.lit(1)).over(Window.partitionBy("listing_id"))
-    return view(spark, d, "v_obs").select("id", F.row_number().over(w).alias("rn"), n.alias("n"))
+    ranked = stats.ranked_with_count(view(spark, d, "v_obs"), ["listing_id"], "price_per_round", "id")
+    return ranked.select("id", F.col("rn").cast("int").alias("rn"), "n")
 
 
 @query
 def islands(spark, d):
-    out = series.islands(view(spark, d, "v_obs"), ["listing_id"], ["recorded_at", "id"], F.col("price_per_round") > 50)
+    out = series.islands(view(spark, d, "v_obs"), ["listing_id"], ["recorded_at", "id"], F.col("price_per_round") > 50,
+                         slice_of=F.to_date("recorded_at"))
     return out.select("id", "island")
 
 

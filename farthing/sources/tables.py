@@ -54,11 +54,12 @@ TELEMETRY = (
 
 def read_telemetry(spark: SparkSession, path: str, schema: str = TELEMETRY) -> tuple[DataFrame, DataFrame]:
     """Records of many JSON-lines files, and the files with unreadable lines."""
-    raw = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    tagged = raw.withColumn("file", F.input_file_name())
-    bad = F.col("_corrupt_record").isNotNull()
+    lines = spark.read.text(path).where(F.trim("value") != "").withColumn("file", F.input_file_name())
+    record = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    tagged = lines.select("file", record.alias("r"))
+    bad = F.col("r._corrupt_record").isNotNull()
     unreadable = tagged.where(bad).groupBy("file").agg(F.count(F.lit(1)).alias("bad_lines"))
-    return tagged.where(~bad).drop("_corrupt_record"), unreadable
+    return tagged.where(~bad).select("r.*", "file").drop("_corrupt_record"), unreadable
 
 
 def processed_and_excluded(processed: DataFrame, excluded: DataFrame) -> DataFrame:
