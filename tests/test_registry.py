@@ -1,7 +1,5 @@
 """Every registered query against its SQL check on the smallest tables."""
 
-import math
-
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
@@ -18,7 +16,7 @@ SAMPLED = ["segment_floor", "segment_trimmed_mean", "daily_floor_by_retailer", "
 
 
 def plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if pd.isna(value):
         return None
     if hasattr(value, "item"):
         value = value.item()
