@@ -282,9 +282,14 @@ def dominant_class(title: Column, terms: Column, table=None) -> Column:
     return F.when(F.size(own) == 1, own[0]["name"]).when(clear, top["name"])
 
 
-def product_key(url: Column) -> Column:
-    """Last url segment without trailing slash; the retailer's product key."""
-    return truthy(F.regexp_extract(F.regexp_replace(url, r"/+$", ""), r"([^/]*)$", 1))
+def product_key(url: Column, strip: str | None = None) -> Column:
+    """Last url segment without trailing slash; the retailer's product key.
+
+    ``strip`` is a regex removed from its end, an extension such as
+    ``\\.(html|asp)`` or a query.
+    """
+    key = F.regexp_extract(F.regexp_replace(url, r"/+$", ""), r"([^/]*)$", 1)
+    return truthy(key if strip is None else F.regexp_replace(key, f"(?:{strip})$", ""))
 
 
 def line_name(url: Column) -> Column:

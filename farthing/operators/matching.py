@@ -34,6 +34,17 @@ def first_seen(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     return cheapest(df, keys, [seq], 1).drop("_rank")
 
 
+def discovery_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """How many keys two discovery lists share, and how many each has alone."""
+    a = left.select(F.col(key)).distinct().withColumn("_l", F.lit(1))
+    b = right.select(F.col(key)).distinct().withColumn("_r", F.lit(1))
+    return a.join(b, key, "full").agg(
+        F.count_if(F.col("_l").isNotNull() & F.col("_r").isNotNull()).alias("shared"),
+        F.count_if(F.col("_r").isNull()).alias("only_left"),
+        F.count_if(F.col("_l").isNull()).alias("only_right"),
+    )
+
+
 def with_label(
     df: DataFrame, dim: DataFrame, key: str, dim_key: str = "id", label: str = "slug", out: str = "slug"
 ) -> DataFrame:

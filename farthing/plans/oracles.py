@@ -310,6 +310,15 @@ check("cascade_evict", """SELECT (SELECT count(*) FROM v_listings WHERE retailer
    (SELECT count(*) FROM v_obs WHERE listing_id IN (SELECT id FROM v_listings WHERE retailer_id = 4)) AS history_evicted,
    CAST(0 AS BIGINT) AS listings_remaining, CAST(0 AS BIGINT) AS history_remaining""")
 
+check("discovery_overlap", """SELECT count(*) FILTER (WHERE l AND r) AS shared, count(*) FILTER (WHERE l AND NOT r) AS only_left, count(*) FILTER (WHERE r AND NOT l) AS only_right
+   FROM (SELECT product_url, bool_or(partkey % 3 <> 0) AS l, bool_or(partkey % 5 <> 0) AS r FROM v_titles GROUP BY 1)""")
+check("sql_pool", """SELECT id, price_per_round, NOT (grain < 12 OR grain > 40) AS middle_weight,
+   CASE WHEN manufacturer IS NOT NULL THEN lower(manufacturer) = 'brand#7' WHEN contains(product_url, 'brand2') THEN FALSE ELSE contains(product_url, 'brand7') END AS is_brand,
+   (price_per_round * total_rounds) * ceil(200.0 / total_rounds) >= 60 AS ships_free FROM stage1 WHERE caliber_normalized = 'PROMO' AND condition_type = 'New'""", CAPPED)
+check("sql_cheapest", """SELECT b.cal, w.id, w.price_per_round FROM (VALUES ('PROMO', 1.0, 20.0), ('SMALL', 2.0, 9.0), ('LARGE', 8.0, 9.0)) AS b(cal, lo, hi),
+   LATERAL (SELECT * FROM stage1 s WHERE s.caliber_normalized = b.cal AND s.case_material = 'bolt' AND s.condition_type = 'New' AND s.in_stock
+     AND s.price_per_round BETWEEN b.lo AND b.hi ORDER BY s.price_per_round, s.id LIMIT 1) w""", capped(5.0))
+
 # -- aggregates -------------------------------------------------------------------------
 LOWS = f"""floored AS (SELECT seen.* FROM seen LEFT JOIN {values(q.FLOORS, 'cat, fl')} f ON f.cat = seen.cal WHERE NOT comp AND ppr >= coalesce(fl, 50.0)),
   lows AS (SELECT listing_id, cal, bt, cm, min(ppr) AS low FROM floored GROUP BY 1, 2, 3, 4),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from farthing.functions import clock, markup, predicates, prices, rules, text
 from farthing.operators import audit, changes, enrich, matching, pages, pool, retention, segments, series, stats
-from farthing.plans import flows
+from farthing.plans import flows, sql_surface
 from farthing.plans.fixtures import CATEGORIES, table, view
 from farthing.rulebook import brands, categories, packs
 from farthing.sources import sinks, tables
@@ -421,6 +421,32 @@ def cascade_evict(spark, d):
     return out["report"]
 
 
+@query
+def discovery_overlap(spark, d):
+    urls = view(spark, d, "v_titles").select("product_url", "partkey")
+    return matching.discovery_overlap(urls.where(F.col("partkey") % 3 != 0), urls.where(F.col("partkey") % 5 != 0), "product_url")
+
+
+@query
+def sql_pool(spark, d):
+    sql_surface.register(spark, view(spark, d, "v_listings"), mult=3.0)
+    atoms = "array(named_struct('op', 'lt', 'v', 12.0D), named_struct('op', 'gt', 'v', 40.0D))"
+    return spark.sql(
+        f"""SELECT p.id, p.price_per_round, bucket_match(c.grain, {atoms}, true) AS middle_weight,
+                   brand_match(c.manufacturer, c.product_url, 'brand7', array('brand#7'), array('brand#7', 'brand#9'),
+                               array('brand2', 'brand7')) AS is_brand,
+                   cart_reaches(p.price_per_round, c.total_rounds, 60.0D, 200) AS ships_free
+              FROM pool_listings('PROMO', p_condition => 'New') p JOIN capped_catalog c ON c.id = p.id""")
+
+
+@query
+def sql_cheapest(spark, d):
+    sql_surface.register(spark, view(spark, d, "v_listings"))
+    return spark.sql("""SELECT b.cal, t.id, t.price_per_round
+        FROM VALUES ('PROMO', 1.0D, 20.0D), ('SMALL', 2.0D, 9.0D), ('LARGE', 8.0D, 9.0D) AS b(cal, lo, hi),
+             LATERAL cheapest_listing(b.cal, b.lo, b.hi, 'bolt') t""")
+
+
 # -- aggregates -----------------------------------------------------------------------------
 
 @query
