@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +22,11 @@ register_pickle_by_value(sys.modules[__name__])
 STATE = ("price", "price_per_round", "in_stock")
 
 
-def same_number(left, right, tolerance: float) -> bool:
-    """Equal within a tolerance; missing equals only missing.
-
-    Pandas shows NULL as NaN here. A genuine NaN never reaches this test: it
-    is certain to be written.
-    """
-    if pd.isna(left) or pd.isna(right):
-        return bool(pd.isna(left) and pd.isna(right))
-    return abs(float(left) - float(right)) < tolerance
+def same_number(left: float | None, right: float | None, tolerance: float) -> bool:
+    """Equal within a tolerance; missing equals only missing, NaN nothing."""
+    if left is None or right is None:
+        return left is None and right is None
+    return abs(left - right) < tolerance
 
 
 def same_state(left: tuple, right: tuple) -> bool:
@@ -57,28 +53,29 @@ def _repeats(now: Column, before: Column) -> Column:
     return now.eqNullSafe(before)
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the rows that differ from the last written one of their run.
 
     Batches arrive sorted by run, so only one state is ever held. A batch
-    without an unsure row passes whole.
+    without an unsure row passes whole. Arrow keeps NULL and NaN apart.
     """
     last = None
     for batch in batches:
-        if not batch["_unsure"].any():
-            if len(batch):
-                tail = batch.iloc[-1]
-                last = (tail["_p"], tail["_u"], tail["_stock"])
+        if batch.num_rows == 0:
+            continue
+        states = [batch.column(name) for name in ("_p", "_u", "_stock")]
+        unsure = batch.column("_unsure").to_pylist()
+        if not any(unsure):
+            last = tuple(column[batch.num_rows - 1].as_py() for column in states)
             yield batch
             continue
         keep = []
-        for price, unit, stock, unsure in zip(batch["_p"], batch["_u"], batch["_stock"], batch["_unsure"]):
-            state = (price, unit, stock)
-            write = not unsure or not same_state(last, state)
+        for doubtful, *state in zip(unsure, *(column.to_pylist() for column in states)):
+            write = not doubtful or not same_state(last, state)
             keep.append(write)
             if write:
                 last = state
-        yield batch[pd.Series(keep, index=batch.index)]
+        yield batch.filter(pa.array(keep))
 
 
 def store_on_change(
@@ -144,7 +141,7 @@ def store_on_change(
     ordered = runs.repartition("listing_id", "_day", "_run").sortWithinPartitions(
         "listing_id", "_day", "_run", "_slice", *order
     )
-    written = ordered.mapInPandas(_fold, ordered.schema)
+    written = ordered.mapInArrow(_fold, ordered.schema)
     return written.where(~F.col("_base")).select(*names)
 
 

@@ -1,7 +1,11 @@
 """Store-on-change over a stream of observations.
 
-State per listing is one UTC day and the last written row of that day, so it
-does not grow with the stream. Days close with the watermark.
+Two forms. ``store_on_change_stream`` keeps state per listing: one UTC day and
+the last written row of that day, so it does not grow with the stream. It
+holds one listing's rows of a micro-batch in one task, which the trigger
+bounds. ``write_changes`` is for streams in which one listing may dominate: it
+runs the batch operator, which spreads such a listing, on every micro-batch
+against what earlier ones wrote.
 """
 
 from __future__ import annotations
@@ -16,12 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from farthing.functions import clock
-from farthing.operators import changes
+from farthing.operators.changes import same_state, store_on_change
+from farthing.operators.series import latest_per
 
 register_pickle_by_value(sys.modules[__name__])
 
-OUTPUT = "id bigint, listing_id bigint, price double, price_per_round double, in_stock boolean, recorded_at timestamp"
-STATE = "day bigint, price double, unit double, stock boolean"
+OUTPUT = (
+    "id bigint, listing_id bigint, price double, price_per_round double, in_stock boolean, recorded_at timestamp, "
+    "_nan_price boolean, _nan_unit boolean"
+)
+STATE = "day bigint, price double, unit double, stock boolean, odd boolean"
 
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -37,27 +45,31 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     rows = pd.concat(list(batches)).sort_values(["recorded_at", "id"], kind="stable")
     day, last = None, None
     if state.exists:
-        day, price, unit, stock = state.get
-        last = (price, unit, stock)
+        day, price, unit, stock, odd = state.get
+        last = None if odd else (price, unit, stock)
     keep = []
-    for when, price, unit, stock, odd in zip(rows["_day"], rows["price"], rows["price_per_round"], rows["in_stock"], rows["_nan"]):
+    # Pandas shows NULL as NaN; genuine NaN is flagged and always written.
+    known = [rows[c].astype(object).where(rows[c].notna(), None) for c in ("price", "price_per_round")]
+    odd_ones = rows["_nan_price"] | rows["_nan_unit"]
+    for when, price, unit, stock, odd in zip(rows["_day"], *known, rows["in_stock"], odd_ones):
         if day is not None and when < day:
             keep.append(False)
             continue
-        now = (price, unit, bool(stock) if stock is not None and not pd.isna(stock) else False)
-        write = when != day or odd or not changes.same_state(last, now)
+        now = (price, unit, bool(stock))
+        write = when != day or odd or last is None or not same_state(last, now)
         keep.append(write)
         if write:
-            day, last = when, now
+            # Whatever follows a NaN differs from it.
+            day, last = when, None if odd else now
     if day is not None:
-        clean = [None if pd.isna(v) else float(v) for v in last[:2]]
-        state.update((int(day), clean[0], clean[1], bool(last[2])))
+        price, unit, stock = last or (None, None, False)
+        state.update((int(day), price, unit, stock, last is None))
         if state.getCurrentWatermarkMs() > 0:
             # The state is of no use once the day after it has closed.
             end = (int(day) + 2) * 86_400_000
             state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
     out = rows[pd.Series(keep, index=rows.index)] if len(rows) else rows
-    yield out[["id", "listing_id", "price", "price_per_round", "in_stock", "recorded_at"]]
+    yield out[["id", "listing_id", "price", "price_per_round", "in_stock", "recorded_at", "_nan_price", "_nan_unit"]]
 
 
 def store_on_change_stream(observed: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -67,7 +79,7 @@ def store_on_change_stream(observed: DataFrame, lateness: str = "1 day") -> Data
     state is kept.
     """
     number = lambda c: F.col(c).cast("double")
-    nan = F.coalesce(F.isnan(number("price")), F.lit(False)) | F.coalesce(F.isnan(number("price_per_round")), F.lit(False))
+    nan = lambda c: F.coalesce(F.isnan(number(c)), F.lit(False))
     rows = observed.select(
         F.col("id").cast("bigint").alias("id"),
         F.col("listing_id").cast("bigint").alias("listing_id"),
@@ -76,8 +88,35 @@ def store_on_change_stream(observed: DataFrame, lateness: str = "1 day") -> Data
         F.coalesce(F.col("in_stock"), F.lit(False)).alias("in_stock"),
         F.col("recorded_at").cast("timestamp").alias("recorded_at"),
     )
-    rows = rows.withColumn("_day", clock.day_number(F.col("recorded_at")).cast("bigint")).withColumn("_nan", nan)
+    rows = rows.withColumn("_day", clock.day_number(F.col("recorded_at")).cast("bigint"))
+    rows = rows.withColumn("_nan_price", nan("price")).withColumn("_nan_unit", nan("price_per_round"))
     marked = rows.withWatermark("recorded_at", lateness)
-    return marked.groupBy("listing_id").applyInPandasWithState(
+    written = marked.groupBy("listing_id").applyInPandasWithState(
         _advance, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+    restored = written.withColumn("price", F.when(F.col("_nan_price"), F.lit(float("nan"))).otherwise(F.col("price")))
+    restored = restored.withColumn(
+        "price_per_round", F.when(F.col("_nan_unit"), F.lit(float("nan"))).otherwise(F.col("price_per_round"))
+    )
+    return restored.drop("_nan_price", "_nan_unit")
+
+
+def write_changes(target: str):
+    """A ``foreachBatch`` function that stores the changes of each micro-batch.
+
+    Every batch has its own folder and reads only the folders before it, so a
+    batch that is run again after a failure writes the same rows again.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        baseline = None
+        if batch_id > 0:
+            day = F.to_date("recorded_at")
+            days = batch.select(day.alias("_day")).distinct()
+            earlier = batch.sparkSession.read.parquet(target).where(F.col("batch_id") < batch_id).drop("batch_id")
+            same_days = earlier.withColumn("_day", day).join(days, "_day", "left_semi")
+            baseline = latest_per(same_days, ["listing_id", "_day"], ["recorded_at", "id"]).drop("_day")
+        written = store_on_change(batch, baseline)
+        written.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    return store

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from farthing.functions import clock
 from farthing.operators import changes, spread
-from farthing.streaming.store_on_change import store_on_change_stream
+from farthing.streaming.store_on_change import store_on_change_stream, write_changes
 
 SCHEMA = "id long, listing_id long, price double, price_per_round double, in_stock boolean, recorded_at timestamp_ntz"
 
@@ -81,7 +81,7 @@ def test_baseline_and_fail_open(spark):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    rows = [r for r in drifting(1200, 4) if r[2] is None or r[2] == r[2]]
+    rows = drifting(1200, 4)
     source, third = tmp_path / "in", len(rows) // 3
     for k in range(3):
         part = rows[k * third : (k + 1) * third] if k < 2 else rows[2 * third :]
@@ -96,6 +96,22 @@ def test_stream_equals_batch(spark, tmp_path):
     got = sorted(r.id for r in spark.table("written").collect())
     batch = sorted(r.id for r in changes.store_on_change(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == batch == brute(rows)
+    odd = {r[0] for r in rows if r[2] is not None and r[2] != r[2]}
+    assert odd and odd == {r.id for r in spark.table("written").where("isnan(price)").collect()}
+    kept = changes.store_on_change(spark.createDataFrame(rows, SCHEMA))
+    assert odd == {r.id for r in kept.where("isnan(price)").collect()}
+
+
+def test_batched_stream_equals_batch(spark, tmp_path):
+    rows = drifting(900, 6)
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    for k in range(3):
+        spark.createDataFrame(rows[k * 300 : (k + 1) * 300], SCHEMA).coalesce(1).write.mode("append").parquet(str(source / f"f{k}"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(source))
+    query = stream.writeStream.foreachBatch(write_changes(target)).option("checkpointLocation", str(tmp_path / "cp")).start()
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == brute(rows)
 
 
 def test_stamps(spark):
