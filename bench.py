@@ -47,7 +47,7 @@ def timed(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session("farthing-bench", cores)
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
