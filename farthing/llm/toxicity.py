@@ -1,16 +1,18 @@
 """Toxicity by class-conditional Kneser-Ney models over folded letters.
 
-Two models of order four, one of toxic and one of ordinary texts, give every symbol
-of a text a likelihood. Both back off to one shared model whose counts come from
-the two classes together, so a rare expression is judged by what both know of it.
+Two models of order five, one of toxic and one of ordinary texts, give every symbol
+of a text a likelihood. Both back off to one shared model of order five whose counts come
+from the two classes together, so a rare expression is judged by what both know of it.
+Besides the discounts, ``trust`` shared counts are added to each context: how many is
+chosen by the fit.
 The alphabet has 32 symbols (letters without accents, a digit, a mark, a gap, three
-for other scripts), which bounds each model by 32^4 cells whatever the corpus is;
-the counts themselves come from every labelled text.
+for other scripts), which bounds each model by 32^5 cells whatever the corpus is, of which languages use
+a hundredth; the counts themselves come from every labelled text.
 
 A document is compared by length-normalised log-likelihoods: of the whole text per
-symbol, and of its three most toxic words per word, since a few words vanish in the
-mean of a long text. A logistic curve over the two, fitted on texts that the models
-scoring them have not seen, makes the score.
+symbol, and of its three most toxic words, since a few words vanish in the mean of a
+long text. A logistic curve over these and the logarithm of the length, fitted on texts that the
+models scoring them have not seen, makes the score.
 
 Defined results: a null or empty text has zero evidence and gets the score of that;
 without labels of both classes every score is 0.0; several labels of one document
@@ -31,12 +33,14 @@ from pyspark.sql import functions as F
 from farthing.llm.common import in_batches, pieces, utf8
 from farthing.llm.words import text_bytes
 
-ORDER, BITS = 4, 5
+ORDER, BITS = 5, 5
 SYMBOLS = 1 << BITS
-CELLS = SYMBOLS**ORDER
+CONTEXTS = SYMBOLS ** (ORDER - 1)
 DISCOUNT = 0.75
-#: Labelled rows that the logistic curve over two numbers is fitted on, at most.
+#: Labelled rows, about, that the logistic curve over five numbers is fitted on.
 FIT_ROWS = 20_000
+#: Shared counts per context to choose from.
+TRUSTS = (0.0, 20.0, 60.0)
 #: Labels are broadcast up to so many rows, joined by a shuffle beyond.
 BROADCAST_LABELS = 2_000_000
 GAP, DIGIT, MARK, OTHER = 0, 27, 28, 29
@@ -64,7 +68,7 @@ _LEAD = np.arange(256) >= 0xC0
 
 
 def cells_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order-four cell of every symbol, and the texts' bounds; then where a gap stands.
+    """The cell (last five symbols) of every symbol, and the texts' bounds; then where a gap stands.
 
     Before the first symbol of a text and after its last stand gaps.
     """
@@ -72,7 +76,7 @@ def cells_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kept = ~_LEAD[raw]
     ahead = np.concatenate([[0], np.cumsum(kept)])[bounds]
     n = len(bounds) - 1
-    pad = ORDER  # three gaps before a text, one after
+    pad = ORDER  # four gaps before a text, one after
     line = np.zeros(ahead[-1] + pad * n, np.int32)
     place = np.arange(ahead[-1]) + np.repeat(np.arange(n) * pad + ORDER - 1, np.diff(ahead))
     line[place] = _SYMBOL[raw[kept]]
@@ -87,11 +91,29 @@ def cells_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cell[inner], np.concatenate([[0], np.cumsum(sizes)]), line[inner] == GAP
 
 
+@dataclass
+class Ratios:
+    """Log-likelihood differences: of the cells seen, and of each context's other cells.
+
+    An unseen cell gets its share of the shared model from both classes alike, so what
+    differs is the mass that each context gives away.
+    """
+
+    cells: np.ndarray
+    values: np.ndarray
+    others: np.ndarray
+
+    def dense(self) -> np.ndarray:
+        out = np.repeat(self.others.astype(np.float16), SYMBOLS)
+        out[self.cells] = self.values
+        return out
+
+
 @dataclass
 class Model:
-    """``ratio``: log-likelihood difference of each cell; curve: how evidence becomes a score."""
+    """The ratios, and the curve: how evidence becomes a score."""
 
-    ratio: np.ndarray
+    ratios: Ratios
     weights: np.ndarray
     centre: np.ndarray
     scale: np.ndarray
@@ -104,19 +126,30 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def ratios(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """log p(symbol | three before it) of the toxic model minus that of the ordinary one."""
-    seen = (toxic + ordinary) > 0
-    types = {}
+def ratios(cells: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, trust: float) -> Ratios:
+    """log p(symbol | four before it) of the toxic model minus that of the ordinary one.
+
+    ``cells``: the sorted cells that some labelled text has, with their counts per class.
+    """
+    seen, types = cells[(toxic + ordinary) > 0], {}
     for order in range(ORDER - 1, 0, -1):  # distinct symbols before each shorter run
-        counted = seen.reshape(SYMBOLS, -1).sum(0)
-        types[order], seen = counted.astype(np.float64), counted > 0
+        types[order] = np.bincount(seen % SYMBOLS**order, minlength=SYMBOLS**order).astype(np.float64)
+        seen = np.flatnonzero(types[order])
     shared = np.full(SYMBOLS, 1.0 / SYMBOLS)
     for order in range(1, ORDER):
         shared = _backed_off(types[order], shared)
-    with np.errstate(divide="ignore"):
-        both = [np.log(_backed_off(c.astype(np.float64), shared)) for c in (toxic, ordinary)]
-    return (both[0] - both[1]).astype(np.float32)
+    context, low = cells // SYMBOLS, shared[cells % CONTEXTS]
+
+    def above(counts: np.ndarray, low: np.ndarray, trust: float) -> tuple[np.ndarray, np.ndarray]:
+        """Likelihood of each cell, and the mass that its context gives to the model below."""
+        total = np.bincount(context, counts, CONTEXTS) + trust
+        kinds = np.bincount(context, counts > 0, CONTEXTS)
+        away = np.where(total > 0, (DISCOUNT * kinds + trust) / np.maximum(total, 1e-9), 1.0)
+        return np.maximum(counts - DISCOUNT, 0) / np.maximum(total, 1e-9)[context] + away[context] * low, away
+
+    both, _ = above(toxic + ordinary, low, 0.0)
+    (p, gives), (q, leaves) = (above(c, both, trust) for c in (toxic, ordinary))
+    return Ratios(cells, (np.log(p) - np.log(q)).astype(np.float32), (np.log(gives) - np.log(leaves)).astype(np.float32))
 
 
 def _backed_off(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -129,13 +162,15 @@ def _backed_off(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
 
 
 def evidence_of(column: pa.Array, ratio: np.ndarray) -> np.ndarray:
-    """Per text: mean difference of a symbol, and of the three most toxic words."""
+    """Per text: mean difference of a symbol, the three most toxic words, log of the length."""
     cell, bounds, gap = cells_of(column)
     n = len(bounds) - 1
+    out = np.zeros((n, 5))
     if not n:
-        return np.zeros((0, 2))
+        return out
     value = ratio[cell].astype(np.float64)
-    mean = np.add.reduceat(value, bounds[:-1]) / np.diff(bounds)
+    out[:, 0] = np.add.reduceat(value, bounds[:-1]) / np.diff(bounds)
+    out[:, 4] = np.log(np.diff(bounds))
     opens = gap.copy()
     opens[bounds[:-1]] = True
     at = np.flatnonzero(opens)
@@ -143,10 +178,10 @@ def evidence_of(column: pa.Array, ratio: np.ndarray) -> np.ndarray:
     text = np.searchsorted(bounds, at, side="right") - 1
     order = np.lexsort((-words, text))
     rank = np.arange(len(at)) - np.searchsorted(text, text)[order]
-    top = np.zeros(n)
-    best = order[rank < 3]
-    np.add.at(top, text[best], words[best])
-    return np.stack([mean, top / 3], axis=1)
+    for k in range(3):
+        best = order[rank == k]
+        out[text[best], 1 + k] = words[best]
+    return out
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
@@ -157,62 +192,88 @@ def _labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     if known.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
     fold = (F.xxhash64(F.lit("fold"), "doc_id") % 2 != 0).alias("odd")
-    return docs.where(learn).select("doc_id", utf8()).join(known, "doc_id").select("text", "is_toxic", fold)
+    chance = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)).alias("chance")
+    return docs.where(learn).select("doc_id", utf8()).join(known, "doc_id").select("text", "is_toxic", fold, chance)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((4, CELLS), np.int64)  # a fixed 32 MB
+    """(key, n): cell and kind of text (class, half) in one number, and its count; at -1 the texts."""
+    keys, counts, texts = [], [], 0
+
+    def merged() -> None:
+        key, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+        keys[:], counts[:] = [key], [total]
+
     for batch in batches:
         for a, b in pieces(batch, "text"):
             part = batch.slice(a, b - a)
+            texts += part.num_rows
             cell, bounds, _ = cells_of(part.column("text"))
-            kind = np.asarray(part.column("is_toxic")).astype(int) * 2 + np.asarray(part.column("odd")).astype(int)
-            kinds = np.repeat(kind, np.diff(bounds))
-            for k in range(4):
-                total[k] += np.bincount(cell[kinds == k], minlength=CELLS)
-    at = np.flatnonzero(total.any(axis=0))
-    for a in range(0, len(at), 1 << 16):
-        some = at[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), *(pa.array(total[k][some]) for k in range(4))], ["cell", "o0", "o1", "t0", "t1"]
-        )
+            kind = np.asarray(part.column("is_toxic")).astype(np.int32) * 2 + np.asarray(part.column("odd")).astype(np.int32)
+            key, n = np.unique(cell * 4 + np.repeat(kind, np.diff(bounds)), return_counts=True)
+            keys.append(key)
+            counts.append(n)
+            if sum(map(len, keys)) > 1 << 22:
+                merged()
+    if keys:
+        keys.append(np.array([-1], np.int32))
+        counts.append(np.array([texts]))
+        merged()
+        for a in range(0, len(keys[0]), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[0][a : a + (1 << 16)]), pa.array(counts[0][a : a + (1 << 16)])], ["key", "n"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Model:
     """Both models and the curve, from the labelled texts that ``learn`` allows."""
     spark = docs.sparkSession
     rows = _labelled(docs, labels, F.lit(True) if learn is None else learn)
-    counted = in_batches(rows, _count, "cell int, o0 bigint, o1 bigint, t0 bigint, t1 bigint")
-    cells = counted.groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("o0", "o1", "t0", "t1"))).toPandas()
-    counts = np.zeros((4, CELLS))
-    for k, c in enumerate(("o0", "o1", "t0", "t1")):
-        counts[k, cells["cell"].to_numpy(int)] = cells[c].to_numpy()
-    ratio = ratios(counts[2] + counts[3], counts[0] + counts[1])
-    unknown = Model(ratio, np.zeros(3), np.zeros(2), np.ones(2), known=False)
+    found = in_batches(rows, _count, "key int, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    texts = int(found.loc[found["key"] < 0, "n"].sum())
+    found = found[found["key"] >= 0]
+    key = found["key"].to_numpy(np.int64)
+    cells = np.unique(key // 4)
+    counts = np.zeros((4, len(cells)))  # ordinary and toxic texts, each in two halves
+    counts[key % 4, np.searchsorted(cells, key // 4)] = found["n"].to_numpy()
+
+    def whole(trust: float) -> Ratios:
+        return ratios(cells, counts[2] + counts[3], counts[0] + counts[1], trust)
+
+    unknown = Model(whole(0.0), np.zeros(6), np.zeros(5), np.ones(5), known=False)
     if not counts[:2].any() or not counts[2:].any():
         return unknown
-    # Each half of the labelled texts is judged by models of the other half.
-    halves = spark.sparkContext.broadcast([ratios(counts[3], counts[1]), ratios(counts[2], counts[0])])
-
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sample = rows.where(F.col("chance") < min(1 << 30, FIT_ROWS * (1 << 30) // max(1, texts)))
+    curves = []
+    for trust in TRUSTS:
+        # Each half of the labelled texts is judged by models of the other half.
+        halves = [ratios(cells, counts[3], counts[1], trust), ratios(cells, counts[2], counts[0], trust)]
+        x, y = _judged(sample, halves)
+        if len(y) and y.min() < y.max():
+            centre, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
+            model = Model(whole(trust), _logistic((x - centre) / scale, y), centre, scale)
+            p = np.clip(model.score(x), 1e-9, 1 - 1e-9)
+            curves.append((-float(np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))), trust, model))
+    return min(curves, key=lambda c: c[:2])[2] if curves else unknown
+
+
+def _judged(sample: DataFrame, halves: list[Ratios]) -> tuple[np.ndarray, np.ndarray]:
+    """Evidence and class of the sampled texts."""
+    shared = sample.sparkSession.sparkContext.broadcast(halves)
+    names = ["whole", "first", "second", "third", "length"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = [r.dense() for r in shared.value]
         for batch in batches:
             for a, b in pieces(batch, "text"):
                 part = batch.slice(a, b - a)
                 odd = np.asarray(part.column("odd")).astype(int)
-                both = [evidence_of(part.column("text"), r) for r in halves.value]
+                both = [evidence_of(part.column("text"), r) for r in dense]
                 own = np.where(odd[:, None] == 0, both[0], both[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[:, 0]), pa.array(own[:, 1]), part.column("is_toxic")], ["whole", "top", "is_toxic"]
-                )
-
-    evidence = in_batches(rows.select("text", "odd", "is_toxic"), judged, "whole double, top double, is_toxic boolean")
-    order = F.xxhash64("whole", "top", "is_toxic")
-    sample = evidence.orderBy(order, "whole", "top").limit(FIT_ROWS).toPandas()
-    x, y = sample[["whole", "top"]].to_numpy(float), sample["is_toxic"].to_numpy(float)
-    if y.min() == y.max():
-        return unknown
-    centre, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
-    return Model(ratio, _logistic((x - centre) / scale, y), centre, scale)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, own.T), part.column("is_toxic")], [*names, "is_toxic"])
+
+    schema = ", ".join(f"{n} double" for n in names) + ", is_toxic boolean"
+    found = in_batches(sample.select("text", "odd", "is_toxic"), work, schema).toPandas().sort_values([*names, "is_toxic"])
+    return found[names].to_numpy(float), found["is_toxic"].to_numpy(float)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -233,10 +294,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = shared.value.ratios.dense()
         for batch in batches:
             for a, b in pieces(batch, "text"):
                 part = batch.slice(a, b - a)
-                got = shared.value.score(evidence_of(part.column("text"), shared.value.ratio))
+                got = shared.value.score(evidence_of(part.column("text"), dense))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(got)], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -248,10 +310,11 @@ def without_toxic(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = shared.value.ratios.dense()
         for batch in batches:
             for a, b in pieces(batch, "text"):
                 part = batch.slice(a, b - a)
-                got = shared.value.score(evidence_of(part.column("text").cast(pa.binary()), shared.value.ratio))
+                got = shared.value.score(evidence_of(part.column("text").cast(pa.binary()), dense))
                 yield part.filter(pa.array(got < limit))
 
     return docs.mapInArrow(below, docs.schema)
