@@ -10,15 +10,14 @@ with probability (1 - 0.85^6)^40, below 1e-8, and one at 0.3 met with 3 %.
 
 Large groups: equal sets are one class from the start. In a band group of more than
 ``SMALL_GROUP`` classes only a few pivots are compared with all; classes that this
-joins need no more comparing. What is left apart is compared block by block: the
-signatures of two blocks meet in one task, which passes on the pairs that agree often enough
-to be able to reach the threshold. Pairs are never listed beyond that, and none is
-left out but for the error of a signature ten deviations off.
+joins need no more comparing. What is left apart is compared block by block: two
+blocks of bounded size meet in one task, which counts what each full set of one shares with
+all of the other at once, and passes on links alone. No list of pairs is made, and none is left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +30,13 @@ from farthing.llm.common import in_batches, pieces, stored, utf8
 from farthing.llm.components import components
 from farthing.llm.words import SPACED, mixed, shingle_sets, words_of
 
+#: Texts of a table of ids.
+Texts = Callable[[DataFrame], DataFrame]
+
 SMALL_GROUP = 24
 PIVOTS = 3
-BLOCK = 128
+#: Members and bytes of full sets in a block, at most but for one longer set.
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -50,12 +53,6 @@ class Banding:
     def size(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def agree(self) -> int:
-        """Coordinates that must agree: ten standard deviations below the threshold."""
-        j = self.above / self.below
-        return max(self.rows, int(self.size * j - 10 * (self.size * j * (1 - j)) ** 0.5))
-
 
 def _second(x: np.ndarray) -> np.ndarray:
     """The second permutation: a bijection of 32-bit numbers, in place."""
@@ -96,6 +93,11 @@ def _print_of(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def set_codes(column: pa.Array, banding: Banding) -> np.ndarray:
+    """The code of each text's set, as ``prints_of`` has it in ``f1``."""
+    return _print_of(*_set_codes(column, banding))[:, 0].copy().view(np.int64)
+
+
 def prints_of(texts: DataFrame, banding: Banding, carried: tuple[str, ...] = ("id",)) -> DataFrame:
     """The ``carried`` columns, and (n, f1, f2, keys): set size, code of the set, one key per band."""
 
@@ -136,46 +138,27 @@ def _sets(texts: DataFrame, banding: Banding) -> DataFrame:
     return in_batches(texts, work, "id bigint, members binary")
 
 
-def _marks(texts: DataFrame, banding: Banding) -> DataFrame:
-    """(id, mark): the signatures as bytes, for block comparisons."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in pieces(batch, "text"):
-                part = batch.slice(a, b - a)
-                marks = signatures(*_set_codes(part.column("text"), banding), banding.size)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array([m.tobytes() for m in marks], pa.binary())], ["id", "mark"]
-                )
-
-    return in_batches(texts, work, "id bigint, mark binary")
-
-
-def _common(members: pd.Series, others: pd.Series) -> np.ndarray:
-    out = np.zeros(len(members), np.int64)
-    for i, (x, y) in enumerate(zip(members, others)):
-        both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-        both.sort()
-        out[i] = int((both[1:] == both[:-1]).sum())
-    return out
+def _reaches(x: bytes, y: bytes, banding: Banding) -> bool:
+    both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return banding.below * common >= banding.above * (len(both) - common)
 
 
-def _of_ends(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts that some pair names."""
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    return texts.join(stored(ends, "ends"), "id", "left_semi")
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The ids that some pair names."""
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    return stored(ends.distinct(), "ends")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame:
+def _verified(pairs: DataFrame, texts: Texts, banding: Banding) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            both = _common(f["x"], f["y"])
-            union = f["x"].str.len().to_numpy() // 8 + f["y"].str.len().to_numpy() // 8 - both
-            yield f.loc[banding.below * both >= banding.above * union, ["a", "b"]]
+            yield f.loc[[_reaches(x, y, banding) for x, y in zip(f["x"], f["y"])], ["a", "b"]]
 
-    sets = stored(_sets(_of_ends(pairs, texts), banding).distinct(), "sets")
+    sets = stored(_sets(texts(_ends(pairs)), banding).distinct(), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -196,11 +179,11 @@ def _groups(banded: DataFrame) -> DataFrame:
     return stored(one.select("key", "held"), "groups")
 
 
-def similar(classes: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame:
+def similar(classes: DataFrame, texts: Texts, banding: Banding) -> DataFrame:
     """(a, b): verified links between classes, enough for all components.
 
-    ``classes``: (id, n, keys), one row per distinct set; ``texts``: (id, text binary)
-    with a row for each class id, more rows than that being passed over.
+    ``classes``: (id, n, keys), one row per distinct set; ``texts`` gives the rows (id,
+    text binary) of a table of ids, one or more for each.
     """
     banded = classes.select(F.explode("keys").alias("key"), "id", "n")
     members = stored(banded.join(_groups(banded), "key").select("key", "held", "id", "n"), "members")
@@ -221,31 +204,39 @@ def similar(classes: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame
     links = stored(_verified(pairs, texts, banding), "links")
     if many.isEmpty():
         return links
-    rest = _apart(many, pairs, components(links), texts, banding)
-    return links if rest is None else stored(links.unionByName(_verified(rest, texts, banding)), "links")
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component"))
+    rest = _apart(many, near, texts, banding)
+    return links if rest is None else stored(links.unionByName(rest), "links")
 
 
-def _apart(many: DataFrame, pairs: DataFrame, joined: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame | None:
-    """Candidate pairs inside large groups that are still in different components.
+def _apart(many: DataFrame, joined: DataFrame, texts: Texts, banding: Banding) -> DataFrame | None:
+    """Links inside large groups between classes that no common smallest neighbour has joined.
 
-    In each group the classes outside its largest component meet all members, block
-    against block; one task holds the signatures of two blocks.
+    In each group the classes outside its largest set of joined ones meet all members, block
+    against block; one task holds two blocks.
     """
     labelled = stored(
         many.join(joined.select(F.col("node").alias("id"), "component"), "id", "left")
         .select("key", "id", "n", F.coalesce("component", "id").alias("label")),
         "labelled",
     )
-    counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    counts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
     main = stored(
-        counts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("held"), F.max("c").alias("most"))
-        .where("held > most"),
+        counts.groupBy("key").agg(
+            F.max_by(F.struct("label", "w"), F.struct("c", "label")).alias("main"), F.sum("c").alias("held"), F.max("c").alias("most"), F.sum("w").alias("total")
+        ).where("held > most").select("key", "held", "most", "total", F.col("main.label").alias("main"), F.col("main.w").alias("kept")),
         "main",
     )
     if main.isEmpty():
         return None
     placed = stored(labelled.join(main, "key"), "placed")
-    lefts, rights = (F.ceil(x / BLOCK).cast("int") for x in (F.col("held") - F.col("most"), F.col("held")))
+
+    def blocks(members, sizes):
+        return F.greatest(F.ceil(members / BLOCK), F.ceil(8 * sizes / F.lit(BLOCK_BYTES))).cast("int")
+
+    lefts = blocks(F.col("held") - F.col("most"), F.col("total") - F.col("kept"))
+    rights = blocks(F.col("held"), F.col("total"))
 
     def side(rows: DataFrame, own, others, left: bool) -> DataFrame:
         """Each row goes to a block of its side and meets every block of the other."""
@@ -257,24 +248,26 @@ def _apart(many: DataFrame, pairs: DataFrame, joined: DataFrame, texts: DataFram
     minor = placed.where(F.col("label") != F.col("main"))
     meets = side(minor, lefts, rights, True).unionByName(side(placed, rights, lefts, False))
     ids = stored(placed.select("id").distinct(), "ends")
-    marks = stored(_marks(texts.join(ids, "id", "left_semi"), banding).distinct(), "marks")
-    agree = banding.agree
+    sets = stored(_sets(texts(ids), banding).distinct(), "sets")
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
         x, y = f[f["left"]], f[~f["left"]]
-        found = []
+        found = set()
         if len(x) and len(y):
-            marks = np.stack([np.frombuffer(m, np.uint32) for m in y["mark"]])
             ids, labels, sizes = (y[c].to_numpy() for c in ("id", "label", "n"))
-            for mark, i, label, n in zip(x["mark"], x["id"], x["label"], x["n"]):
-                near = (marks == np.frombuffer(mark, np.uint32)).sum(1) >= agree
-                near &= (labels != label) & (np.minimum(sizes, n) * banding.below >= np.maximum(sizes, n) * banding.above)
-                found += [(min(i, o), max(i, o)) for o in ids[near]]
-        return pd.DataFrame(found, columns=["a", "b"]).drop_duplicates().astype("int64")
+            flat = np.concatenate([np.frombuffer(m, np.uint64) for m in y["members"]])
+            starts = np.cumsum(sizes) - sizes
+            for i, label, n, members in zip(x["id"], x["label"], x["n"], x["members"]):
+                near = (labels != label) & (np.minimum(sizes, n) * banding.below >= np.maximum(sizes, n) * banding.above)
+                if near.any():
+                    own = np.frombuffer(members, np.uint64)
+                    at = np.searchsorted(own, flat)
+                    common = np.add.reduceat(own[np.minimum(at, n - 1)] == flat, starts, dtype=np.int64)
+                    near &= banding.below * common >= banding.above * (sizes + n - common)
+                    found.update((min(i, o), max(i, o)) for o in ids[near].tolist())
+        return pd.DataFrame(sorted(found), columns=["a", "b"]).astype("int64")
 
-    near = meets.join(marks, "id").groupBy("key", "i", "j").applyInPandas(meet, "a bigint, b bigint")
-    rest = stored(near.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    return None if rest.isEmpty() else rest
+    return meets.join(sets, "id").groupBy("key", "i", "j").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
@@ -291,7 +284,7 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     classes = stored(
         linkable.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.min_by("keys", "id").alias("keys")), "classes"
     )
-    links = similar(classes.select(F.col("rep").alias("id"), "n", "keys"), texts, banding)
+    links = similar(classes.select(F.col("rep").alias("id"), "n", "keys"), lambda ids: texts.join(ids, "id", "left_semi"), banding)
     slim = stored(classes.select("f1", "f2", "n", "rep"), "reps")
     member = stored(prints.join(slim, ["f1", "f2", "n"], "left").select("id", "n", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")), "members")
     several = member.where("rep is not null").groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("id")
