@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from farthing.llm.common import in_batches, pieces, stored, utf8
 from farthing.llm.components import components
-from farthing.llm.minhash import Banding, prints_of, similar
+from farthing.llm.minhash import Banding, prints_of, set_codes, similar
+from farthing.llm.sieve import Sieve, sieve_of
 from farthing.llm.words import SPACED, Words, mixed, text_bytes, words_of
 
 LEAST = 50
@@ -90,8 +91,24 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """(code, doc_id, start, stop) of the runs of whole sentences."""
+def _lines_of(docs: DataFrame, ids: DataFrame, least: int, banding: Banding) -> DataFrame:
+    """(id, text) of the paragraphs with these codes, and a few others; the texts stay in the scan."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve_of(ids))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch, "text"):
+                lines = pa.array(_lines(batch.column("text").slice(a, b - a), least)[3], pa.binary())
+                codes = set_codes(lines, banding)
+                kept = pa.array(shared.value.might_hold(codes))
+                yield pa.RecordBatch.from_arrays([pa.array(codes).filter(kept), lines.filter(kept)], ["id", "text"])
+
+    return in_batches(docs.select(utf8()), work, "id bigint, text binary")
+
+
+def _windows(docs: DataFrame, sieve: Sieve | None = None) -> DataFrame:
+    """(code, doc_id, start, stop) of the runs of whole sentences, of all or those that ``sieve`` lets pass."""
+    shared = None if sieve is None else docs.sparkSession.sparkContext.broadcast(sieve)
 
     def sentences(raw: np.ndarray, w: Words):
         stops = np.isin(raw[w.ends - 1], np.frombuffer(b".!?", np.uint8))
@@ -119,9 +136,13 @@ def _windows(docs: DataFrame) -> DataFrame:
                     power, back = _powers(_STEP, n), _powers(_BACK, n)
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.codes * power[:n], dtype=np.uint64)])
                     code = mixed((sums[stop] - sums[starts]) * back[starts] + (stop - starts).astype(np.uint64))
+                code = code.view(np.int64)
+                if shared is not None:
+                    kept = shared.value.might_hold(code)
+                    code, text, starts, stop = code[kept], text[kept], starts[kept], stop[kept]
                 first = w.first[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code.view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(starts - first), pa.array(stop - first)],
+                    [pa.array(code), part.column("doc_id").take(pa.array(text)), pa.array(starts - first), pa.array(stop - first)],
                     ["code", "doc_id", "start", "stop"],
                 )
 
@@ -161,15 +182,17 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, banding: Banding = BA
     docs = docs.where("doc_id is not null")
     lines = stored(_prints(docs, least, banding), "prints")
     classes = lines.groupBy("f1").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
-    texts = paragraphs(docs, least).withColumnRenamed("line", "text")
-    texts = prints_of(texts, banding, ("text",)).select(F.col("f1").alias("id"), "text")
+
+    def texts(ids: DataFrame) -> DataFrame:
+        return _lines_of(docs, ids, least, banding).join(ids, "id", "left_semi")
+
     links = similar(stored(classes.select(F.col("f1").alias("id"), "n", "keys"), "classes"), texts, banding)
     joined = stored(components(links), "components")
     member = lines.select("doc_id", "start", "stop", F.col("f1").alias("node")).join(joined, "node", "left")
     member = stored(member.select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component")), "paragraphs")
     near = member.join(_repeated(member, "component"), "component")
-    windows = _windows(docs)
-    same = windows.join(_repeated(windows, "code"), "code")
+    repeated = _repeated(_windows(docs), "code")
+    same = _windows(docs, sieve_of(repeated.select("code"))).join(repeated, "code")
     spans = near.select("doc_id", "start", "stop", "first").unionByName(same.select("doc_id", "start", "stop", "first"))
     own = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "first")).alias("spans"))
     found = own.mapInPandas(lambda frames: _merged(frames, INNER), "doc_id bigint, start bigint, stop bigint, first_doc bigint")
