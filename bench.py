@@ -14,6 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from farthing.plans.fixtures import PARTS_KEY  # noqa: E402
 from farthing.plans.queries import REGISTRY  # noqa: E402
 from farthing.session import local_session  # noqa: E402
 
@@ -50,6 +51,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session("farthing-bench", cores)
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set(PARTS_KEY, cores)
     seconds = {}
     for name in HEADLINE:
         timed(spark, name, folder)

@@ -7,40 +7,70 @@ regular expressions and embedded JSON as VARIANT.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from farthing.functions import rules, text
+from farthing.rulebook import packs
 
-# --- fixed values: named character references ---------------------------------
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&reg;", "®"), ("&trade;", "™"), ("&copy;", "©"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&bull;", "•"), ("&middot;", "·"), ("&times;", "×"),
-    ("&hellip;", "…"), ("&cent;", "¢"), ("&deg;", "°"), ("&frac12;", "½"),
-    ("&eacute;", "é"), ("&amp;", "&"),
-]
+#: Named character references by the HTML standard's table; names with a semicolon first.
+NAMED = dict(html5)
+#: Names that count without a semicolon, the longest first.
+BARE_NAMES = sorted((n for n in NAMED if not n.endswith(";")), key=lambda n: (-len(n), n))
+#: Numbers 128 to 159 stand for the bytes of Windows-1252 where it has them.
+_WINDOWS = {n: c for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))}
+
+
+#: Names that most pages use; they are looked up before the whole table.
+_USUAL = {n: NAMED[n] for n in ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")}
+
+
+def _named(names: Column, table: dict[str, str] = NAMED) -> Column:
+    """The characters of a name, from a table that is one constant in the plan."""
+    packed = "\x02".join(f"{n}\x01{c}" for n, c in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(packed), F.lit("\x02"), F.lit("\x01")), names)
+
+
+def _numbered(digits: Column, base: int) -> Column:
+    """The character of a number of any length; U+FFFD for what is none."""
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    number = F.when(F.length(short) <= 8, F.conv(short, base, 10).cast("bigint")).otherwise(F.lit(1 << 40))
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    wrong = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    known = F.element_at(F.create_map(*[F.lit(x) for n, c in _WINDOWS.items() for x in (n, c)]), number.cast("int"))
+    return F.when(wrong, F.lit("\ufffd")).when(number.between(128, 159), F.coalesce(known, char)).otherwise(char)
 
 
 def unescape(value: Column) -> Column:
-    """Character references decoded; ``&amp;`` last, so nothing decodes twice."""
-    pieces = F.split(value, "&#")
-    code_pattern = r"^([0-9]{1,5}|[xX][0-9a-fA-F]{1,4});?"
+    """Character references decoded in one pass, so nothing decodes twice.
+
+    Named ones by the whole HTML table (some also without semicolon, the longest
+    such name first), decimal and hexadecimal ones of any length.
+    """
+    bare = "^(" + "|".join(BARE_NAMES) + ")"
 
     def decoded(piece):
-        code = F.regexp_extract(piece, code_pattern, 1)
-        number = F.when(code.rlike("^[xX]"), F.conv(F.substr(code, F.lit(2)), 16, 10)).otherwise(code).try_cast("int")
-        char = F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 4, "0")), "UTF-16BE")
-        rest = F.regexp_replace(piece, code_pattern, "")
-        return F.when(code == "", F.concat(F.lit("&#"), piece)).otherwise(F.concat(char, rest))
+        hexed = F.regexp_extract(piece, "^#[xX]([0-9a-fA-F]+);?", 1)
+        plain = F.regexp_extract(piece, "^#([0-9]+);?", 1)
+        full = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*;)", 1)
+        short = F.regexp_extract(piece, bare, 1)
+        after_number = F.regexp_replace(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", "")
+        usual = _named(full, _USUAL)
+        return (
+            F.when(usual.isNotNull(), F.concat(usual, F.substr(piece, F.length(full) + 1)))
+            .when(~piece.rlike("^[#A-Za-z]"), F.concat(F.lit("&"), piece))
+            .when(hexed != "", F.concat(_numbered(hexed, 16), after_number))
+            .when(plain != "", F.concat(_numbered(plain, 10), after_number))
+            .when(_named(full).isNotNull(), F.concat(_named(full), F.substr(piece, F.length(full) + 1)))
+            .when(short != "", F.concat(_named(short), F.substr(piece, F.length(short) + 1)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
 
+    pieces = F.split(value, "&")
     tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
-    out = F.when(F.size(pieces) > 1, F.concat(pieces[0], F.array_join(tail, ""))).otherwise(value)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.when(F.size(pieces) > 1, F.concat(pieces[0], F.array_join(tail, ""))).otherwise(value)
 
 
 def collapse(value: Column) -> Column:
@@ -156,31 +186,32 @@ def _graph(node: Column) -> Column:
 def jsonld_nodes(html: Column, last_first: bool = True) -> Column:
     """Every object of the page's ld+json blocks as array<variant>.
 
-    Lists and ``@graph`` arrays are flattened (nested up to three deep), a
-    wrapper before its graph. ``last_first`` visits the last element of each
-    list first. Malformed blocks are skipped.
+    Lists and ``@graph`` arrays are opened to any depth, a wrapper standing before
+    its graph. ``last_first`` visits the last element of each list first. Malformed
+    blocks are skipped.
     """
     blocks = F.regexp_extract_all(text.filled(html), F.lit(JSONLD), F.lit(1))
-    parsed = F.filter(F.transform(blocks, lambda b: F.try_parse_json(F.trim(b))), lambda v: v.isNotNull())
+    none = F.array().cast("array<variant>")
     turned = F.reverse if last_first else (lambda a: a)
 
-    def unlisted(nodes):
-        return F.flatten(F.transform(nodes, lambda n: F.coalesce(turned(_elements(n)), F.array(n))))
-
-    # One inner level: graph elements that are lists or carry a graph again.
-    def deeper(nodes):
-        inner = F.transform(
-            nodes,
-            lambda n: F.concat(
-                F.array(n),
-                F.coalesce(turned(F.flatten(F.transform(F.coalesce(_graph(n), F.array().cast("array<variant>")),
-                                                        lambda g: F.coalesce(_elements(g), F.array(g))))),
-                           F.array().cast("array<variant>")),
-            ),
-        )
-        return F.flatten(inner)
+    def entries(nodes, fresh: bool):
+        return F.transform(nodes, lambda n: F.struct(n.alias("node"), F.lit(fresh).alias("fresh")))
+
+    def opened(entry):
+        node = entry["node"]
+        listed = turned(_elements(node))
+        inside = F.concat(entries(F.array(node), False), entries(F.coalesce(turned(_graph(node)), none), True))
+        return F.when(~entry["fresh"], F.array(entry)).when(listed.isNotNull(), entries(listed, True)).otherwise(inside)
 
-    return F.filter(deeper(unlisted(parsed)), lambda n: is_object(n))
+    def flat(block):
+        # One round per level; a level costs a graph or a bracket inside a list.
+        levels = F.regexp_count(block, F.lit(r"\"@graph\"|[\[,](?=\s*\[)")) + 2
+        start = entries(F.array(F.try_parse_json(F.trim(block))), True)
+        rounds = F.sequence(F.lit(1), levels)
+        return F.aggregate(rounds, start, lambda held, _: F.flatten(F.transform(held, opened)), lambda held: F.transform(held, lambda e: e["node"]))
+
+    good = F.filter(blocks, lambda b: F.try_parse_json(F.trim(b)).isNotNull())
+    return F.filter(F.flatten(F.transform(good, flat)), lambda n: is_object(n))
 
 
 def _type_is(node: Column, names: Sequence[str]) -> Column:
@@ -267,7 +298,7 @@ def redirected(requested: Column, landed: Column) -> Column:
     )
 
 
-def policy_links(html: Column, url: Column, keywords: Sequence[str]) -> Column:
+def policy_links(html: Column, url: Column, keywords: Sequence[str] = packs.POLICY_WORDS) -> Column:
     """Same-host links whose text or target names a keyword, no fragment.
 
     First occurrence order, without repeats.
@@ -309,26 +340,19 @@ def near_keyword(value: Column, number: Column, words: Sequence[str], window: in
     """Is a number, plain or with thousands commas, near one of the words?
 
     The number must not touch other digits; both orders count. The window is
-    ``window`` characters before a word's start and as many from it on.
+    ``window`` characters before a word's start and as many from it on. One pattern
+    per number and word looks no further than the window from each occurrence.
     """
     low = collapse(F.lower(text.filled(value)))
-    plain = number.cast("string")
-    comma = F.format_number(number, 0)
-    needle = F.concat(F.lit(r"(?<!\d)(?:"), plain, F.lit("|"), comma, F.lit(r")(?!\d)"))
     hit = F.lit(False)
-    for word in words:
-        pieces = F.split(low, word)
-        # The text before each word occurrence and the text from it on.
-        hit = hit | F.exists(
-            F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1))),
-            lambda k: _near_at(low, pieces, k, word, window, needle),
-        )
+    for form in (number.cast("string"), F.format_number(number, 0)):
+        needle = F.concat(F.lit(r"(?<!\d)"), form, F.lit(r"(?!\d)"))
+        for word in words:
+            quoted = F.lit("\\Q" + word + "\\E")
+            for first, then, room in (
+                (needle, quoted, window - F.length(form)),
+                (quoted, needle, window - len(word) - F.length(form)),
+            ):
+                gap = F.concat(F.lit("(?=.{0,"), F.greatest(room, F.lit(0)).cast("string"), F.lit("}?"))
+                hit = hit | ((room >= 0) & F.regexp_like(low, F.concat(F.lit("(?s)"), first, gap, then, F.lit(")"))))
     return hit
-
-
-def _near_at(low: Column, pieces: Column, k: Column, word: str, window: int, needle: Column) -> Column:
-    before = F.array_join(F.slice(pieces, F.lit(1), k), word)
-    start = F.length(before)
-    begin = F.greatest(start - window, F.lit(0))
-    segment = F.substr(low, begin + 1, start + window - begin)
-    return (F.size(pieces) > k) & F.regexp_like(segment, needle)

@@ -108,8 +108,3 @@ def lookup(key: Column, table: dict) -> Column:
     """Exact-key lookup in a small literal map, NULL when absent."""
     pairs = [F.lit(part) for item in table.items() for part in item]
     return F.try_element_at(F.create_map(*pairs), key)
-
-
-def like_escape(text: str) -> str:
-    """Quote LIKE wildcards of a literal."""
-    return text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")

@@ -326,8 +326,8 @@ def powder_use(brand: Column, name: Column) -> Column:
 
     low = F.lower(filled(name))
     chain = None
-    for maker, uses in components.POWDER_USE.items():
-        pairs = [(frag, use) for use, frags in uses.items() for frag in frags]
+    for maker in dict.fromkeys(brand for brand, _, _ in components.POWDER_USE):
+        pairs = [(fragment, use) for own, fragment, use in components.POWDER_USE if own == maker]
         table = [(r"(?<!\w)" + re.escape(f) + r"(?!\w)", use) for f, use in rules.longest_first(pairs)]
         found = rules.ordered_regex(low, table)
         test = F.lower(brand) == maker

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farthing.operators.pool import small_table
 from farthing.operators.spread import cheapest
+from farthing.rulebook import categories
 
 SAMPLES = 5
 
@@ -38,16 +40,21 @@ def bound_lookup(
 
 def category_audit(
     listings: DataFrame,
-    expected: DataFrame,
+    expected: DataFrame | None = None,
     category: str = "caliber_normalized",
     price: str = "price_per_round",
     min_count: int = 5,
     low: float = 0.05,
     high: float = 5.0,
     mult: float = 3.0,
-    default: tuple[float, float] = (0.10, 5.00),
+    default: tuple[float, float] = categories.DEFAULT_EXPECTED_RANGE,
 ) -> DataFrame:
-    """Count, minimum, maximum, mean and severity per category."""
+    """Count, minimum, maximum, mean and severity per category.
+
+    Without ``expected`` the ranges of the tracked catalogue hold.
+    """
+    if expected is None:
+        expected = small_table(listings.sparkSession, categories.EXPECTED_RANGES, "category string, lo double, hi double")
     value = F.col(price).try_cast("double")
     usable = listings.where(F.col(category).isNotNull() & (F.col(category) != "") & (value > 0))
     # The mean is a sum of exact decimals, equal on every partitioning.

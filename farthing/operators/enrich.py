@@ -295,7 +295,7 @@ def pick_variant(products: DataFrame, variants: str = "variants", low: int = 10,
     rest = [c for c in products.columns if c != variants]
     if mode == "each":
         flat = products.select(*rest, F.explode(able).alias("v"))
-        key = F.substring(F.concat_ws("-", F.col("handle"), F.col("v.variant_id").cast("string")), 1, 100)
+        key = F.concat_ws("-", F.col("handle"), F.col("v.variant_id").cast("string"))
     else:
         # Array order is (rounds, position): the smallest pack, first of equals.
         chosen = F.array_min(able) if mode == "smallest" else F.get(able, F.lit(0))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farthing.functions import predicates, prices
 from farthing.operators.stats import upper_median
+from farthing.rulebook import categories
 
 LITERAL_IDS = 1000
 
@@ -206,7 +207,7 @@ def promo_filter(df: DataFrame, marker: str, url: str = "product_url") -> DataFr
 
 def slug_conflict(
     df: DataFrame,
-    table: Sequence[tuple[str, str]],
+    table: Sequence[tuple[str, str]] = categories.SLUG_CONFLICTS,
     category: str = "caliber_normalized",
     title: str = "title",
     url: str = "product_url",
@@ -240,7 +241,6 @@ def title_over_category(
     when that is one of them.
     """
     from farthing.functions import rules, text
-    from farthing.rulebook import categories
 
     if mode not in ("retag", "strict", "lenient"):
         raise ValueError(f"mode must be retag, strict or lenient, got {mode!r}")

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farthing.functions import clock, prices
-from farthing.operators.spread import HOT_ROWS, attach_facts
+from farthing.operators.spread import HOT_ROWS, attach_facts, join_facts
 
-MAX_DELETES = 150_000
 MAX_DELETE_SHARE = 0.35
 
 
@@ -25,13 +24,14 @@ def retention_plan(
 ) -> DataFrame:
     """Old rows tagged keep, tier1 (redundant), tier2 (expired) or orphan.
 
-    Per listing and UTC day the cheapest eligible row stays and, if another,
+    Only whole UTC days before ``as_of`` less ``retention_days`` are touched; an open
+    day stays as it is. Per listing and day the cheapest eligible row stays and, if another,
     the cheapest at or above the category's floor. Without an eligible row the
     last row stays as a marker, unless the day is past ``expiry_days`` and
     was never in stock; then all its rows expire. Ties: price, time, id.
     """
     now = clock.literal_micros(as_of)
-    cutoff = clock.from_micros(F.lit(now - retention_days * clock.DAY))
+    cutoff = clock.from_micros(F.lit((now - retention_days * clock.DAY) // clock.DAY * clock.DAY))
     expiry_day = (now - expiry_days * clock.DAY) // clock.DAY
     price = F.col("price_per_round").cast("double")
     old = history.where(F.col("recorded_at") < cutoff).select(
@@ -42,8 +42,9 @@ def retention_plan(
         floor_of, "_cal", "left"
     )
     known = known.select("_lid", F.coalesce("_floor", F.lit(0.0)).alias("_floor"))
+    known = known.withColumn("listing_id", F.col("_lid"))
     staged = (
-        old.join(known, F.col("listing_id") == F.col("_lid"), "left")
+        join_facts(old, known, "listing_id", "id", hot_rows, "left")
         .withColumn("day", clock.day_number(F.col("recorded_at")))
         .withColumn("_ok", F.coalesce(F.col("in_stock"), F.lit(False)) & prices.positive(price, finite=True))
     )
@@ -80,9 +81,12 @@ def retention_plan(
 
 
 def retention_invariants(
-    plan: DataFrame, max_deletes: int = MAX_DELETES, max_share: float = MAX_DELETE_SHARE
+    plan: DataFrame, max_deletes: int | None = None, max_share: float = MAX_DELETE_SHARE
 ) -> DataFrame:
-    """One row of violation counts; a sound plan has zero in each."""
+    """One row of violation counts; a sound plan has zero in each.
+
+    The share of deletes is the guard at any size; ``max_deletes`` adds an absolute one.
+    """
     keep, orphan = F.col("action") == "keep", F.col("action") == "orphan"
     tier1, tier2 = F.col("action") == "tier1", F.col("action") == "tier2"
     price = F.col("price_per_round").cast("double")
@@ -113,7 +117,9 @@ def retention_invariants(
     one = both.agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in names])
     unaccounted = F.abs(F.col("examined") - F.col("deletes") - F.col("keeps") - F.col("orphans"))
     share = F.try_divide(F.col("deletes"), F.col("examined"))
-    over = (F.col("deletes") > max_deletes) | (F.coalesce(share, F.lit(0.0)) > max_share)
+    over = F.coalesce(share, F.lit(0.0)) > max_share
+    if max_deletes is not None:
+        over = over | (F.col("deletes") > max_deletes)
     return one.select(
         "examined", "deletes", "keeps", "orphans", "id_in_two_tiers", "expired_in_stock", "eligible_keep_count",
         "marker_keep_count", "group_min_lost", unaccounted.alias("unaccounted"), over.cast("int").alias("over_band"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farthing.functions import prices
-from farthing.operators.spread import cheapest
+from farthing.operators.spread import attach_facts, cheapest, join_facts
 from farthing.operators.stats import interpolated_median
 
 SEGMENT = ("caliber_normalized", "bullet_type", "case_material")
@@ -36,9 +36,8 @@ def observations(
         chosen = chosen.where(F.col(name).isNotNull())
     chosen = chosen.select(F.col("id").alias("listing_id"), *segment)
     facts = history.where((F.col("recorded_at") >= since) & prices.positive(F.col("price_per_round")))
-    return facts.select("listing_id", F.col("price_per_round").cast("double").alias("ppr")).join(
-        chosen, "listing_id"
-    )
+    facts = facts.select("listing_id", F.col("price_per_round").cast("double").alias("ppr"))
+    return join_facts(facts, chosen, "listing_id", "ppr")
 
 
 def above_floor(
@@ -95,13 +94,12 @@ def segment_trimmed_mean(
     # Counted by distinct price once: the median and the mean both read this
     # one shuffle, which spreads a hot segment by its prices.
     counted = seen.groupBy(*segment, "ppr").agg(F.count(F.lit(1)).alias("_times"))
-    middle = interpolated_median(counted, segment, "ppr", weight="_times").drop("n")
-    joined = counted.join(middle, list(segment))
+    middle = interpolated_median(counted, segment, "ppr", weight="_times")
+    joined = attach_facts(counted, middle, list(segment), "n", "ppr")
     inside = F.col("ppr").between(F.col("median") / mult, F.col("median") * mult)
+    # Exact decimals: the sum is the same in any order of the rows.
+    part = F.when(inside, (F.col("ppr") * F.col("_times")).cast("decimal(38,12)"))
     return joined.groupBy(*segment, "median").agg(
-        (
-            F.sum(F.when(inside, F.col("ppr") * F.col("_times")))
-            / F.sum(F.when(inside, F.col("_times")))
-        ).alias("segment_avg"),
+        (F.sum(part).cast("double") / F.sum(F.when(inside, F.col("_times")))).alias("segment_avg"),
         F.sum("_times").alias("row_count"),
     )

@@ -102,12 +102,10 @@ def bucket_floor_series(
     offset = clock.micros(F.col("recorded_at")) - F.lit(start_us)
     rest = F.pmod(offset, F.lit(step))
     bucket = ((offset - rest) / F.lit(step)).cast("bigint") + F.when(rest == 0, 0).otherwise(1)
-    binned = facts.withColumn("bucket", bucket).join(chosen, "listing_id")
-    latest = latest_per(
-        binned.select(*series, "listing_id", "bucket", "price_per_round", "recorded_at", "id"),
-        [*series, "listing_id", "bucket"],
-        ["recorded_at", "id"],
-    )
+    # The history shrinks to one row per listing and bucket, combined in the scan, before
+    # it meets the listings: a listing with very many rows is no large key of the join.
+    latest = latest_per(facts.withColumn("bucket", bucket), ["listing_id", "bucket"], ["recorded_at", "id"])
+    latest = latest.join(chosen, "listing_id").select(*series, "listing_id", "bucket", "price_per_round", "recorded_at", "id")
     alive = latest.groupBy(*series, "bucket").agg(F.count(F.lit(1)).alias("alive_count"))
     lows = cheapest(latest.select(*series, "bucket", "price_per_round"), [*series, "bucket"], ["price_per_round"],
                     cheapest_n)
@@ -174,12 +172,12 @@ def daily_floor_series(
     rows = rows.where(F.col("recorded_at") < clock.from_micros(F.lit(today * clock.DAY)))
     rows = rows.where(F.col("price_per_round").isNotNull() & (price >= float(price_floor)) & (price <= float(hard_ceiling)))
     rows = rows.select("listing_id", price.alias("_price"), clock.day_number(F.col("recorded_at")).alias("_day"))
-    # Reduced to one low per listing and day only after the bounds, which are
-    # known from one aggregated row.
-    kept = rows.join(members, "listing_id").crossJoin(F.broadcast(bounds))
+    # The bounds are one aggregated row, so the history shrinks to one low per listing
+    # and day, combined in the scan, before it meets the listings.
+    kept = rows.crossJoin(F.broadcast(bounds))
     kept = kept.where((F.col("_price") >= F.col("lo")) & (F.col("_price") <= F.col("hi")))
     kept = kept.withColumn("_price", F.col("_price") * F.lit(float(price_mult))).where(F.col("_price") > 0)
-    lows = kept.groupBy("series_key", "_day", "listing_id").agg(F.min("_price").alias("_low"))
+    lows = kept.groupBy("listing_id", "_day").agg(F.min("_price").alias("_low")).join(members, "listing_id")
     top = cheapest(lows.select("series_key", "_day", "_low"), ["series_key", "_day"], ["_low"], n)
     means = top.groupBy("series_key", "_day").agg(F.array_sort(F.collect_list("_low")).alias("_lows"))
     return (

@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows that one task of a join takes without trouble; larger groups are worth salting.
 HOT_ROWS = 1_000_000
+#: Groups that are salted at most: any other has less than so small a share of the rows.
+HOT_GROUPS = 1000
 SPREAD = 64
 
 
@@ -27,17 +30,16 @@ def attach_facts(
 ) -> DataFrame:
     """Left-join per-group facts to the rows without a hot partition.
 
-    Groups above ``hot_rows`` rows are at most (all rows / hot_rows) many, so
-    their facts have a proven bound and are broadcast; their rows then carry a
-    salt and spread over ``spread`` partitions of the ordinary join, where
-    they match nothing. ``size`` names the fact column with the group's row
+    The largest ``HOT_GROUPS`` groups above ``hot_rows`` rows are broadcast: a fixed number,
+    whatever the data. Their rows carry a salt and spread over ``spread`` partitions of the
+    ordinary join, where they match nothing. Any other group has less than a
+    ``HOT_GROUPS``-th of all rows. ``size`` names the fact column with the group's row
     count and ``spread_by`` a row column to hash for the salt.
     """
     values = [c for c in facts.columns if c not in keys]
-    hot = facts.where(F.col(size) > hot_rows).select(
-        *[F.col(k).alias(f"_h_{k}") for k in keys], F.struct(*values).alias("_hot")
-    )
-    cold = facts.where(F.col(size) <= hot_rows).select(
+    largest = facts.where(F.col(size) > hot_rows).orderBy(F.desc(size), *keys).limit(HOT_GROUPS)
+    hot = largest.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.struct(*values).alias("_hot"))
+    cold = facts.select(
         *[F.col(k).alias(f"_c_{k}") for k in keys], F.lit(0).alias("_c_salt"), F.struct(*values).alias("_cold")
     )
     on_hot = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
@@ -50,6 +52,20 @@ def attach_facts(
     return joined.select(*[F.col(c) for c in rows.columns], *picked)
 
 
+def join_facts(
+    rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS, how: str = "inner"
+) -> DataFrame:
+    """Inner or left join of rows with one fact row per ``key``, safe against hot keys.
+
+    The rows are counted per key first, from the key column alone. After this join an
+    aggregate by the key shuffles again, so hot keys stay spread up to their partial sums.
+    """
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    sized = facts.join(sizes, key, "left").withColumn("_rows", F.coalesce("_rows", F.lit(0)))
+    found = attach_facts(rows, sized.withColumn("_known", F.lit(True)), [key], "_rows", spread_by, hot_rows)
+    return (found.where("_known") if how == "inner" else found).drop("_known", "_rows")
+
+
 def carry_forward(
     df: DataFrame,
     keys: Sequence[str],

@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from farthing.session import pin_utc
-from farthing.sources.tables import spread_small
+
+
+#: Session option of a local bench: deal text tables over so many partitions.
+PARTS_KEY = "farthing.fixtures.partitions"
 
 
 def pick(expression: str, words: list[str]) -> str:
@@ -146,7 +149,13 @@ TEXT_VIEWS = {"v_titles": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     frame = pin_utc(spark).read.parquet(f"{folder}/{name}.parquet")
-    return spread_small(frame) if name in ("documents", "pages") else frame
+    return _dealt(frame) if name in ("documents", "pages") else frame
+
+
+def _dealt(frame: DataFrame) -> DataFrame:
+    """The rows over as many partitions as a bench of small files asks for; no other session does."""
+    parts = frame.sparkSession.conf.get(PARTS_KEY, None)
+    return frame.repartition(int(parts)) if parts else frame
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -154,7 +163,7 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     source = SOURCES[name]
     frame = table(spark, folder, source)
     if name in TEXT_VIEWS:
-        frame = spread_small(frame.select(*TEXT_VIEWS[name]))
+        frame = _dealt(frame.select(*TEXT_VIEWS[name]))
     return spark.sql(VIEWS[name].format(TS="TIMESTAMP_NTZ").replace(f"FROM {source}", "FROM {base}"), base=frame)
 
 

@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farthing.functions import prices, text
 from farthing.operators import changes, enrich, matching, pages, pool, retention, segments
+from farthing.rulebook import categories, packs
 from farthing.sources import sinks
 
 
-def ingest(cards: DataFrame, bounds: DataFrame, as_of: Column) -> DataFrame:
+def by_source(profiles: Sequence[tuple], at: int, made) -> Column:
+    """``made(rule)`` with the rule of the row's source; the first profile stands for all others."""
+    chain = F.when(F.lit(False), made(profiles[0][at]))
+    for rule in dict.fromkeys(p[at] for p in profiles[1:]):
+        chain = chain.when(F.col("source").isin([p[0] for p in profiles[1:] if p[at] == rule]), made(rule))
+    return chain.otherwise(made(profiles[0][at]))
+
+
+def ingest(cards: DataFrame, bounds: DataFrame, as_of: Column, profiles: Sequence[tuple] = packs.SOURCE_PROFILES) -> DataFrame:
     """Cards (source, retailer_id, seq, title, product_url, card_text,
     base_price, display_ppr) to listing rows ready for the upsert.
 
-    Category from the title, attributes from title and url, unit price, price
+    ``profiles`` give each source its pack grammar, stock rule, house brand, default
+    pack and country; the first one stands for sources without their own. Category from the title, attributes from title and url, unit price, price
     gate, first seen per product, stock and limit from the card's text.
     """
     cleaned = pool.title_over_category(cards, "retag", page_category="page_category")
@@ -22,15 +34,16 @@ def ingest(cards: DataFrame, bounds: DataFrame, as_of: Column) -> DataFrame:
     named = enrich.enrich_type(named, "title", "product_url")
     name = F.col("title")
     shaped = (
-        named.withColumn("total_rounds", text.pack_count(name))
+        named.withColumn("total_rounds", by_source(profiles, 4, lambda rule: text.pack_count(name, rule)))
         .withColumn("grain", text.weight_number(name))
         .withColumn("case_material", text.case_material(name))
         .withColumn("condition_type", text.condition(name))
         .withColumn("country_of_origin", text.origin_country(name))
         .withColumn("retailer_product_id", text.product_key(F.col("product_url")))
         .withColumn("purchase_limit", text.purchase_limit(F.col("card_text")))
-        .withColumn("in_stock", text.stock_from_text(F.col("card_text"), "absent_phrases"))
+        .withColumn("in_stock", by_source(profiles, 5, lambda rule: text.stock_from_text(F.col("card_text"), rule)))
     )
+    shaped = enrich.source_defaults(shaped, profiles)
     priced = enrich.derive_unit_price(shaped)
     gated = enrich.gated_prices(priced, bounds).where(F.col("gate_reason") == "ok")
     fresh = matching.first_seen(gated.where(F.col("retailer_product_id").isNotNull()),
@@ -43,18 +56,23 @@ def ingest(cards: DataFrame, bounds: DataFrame, as_of: Column) -> DataFrame:
 
 
 def observations_to_write(listings: DataFrame, as_of: Column) -> DataFrame:
-    """History rows of freshly stored listings."""
+    """History rows of freshly stored listings, each under an id of its own."""
     return listings.where(prices.positive(F.col("price_per_round"))).select(
-        F.col("id"), F.col("id").alias("listing_id"), F.col("base_price").alias("price"), "price_per_round",
+        F.xxhash64(F.col("id"), as_of).alias("id"), F.col("id").alias("listing_id"), F.col("base_price").alias("price"), "price_per_round",
         "in_stock", as_of.alias("recorded_at"),
     )
 
 
 def refresh_segment_cache(
-    history: DataFrame, listings: DataFrame, floors: DataFrame, since: Column, as_of: Column, target: str,
+    history: DataFrame, listings: DataFrame, floors: DataFrame | None, since: Column, as_of: Column, target: str,
     first: bool = False,
 ) -> int:
-    """Segment floors into their materialised table; returns the row count."""
+    """Segment floors into their materialised table; returns the row count.
+
+    Without ``floors`` those of the tracked catalogue hold.
+    """
+    if floors is None:
+        floors = pool.small_table(history.sparkSession, categories.SEGMENT_FLOORS, "category string, floor double")
     return sinks.refresh_materialized(segments.segment_floor(history, listings, floors, since), target, as_of, first)
 
 
@@ -63,13 +81,17 @@ def recheck(listings: DataFrame, fetched: DataFrame, bounds: DataFrame, as_of: C
     return pages.reconcile_stock(listings, pages.recheck_decisions(fetched), as_of, bounds, excluded)
 
 
-def thin_history(history: DataFrame, listings: DataFrame, floors: DataFrame, as_of: str, path: str) -> DataFrame:
+def thin_history(
+    history: DataFrame, listings: DataFrame, floors: DataFrame, as_of: str, path: str,
+    max_share: float = retention.MAX_DELETE_SHARE, max_deletes: int | None = None,
+) -> DataFrame:
     """Plan, check, persist and apply a retention run.
 
-    Raises when an invariant is violated or the volume is out of band.
+    Raises when an invariant is violated or the share (or, if given, the number) of
+    deletes is out of band.
     """
     plan = retention.retention_plan(history, listings, floors, as_of)
-    checks = retention.retention_invariants(plan).first().asDict()
+    checks = retention.retention_invariants(plan, max_deletes, max_share).first().asDict()
     broken = {k: v for k, v in checks.items() if k not in ("examined", "deletes", "keeps", "orphans") and v}
     if broken:
         raise ValueError(f"retention plan rejected: {broken}")

@@ -312,9 +312,10 @@ check("cascade_evict", """SELECT (SELECT count(*) FROM v_listings WHERE retailer
 
 check("discovery_overlap", """SELECT count(*) FILTER (WHERE l AND r) AS shared, count(*) FILTER (WHERE l AND NOT r) AS only_left, count(*) FILTER (WHERE r AND NOT l) AS only_right
    FROM (SELECT product_url, bool_or(partkey % 3 <> 0) AS l, bool_or(partkey % 5 <> 0) AS r FROM v_titles GROUP BY 1)""")
-check("sql_pool", """SELECT id, price_per_round, NOT (grain < 12 OR grain > 40) AS middle_weight,
+check("sql_pool", """SELECT id, price_per_round, middle_weight, is_brand, ships_free, middle_weight AND is_brand AND ((retailer_id = 1 AND ships_free) OR retailer_id = 7) AS in_filtered FROM (
+   SELECT id, price_per_round, retailer_id, NOT (grain < 12 OR grain > 40) AS middle_weight,
    CASE WHEN manufacturer IS NOT NULL THEN lower(manufacturer) = 'brand#7' WHEN contains(product_url, 'brand2') THEN FALSE ELSE contains(product_url, 'brand7') END AS is_brand,
-   (price_per_round * total_rounds) * ceil(200.0 / total_rounds) >= 60 AS ships_free FROM stage1 WHERE caliber_normalized = 'PROMO' AND condition_type = 'New'""", CAPPED)
+   (price_per_round * total_rounds) * ceil(200.0 / total_rounds) >= 60 AS ships_free FROM stage1 WHERE caliber_normalized = 'PROMO' AND condition_type = 'New')""", CAPPED)
 check("sql_cheapest", """SELECT b.cal, w.id, w.price_per_round FROM (VALUES ('PROMO', 1.0, 20.0), ('SMALL', 2.0, 9.0), ('LARGE', 8.0, 9.0)) AS b(cal, lo, hi),
    LATERAL (SELECT * FROM stage1 s WHERE s.caliber_normalized = b.cal AND s.case_material = 'bolt' AND s.condition_type = 'New' AND s.in_stock
      AND s.price_per_round BETWEEN b.lo AND b.hi ORDER BY s.price_per_round, s.id LIMIT 1) w""", capped(5.0))
@@ -453,7 +454,7 @@ check("retention_plan", "SELECT id, listing_id, action FROM plan", retention("id
 check("retention_invariants", """SELECT count(*) AS examined, count(*) FILTER (WHERE action IN ('tier1', 'tier2')) AS deletes, count(*) FILTER (WHERE action = 'keep') AS keeps,
    count(*) FILTER (WHERE action = 'orphan') AS orphans, CAST(0 AS BIGINT) AS id_in_two_tiers, CAST(0 AS BIGINT) AS expired_in_stock, CAST(0 AS BIGINT) AS eligible_keep_count,
    CAST(0 AS BIGINT) AS marker_keep_count, CAST(0 AS BIGINT) AS group_min_lost, CAST(0 AS BIGINT) AS unaccounted,
-   CAST(count(*) FILTER (WHERE action IN ('tier1', 'tier2')) > 150000 OR count(*) FILTER (WHERE action IN ('tier1', 'tier2')) / count(*) > 0.35 AS INT) AS over_band FROM plan""",
+   CAST(count(*) FILTER (WHERE action IN ('tier1', 'tier2')) / count(*) > 0.35 AS INT) AS over_band FROM plan""",
       retention("id % 9 <> 0", 5, 12))
 check("delete_set", "SELECT listing_id, count(*) AS n FROM v_obs WHERE id NOT IN (SELECT id FROM plan WHERE action IN ('tier1', 'tier2')) GROUP BY 1", retention("TRUE", 10, 20))
 check("run_over_run", """SELECT p.retailer_id, p.n AS previous_count, coalesce(c.n, 0) AS current_count, CASE WHEN coalesce(c.n, 0) = 0 THEN 'CRITICAL' ELSE 'WARN' END AS severity
@@ -545,7 +546,7 @@ check("small_attributes", f"""SELECT title, TRY_CAST(nullif(regexp_extract(title
    CASE WHEN contains(low, 'reman') THEN 'Remanufactured' ELSE 'New' END AS condition_type, {words('low', brands.ORIGIN_EXTENDED)} AS country,
    NOT {any_word('low', packs.STOCK_RULES['absent_phrases']['out'])} AS in_stock, contains(low, 'in stock') AS labelled_in_stock, count(*) AS n
   FROM (SELECT title, lower(title) AS low FROM v_titles) GROUP BY ALL""")
-check("clean_title", """SELECT page_id, trim(regexp_replace(translate('  ' || translate(left(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), 200), 'aeo', '×–®') || '  ',
+check("clean_title", """SELECT page_id, trim(regexp_replace(translate('  ' || translate(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), 'aeo', '×–®') || '  ',
    '–—‘’“”·•×' || chr(160) || chr(8239), '--''''""**x  '), '[®™]', '', 'g')) AS clean FROM pages""")
 MARK = any_word("link", components.LOADED_MARKERS)
 check("component_flag", f"""SELECT regexp_replace(product_url, '-\\d+$', '') AS link, rounds, (link <> '' AND NOT {MARK} AND (
@@ -566,7 +567,7 @@ check("dominant_class", f"""SELECT doc_id, CASE WHEN {' + '.join(f'CAST(t_{k} >
     WHEN top >= 2 AND top >= 2 * greatest(second, 1) THEN CASE {' '.join(f"WHEN c_{k} = top THEN '{k}'" for k in KL)} END END AS klass
   FROM (SELECT *, greatest({', '.join('c_' + k for k in KL)}) AS top, (list_reverse_sort([{', '.join('c_' + k for k in KL)}]))[2] AS second FROM (
     SELECT doc_id, {', '.join(f"{hits('h', q.CLASSES[k])} AS t_{k}, {hits('b', q.CLASSES[k])} AS c_{k}" for k in KL)}
-      FROM (SELECT doc_id, lower(left(text, 40)) AS h, lower(left(text, 40) || ' ' || text) AS b FROM documents)))""")
+      FROM (SELECT doc_id, lower(split_part(text, chr(10), 1)) AS h, lower(split_part(text, chr(10), 1) || ' ' || text) AS b FROM documents)))""")
 check("component_attributes", """SELECT id, category,
    CASE WHEN category = 'powder' THEN CASE WHEN brand = 'Hodgdon' THEN CASE WHEN name LIKE '% H4350' THEN 'rifle' END ELSE
      CASE split_part(name, ' ', 2) WHEN '7' THEN 'rifle' WHEN '10' THEN 'rifle' WHEN '15' THEN 'rifle' WHEN '16' THEN 'rifle' WHEN '17' THEN 'rifle' WHEN '19' THEN 'rifle'
@@ -653,7 +654,7 @@ check("policy_links", rf"""SELECT page_id, CAST(row_number() OVER (PARTITION BY
          FROM (SELECT *, regexp_extract_all(html, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>') AS anchors FROM pages) p,
          LATERAL (SELECT unnest(anchors) AS a, unnest(range(1, len(anchors) + 1)) AS i) u))
    WHERE (contains(lower(href), 'th') OR contains(lower(href), 'de') OR contains(label, 'th') OR contains(label, 'de')) GROUP BY 1, 2)""")
-check("split_cards", r"""SELECT page_id, CAST(u.i - 1 AS INT) AS card_no, nullif(trim(regexp_replace(regexp_extract(u.c, '^([^<&]*)', 1), '\s+', ' ', 'g')), '') AS lead
+check("split_cards", r"""SELECT page_id, CAST(u.i - 1 AS INT) AS card_no, nullif(trim(regexp_replace(replace(replace(replace(replace(regexp_extract(u.c, '^([^<]*)', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')), '') AS lead
    FROM (SELECT page_id, string_split(html, '<p>')[2:] AS cs FROM pages) p, LATERAL (SELECT unnest(cs) AS c, unnest(range(1, len(cs) + 1)) AS i) u""")
 check("label_values", r"""SELECT page_id, ls[list_position(list_transform(ls, lambda x: regexp_matches(x, '^(?:The|And|En|Les|Der|Nicht|La|De)$')), true) + 1] AS after_label FROM (SELECT page_id,
    list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '<[^>]+>', chr(10), 'g'), chr(10)),

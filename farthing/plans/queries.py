@@ -15,7 +15,8 @@ from farthing.rulebook import brands, categories, packs
 from farthing.sources import sinks, tables
 
 AS_OF = "2024-01-31 00:00:00"
-HISTORY_AS_OF = "2001-11-05 00:00:00"
+# A retention run in the middle of a day: the checks count whole days only.
+RETENTION_AS_OF = "2024-01-31 13:45:00"
 SEGMENT_SINCE = "1999-01-01 00:00:00"
 FLOORS = [("ECONOMY", 60.0), ("PROMO", 45.0), ("SMALL", 80.0), ("MEDIUM", 55.0)]
 OBS_FLOORS = [("ECONOMY", 5.0), ("PROMO", 20.0), ("SMALL", 1.0)]
@@ -85,9 +86,12 @@ def upsert_merge(spark, d):
     target = listings.where(F.col("id") % 3 != 1)
     seen = F.when(F.col("id") % 2 == 0, F.col("last_updated"))
     updates = listings.where(F.col("id") % 5 == 0).select(
-        "id", (F.col("base_price") * 2).alias("base_price"), seen.alias("last_updated")
+        "id", (F.col("base_price") * 2).alias("base_price"), seen.alias("last_updated"), F.lit(2).alias("seq")
     )
-    return sinks.upsert(target, updates, ["id"], sparse=["last_updated"])
+    # Every third of them was updated before, and some name no row.
+    older = updates.where(F.col("id") % 3 == 0).withColumns({"base_price": F.lit(0.5), "seq": F.lit(1)})
+    nameless = updates.where(F.col("id") % 7 == 0).withColumn("id", F.lit(None).cast("bigint"))
+    return sinks.upsert(target, updates.unionByName(older).unionByName(nameless), ["id"], sparse=["last_updated"], order=["seq"])
 
 
 @query
@@ -429,22 +433,27 @@ def discovery_overlap(spark, d):
 
 @query
 def sql_pool(spark, d):
-    sql_surface.register(spark, view(spark, d, "v_listings"), mult=3.0)
+    # Every other maker is padded by blanks of all kinds.
+    padded = F.when(F.col("id") % 2 == 0, F.concat(F.lit("\t "), "manufacturer", F.lit(" \n"))).otherwise(F.col("manufacturer"))
+    sql_surface.register(spark, view(spark, d, "v_listings").withColumn("manufacturer", padded), mult=3.0)
     atoms = "array(named_struct('op', 'lt', 'v', 12.0D), named_struct('op', 'gt', 'v', 40.0D))"
+    brand = "'brand7', array('brand#7'), array('brand#7', 'brand#9'), array('brand2', 'brand7')"
     return spark.sql(
         f"""SELECT p.id, p.price_per_round, bucket_match(c.grain, {atoms}, true) AS middle_weight,
-                   brand_match(c.manufacturer, c.product_url, 'brand7', array('brand#7'), array('brand#7', 'brand#9'),
-                               array('brand2', 'brand7')) AS is_brand,
-                   cart_reaches(p.price_per_round, c.total_rounds, 60.0D, 200) AS ships_free
-              FROM pool_listings('PROMO', p_condition => 'New') p JOIN capped_catalog c ON c.id = p.id""")
+                   brand_match(c.manufacturer, c.product_url, {brand}) AS is_brand,
+                   cart_reaches(p.price_per_round, c.total_rounds, 60.0D, 200) AS ships_free,
+                   f.id IS NOT NULL AS in_filtered
+              FROM pool_listings('PROMO', p_condition => 'New') p JOIN capped_catalog c ON c.id = p.id
+              LEFT JOIN pool_listings('PROMO', NULL, 'New', NULL, NULL, {atoms}, true, NULL, NULL, {brand},
+                   array(named_struct('rid', 1, 'thr', 60.0D), named_struct('rid', 7, 'thr', 0.0D)), 200) f ON f.id = p.id""")
 
 
 @query
 def sql_cheapest(spark, d):
     sql_surface.register(spark, view(spark, d, "v_listings"))
-    return spark.sql("""SELECT b.cal, t.id, t.price_per_round
-        FROM VALUES ('PROMO', 1.0D, 20.0D), ('SMALL', 2.0D, 9.0D), ('LARGE', 8.0D, 9.0D) AS b(cal, lo, hi),
-             LATERAL cheapest_listing(b.cal, b.lo, b.hi, 'bolt') t""")
+    return spark.sql("""SELECT category AS cal, id, price_per_round FROM cheapest_listings(array(
+        named_struct('category', 'PROMO', 'low', 1.0D, 'high', 20.0D), named_struct('category', 'SMALL', 'low', 2.0D, 'high', 9.0D),
+        named_struct('category', 'LARGE', 'low', 8.0D, 'high', 9.0D)), 'bolt')""")
 
 
 # -- aggregates -----------------------------------------------------------------------------
@@ -706,7 +715,7 @@ def daily_floor_by_condition(spark, d):
 def retention_plan(spark, d):
     out = retention.retention_plan(
         view(spark, d, "v_obs"), view(spark, d, "v_listings").where(F.col("id") % 9 != 0), floors(spark, OBS_FLOORS),
-        AS_OF, retention_days=5, expiry_days=12,
+        RETENTION_AS_OF, retention_days=5, expiry_days=12,
     )
     return out.select("id", "listing_id", "action")
 
@@ -715,7 +724,7 @@ def retention_plan(spark, d):
 def retention_invariants(spark, d):
     plan = retention.retention_plan(
         view(spark, d, "v_obs"), view(spark, d, "v_listings").where(F.col("id") % 9 != 0), floors(spark, OBS_FLOORS),
-        AS_OF, retention_days=5, expiry_days=12,
+        RETENTION_AS_OF, retention_days=5, expiry_days=12,
     )
     return retention.retention_invariants(plan)
 
@@ -723,7 +732,7 @@ def retention_invariants(spark, d):
 @query
 def delete_set(spark, d):
     plan = retention.retention_plan(
-        view(spark, d, "v_obs"), view(spark, d, "v_listings"), floors(spark, OBS_FLOORS), AS_OF, 10, 20
+        view(spark, d, "v_obs"), view(spark, d, "v_listings"), floors(spark, OBS_FLOORS), RETENTION_AS_OF, 10, 20
     )
     left = retention.apply_deletes(view(spark, d, "v_obs"), retention.delete_ids(plan))
     return left.groupBy("listing_id").agg(F.count(F.lit(1)).alias("n"))
@@ -904,7 +913,7 @@ def small_attributes(spark, d):
 
 @query
 def clean_title(spark, d):
-    raw = F.substring(F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1), 1, 200)
+    raw = F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
     odd = F.concat(F.lit("  "), F.translate(raw, "aeo", "×–®"), F.lit("  "))
     return table(spark, d, "pages").select("page_id", text.clean_title(odd).alias("clean"))
 
@@ -927,7 +936,7 @@ CLASSES = {"en": ["the ", "and ", "of ", "for "], "fr": ["les ", "des ", "que ",
 
 @query
 def dominant_class(spark, d):
-    head = F.substring("text", 1, 40)
+    head = F.split("text", "\n")[0]
     return table(spark, d, "documents").select(
         "doc_id", text.dominant_class(head, F.col("text"), CLASSES).alias("klass"))
 
@@ -1075,7 +1084,7 @@ def policy_links(spark, d):
 def split_cards(spark, d):
     cards = pages.split_cards(table(spark, d, "pages"), "<p>")
     # Words between the card's opening and its first tag.
-    return pages.card_fields(cards, {"lead": r"^<p>([^<&]*)"}).select("page_id", "card_no", "lead")
+    return pages.card_fields(cards, {"lead": r"^<p>([^<]*)"}).select("page_id", "card_no", "lead")
 
 
 @query

@@ -95,4 +95,3 @@ ORIGIN_BASE = [
 ORIGIN_EXTENDED = ORIGIN_BASE + [
     ("pmc", "South Korea"), ("geco", "Germany"), ("lapua", "Finland"), ("norma", "Sweden"),
 ]
-ORIGIN_EASTERN = ORIGIN_BASE + [("sterling", "Turkey"), ("igman", "Bosnia"), ("maxxtech", "Bosnia")]

@@ -3,24 +3,6 @@
 Everything in this module is data that the operators take as parameters.
 """
 
-# --- fixed values: category slug -> display name -----------------------------
-CATEGORY_NAMES = {
-    "9mm": "9mm Luger",
-    "223-556": ".223 / 5.56 NATO",
-    "22lr": ".22 LR",
-    "380acp": ".380 ACP",
-    "40sw": ".40 S&W",
-    "308win": ".308 Winchester",
-    "762x39": "7.62x39",
-    "300blk": ".300 AAC Blackout",
-    "38spl": ".38 Special",
-    "357mag": ".357 Magnum",
-    "45acp": ".45 ACP",
-    "10mm": "10mm Auto",
-    "30-06": ".30-06 Springfield",
-    "270win": ".270 Winchester",
-}
-
 # --- fixed values: detection cascade, first category with a hit wins ---------
 CATEGORY_CASCADE = [
     ("223-556", [("sub", "5.56"), ("sub", "5.56x45"), ("sub", "5.56nato"), ("sub", "5.56 nato"),

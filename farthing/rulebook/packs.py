@@ -105,7 +105,6 @@ DENIAL_PATTERNS = [
 STANCE_PLACE = r"\b(?:Texas|TX)\b"
 STANCE_TOPIC = r"(?i)\btax"
 STANCE_CODE_LIST = r"(?:[A-Z]{2}[, ]+){3,}"
-STANCE_PRIORITY = {"confirmed": 3, "denies": 2, "silent": 1, "fetch_failed": 0, "no_website": 0}
 POLICY_WORDS = ["tax", "shipping", "sales-tax", "sales tax", "policy", "faq"]
 
 # --- fixed values: words that never identify a product line ------------------

@@ -6,11 +6,7 @@ tests, the benchmark and the query registry.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-CHECKPOINT_KEY = "spark.checkpoint.dir"
+from pyspark.sql import SparkSession
 
 
 def local_session(app: str = "farthing", cores: str = "8", partitions: int = 8) -> SparkSession:
@@ -32,24 +28,3 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     """Day bins are UTC days, so the session zone must be UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
-
-    Only a session without the setting (a test) gets a folder of its own.
-    """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named:
-        return named
-    own = tempfile.mkdtemp(prefix="farthing-")
-    spark.conf.set(CHECKPOINT_KEY, own)
-    return own
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)

@@ -7,19 +7,42 @@ becomes visible by one small append to the version log.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], sparse: Sequence[str] = ()) -> DataFrame:
+def last_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The last update of each key by ``order``, then by all other columns.
+
+    Aggregated before the shuffle, so a key with very many updates is not one task.
+    """
+    rest = [c for c in updates.columns if c not in keys]
+    if not rest:
+        return updates.distinct()
+    rank = F.struct(*order, *[c for c in rest if c not in order])
+    last = updates.groupBy(*keys).agg(F.max(rank).alias("_last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in updates.columns])
+
+
+def null_keys(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Updates that name no row: some key is NULL. ``upsert`` leaves them out."""
+    return updates.where(functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+
+
+def upsert(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], sparse: Sequence[str] = (), order: Sequence[str] = ()
+) -> DataFrame:
     """The target after inserting or updating by business key.
 
     Columns the update does not have keep their stored value; ``sparse``
-    columns keep it where the update is NULL. Both sides carry the key once
-    per row.
+    columns keep it where the update is NULL. Of several updates of a key the
+    last by ``order`` counts; those with a NULL key are reported by ``null_keys``.
     """
+    updates = last_per_key(updates.dropna(subset=list(keys)), keys, order)
     given = [c for c in updates.columns if c not in keys]
     new = updates.select(*keys, F.lit(True).alias("_new"), *[F.col(c).alias(f"_n_{c}") for c in given])
     joined = target.join(new, list(keys), "full")
@@ -43,11 +66,11 @@ def replace_children(existing: DataFrame, touched: DataFrame, rows: DataFrame, p
 def append_observations(df: DataFrame, path: str, ts: str = "recorded_at") -> None:
     """Append to the history, one folder per day.
 
-    Rows are clustered by day and hashed within it, so a day gets a few files
-    instead of one per task, and a busy day is not one task.
+    Rows are rebalanced by day: adaptive execution merges small days and splits
+    a busy one by its measured size.
     """
     day = df.withColumn("day", F.to_date(ts))
-    spread = day.repartition("day", F.pmod(F.hash("listing_id"), F.lit(16)))
+    spread = day.hint("rebalance", "day")
     spread.write.mode("append").partitionBy("day").parquet(path)
 
 
@@ -55,7 +78,7 @@ def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-VERSION_SCHEMA = "version bigint, rows bigint, refreshed_at timestamp_ntz"
+VERSION_SCHEMA = "version bigint, rows bigint, refreshed_at timestamp_ntz, folder string"
 
 
 def _versions(spark: SparkSession, target: str) -> DataFrame:
@@ -65,29 +88,30 @@ def _versions(spark: SparkSession, target: str) -> DataFrame:
 def refresh_materialized(query: DataFrame, target: str, as_of: Column, first: bool = False) -> int:
     """Rebuild a materialised table atomically; returns its row count.
 
-    The new version is complete on storage before it is announced, and an
-    empty result raises without announcing anything.
+    The new version is complete in a folder of its own before it is announced, so
+    two runs at once do not touch each other; an empty result raises without
+    announcing anything.
     """
     spark = query.sparkSession
     last = 0 if first else (_versions(spark, target).agg(F.max("version")).first()[0] or 0)
     version = last + 1
-    folder = f"{target}/data/version={version}"
+    folder = f"{target}/data/{uuid.uuid4().hex}"
     query.withColumn("refreshed_at", as_of).write.mode("overwrite").parquet(folder)
     count = spark.read.parquet(folder).count()
     if count == 0:
         raise ValueError(f"refresh of {target} produced no rows")
     entry = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"), F.lit(count).cast("bigint").alias("rows"),
-        as_of.alias("refreshed_at"),
+        as_of.alias("refreshed_at"), F.lit(folder).alias("folder"),
     )
     entry.coalesce(1).write.mode("append").json(f"{target}/versions")
     return count
 
 
 def read_materialized(spark: SparkSession, target: str) -> DataFrame:
-    """The latest announced version."""
-    version = _versions(spark, target).agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{target}/data/version={version}")
+    """The latest announced version; of two runs at once the later folder name."""
+    latest = _versions(spark, target).agg(F.max(F.struct("version", "refreshed_at", "folder")).alias("v")).first()
+    return spark.read.parquet(latest.v.folder)
 
 
 def write_delete_set(ids: DataFrame, path: str) -> DataFrame:

@@ -13,16 +13,6 @@ def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input with fewer splits than cores, for row-heavy work.
-
-    A small file is one split and would keep one core busy. An input of many
-    splits (any large one) is returned as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def incremental_read(df: DataFrame, since: Column, columns: Sequence[str], ts: str = "recorded_at") -> DataFrame:
     """Rows since a literal time, projected; both reach the Parquet scan."""
     return df.where(F.col(ts) >= since).select(*columns)

@@ -114,6 +114,41 @@ def test_batched_stream_equals_batch(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == brute(rows)
 
 
+def test_stream_of_shuffled_rows_equals_batch(spark, tmp_path):
+    """Rows in any order within the lateness: the same rows as the batch form."""
+    rows = drifting(900, 8)
+    mixed = list(rows)
+    rnd = random.Random(1)
+    for k in range(0, len(mixed), 150):  # shuffled inside stretches shorter than the lateness
+        part = mixed[k : k + 150]
+        rnd.shuffle(part)
+        mixed[k : k + 150] = part
+    span = max((max(p) - min(p)) for p in ([r[5] for r in mixed[k : k + 300]] for k in range(0, len(mixed), 300)))
+    end = max(r[5] for r in rows)
+    source = tmp_path / "in"
+    last = [(10**9, 10**6, 1.0, 1.0, True, end + 10 * span)]
+    for k in range(0, len(mixed), 150):
+        spark.createDataFrame(mixed[k : k + 150], SCHEMA).coalesce(1).write.mode("append").parquet(str(source / f"f{k:05d}"))
+    spark.createDataFrame(last, SCHEMA).coalesce(1).write.mode("append").parquet(str(source / "g"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(source))
+    query = (
+        store_on_change_stream(stream, f"{int(span.total_seconds()) + 1} seconds", wait=True).writeStream.format("memory").queryName("shuffled")
+        .outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
+    )
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(r.id for r in spark.table("shuffled").collect()) == brute(rows)
+
+
+def test_batched_stream_restarts_on_a_fresh_target(spark, tmp_path):
+    rows = drifting(300, 9)
+    target, store = str(tmp_path / "out"), write_changes(str(tmp_path / "out"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    store(df, 7)
+    store(df, 7)  # the same batch again
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == brute(rows)
+
+
 def test_stamps(spark):
     now = clock.instant("2024-01-02 00:00:00")
     old = datetime(2024, 1, 1)

@@ -74,3 +74,10 @@ def test_pick_variant(spark):
     assert each == ["a-1", "a-2", "a-3", "b-4"]
     first = {r.handle: r.total_rounds for r in enrich.pick_variant(df, mode="first").collect()}
     assert first == {"a": 100, "b": 20}
+
+
+def test_variant_ids_are_whole(spark):
+    kind = "handle string, variants array<struct<option1:string,title:string,sku:string,price:string,available:boolean,id:bigint>>"
+    handle = "h" * 110
+    df = spark.createDataFrame([(handle, [("50", None, None, "5", True, 1), ("100", None, None, "9", True, 2)])], kind)
+    assert sorted(r.retailer_product_id for r in enrich.pick_variant(df, mode="each").collect()) == [f"{handle}-1", f"{handle}-2"]

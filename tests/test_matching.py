@@ -162,3 +162,12 @@ def test_source_defaults(spark):
     got = [(r.manufacturer, r.total_rounds, r.country_of_origin) for r in enrich.source_defaults(df, profile, "vendor").collect()]
     assert got == [("Vend", 20, "USA"), ("CCI", 50, "USA"), ("Unknown", None, None)]
     assert enrich.source_defaults(df, profile).first().manufacturer == "House"
+
+
+def test_upsert_takes_the_last_update_of_a_key(spark):
+    target = spark.createDataFrame([(1, 5.0), (2, 6.0)], "id int, price double")
+    updates = spark.createDataFrame([(1, 7.0, 1), (1, 8.0, 2), (3, 1.0, 1), (3, None, 2), (None, 9.0, 1)], "id int, price double, seq int")
+    got = sorted((r.id, r.price) for r in sinks.upsert(target, updates, ["id"], order=["seq"]).collect())
+    assert got == [(1, 8.0), (2, 6.0), (3, None)]
+    assert [r.price for r in sinks.null_keys(updates, ["id"]).collect()] == [9.0]
+    assert sinks.upsert(target, updates.limit(0), ["id"]).count() == 2

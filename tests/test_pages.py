@@ -91,19 +91,19 @@ def verdict(spark, **change):
 
 
 def test_page_verdicts(spark):
-    assert verdict(spark) == ("PASS", 87.5, "all gates pass")
-    assert verdict(spark, status=404) == ("FAIL", None, "HTTP 404")
+    assert verdict(spark) == ("PASS", 87.5, "ok")
+    assert verdict(spark, status=404) == ("FAIL", None, "http(404)")
     assert verdict(spark, landed_url="/10mm")[0] == "FAIL"
     assert verdict(spark, card_titles=["9mm"] * 2 + ["10mm"] * 8)[:2] == ("FAIL", 20.0)
-    assert verdict(spark, title="10mm Auto") == ("FAIL", None, "title names a different tracked caliber")
+    assert verdict(spark, title="10mm Auto") == ("FAIL", None, "other_category_title")
     assert verdict(spark, card_titles=["9mm"] * 4 + ["10mm"] * 4)[:2] == ("NEEDS_REVIEW", 50.0)
     assert verdict(spark, card_titles=["9mm"] * 3)[0] == "NEEDS_REVIEW"
-    assert verdict(spark, card_titles=[])[2].startswith("empty-healthy")
+    assert verdict(spark, card_titles=[])[2] == "empty_page"
     assert verdict(spark, card_titles=None)[0] == "NEEDS_REVIEW"
     assert verdict(spark, status=None)[0] == "NEEDS_REVIEW"
     assert verdict(spark, title="Ammo Deals")[0] == "NEEDS_REVIEW"
     assert verdict(spark, kind="parent", title="Deals", card_titles=["9mm"] * 5 + ["x"] * 50)[0] == "PASS"
-    assert verdict(spark, kind="parent", card_titles=["x"] * 5)[2] == "gate4: parent yields zero tracked-caliber cards"
+    assert verdict(spark, kind="parent", card_titles=["x"] * 5)[2] == "no_tracked_card"
     assert verdict(spark, category="762x39", title="7.62x39", card_titles=["7.62×39 FMJ"] * 6)[0] == "PASS"
     assert verdict(spark, title_filter="FMJ")[:2] == ("PASS", 100.0)
 
@@ -236,3 +236,33 @@ def test_unescape(spark):
     df = spark.createDataFrame([("A&amp;lt;B &#39;q&#x27; &#8482; &# &lt;b&gt; &nbsp;&amp;#39;",)], "t string")
     want = "A&lt;B 'q' \u2122 &# <b> \u00a0&#39;"
     assert df.select(markup.unescape(F.col("t"))).first()[0] == want
+
+
+def test_character_references(spark):
+    import html
+
+    cases = ["&#128512;", "&#x1F600;", "&pound;5 &auml;", "&#38;lt;", "&amp;lt;", "a&b", "&", "&notit;", "&notin;", "&#0;", "&#x80;", "&#xD800;",
+             "&#99999999999;", "&copy 2", "&unknown;", "&#;", "&#x;", "&amp;&lt;p&gt;", "&#00065;", "AT&T", "&Aacute", "&hellip;y", "", None]
+    rows = spark.createDataFrame([(c,) for c in cases], "t string").select("t", markup.unescape(F.col("t")).alias("u")).collect()
+    assert [r.u for r in rows] == [None if c is None else html.unescape(c) for c in cases]
+
+
+def test_graphs_of_any_depth(spark):
+    product = '{"@type":"Product","offers":{"availability":"https://schema.org/InStock","price":"5"}}'
+    blocks = ['{"@graph":[{"@graph":[%s]}]}', "[[%s]]", '{"@graph":[[{"@graph":[{"@graph":[%s]}]}]]}', "%s", "[[[[[[%s]]]]]]", '{"@graph":"%s']
+    rows = [(i, "http://a", 200, f'<script type="application/ld+json">{b.replace("%s", product)}</script>') for i, b in enumerate(blocks)]
+    rows += [(90, "", 404, ""), (91, None, 404, ""), (92, "http://a", 404, "")]
+    df = spark.createDataFrame(rows, "listing_id long, url string, status int, html string")
+    got = {r.listing_id: (r.determinable, r.in_stock) for r in pages.recheck_decisions(df).collect()}
+    assert all(got[i] == (True, True) for i in range(5)) and got[5] == (False, None)
+    assert got[90] == got[91] == (False, None) and got[92] == (True, False)
+    order = '{"@type":"A","@graph":[{"@type":"B"},{"@type":"C","@graph":[{"@type":"D"}]}]}'
+    html = F.lit(f'<script type="application/ld+json">[{order},{{"@type":"E"}}]</script>')
+    nodes = F.transform(markup.jsonld_nodes(html), lambda n: markup.node_text(n, "$['@type']"))
+    assert spark.range(1).select(nodes.alias("n")).first().n == ["E", "A", "C", "D", "B"]
+
+
+def test_near_keyword(spark):
+    texts = [("the price is 1,250 dollars", True), ("1250 x price", True), ("price" + " y" * 30 + " 1250", False), ("11250 price", False), ("price 12501", False), (None, False)]
+    df = spark.createDataFrame([(t, 1250) for t, _ in texts], "t string, n long").select(markup.near_keyword(F.col("t"), F.col("n"), ["price"], 30).alias("h"))
+    assert [r.h for r in df.collect()] == [w for _, w in texts]

@@ -79,3 +79,25 @@ def test_delete_set_round_trip(spark, tmp_path):
         sinks.execute_delete_set(history, other, path)
     with pytest.raises(ValueError):
         flows.thin_history(history, listings, floors, AS_OF, path)
+
+
+def test_open_days_are_not_touched(spark):
+    """A run in the middle of a day leaves that day's rows of the month before alone."""
+    rows = [(i, 1, p, True, datetime(2024, 1, 1, h)) for i, (h, p) in enumerate([(9, 0.5), (10, 0.6), (18, 0.4)])]
+    rows += [(9, 1, 0.3, True, datetime(2023, 12, 31, 23, 59))]
+    plan = retention.retention_plan(*frames(spark, rows), "2024-01-31 12:00:00")
+    assert [(r.id, r.action) for r in plan.collect()] == [(9, "keep")]
+
+
+def test_absolute_limit_is_an_argument(spark):
+    plan = retention.retention_plan(*frames(spark, random_rows(300)), AS_OF)
+    assert retention.retention_invariants(plan, max_share=1.0).first().over_band == 0
+    assert retention.retention_invariants(plan, max_deletes=1, max_share=1.0).first().over_band == 1
+
+
+def test_observations_have_ids_of_their_own(spark):
+    from farthing.functions import clock
+
+    listings = spark.createDataFrame([(1, 5.0, 0.1, True), (2, 5.0, 0.2, True)], "id long, base_price double, price_per_round double, in_stock boolean")
+    ids = [r.id for day in ("2024-01-01 00:00:00", "2024-01-02 00:00:00") for r in flows.observations_to_write(listings, clock.instant(day)).collect()]
+    assert len(set(ids)) == 4
