@@ -1,14 +1,16 @@
 """Token ids of whole texts in Huffman-coded files.
 
-Two passes over the texts: the first counts ids, the second deals texts by ranges of doc_id,
-encodes them again and writes one file per range. Encoding twice costs less than
-keeping all ids. A file holds, all little-endian: magic, number of texts, of ids and of blocks; the
-texts' ids counts; the blocks' bit offsets; the bit stream. The code
-lengths of the whole set are one file beside them.
+Texts are dealt by ranges of doc_id and encoded once; a task keeps the ids of its range
+in packed files and counts them. From the sums of all counts comes one code, with
+which a second job writes the final files, one for each packed one. A file holds, all
+little-endian: magic, number of texts, of ids and of block offsets; the texts' doc_ids and
+numbers of ids; the blocks' bit offsets; the bit stream. The code lengths of the whole
+set are one file beside them.
 
 Words are encoded once per worker: a word between ASCII spaces always gives the same
-ids, because the tokenizer's rules never look across white space; a bounded
-memory of words serves all tasks of a worker.
+ids, because the tokenizer's rules never look across white space; a bounded memory
+of words serves all tasks of a worker. A word of Latin letters alone is one unit to those rules,
+so it goes straight to the tokenizer's model; any other takes the whole tokenizer.
 
 Defined results: null is an empty text, with only the end id; ties of doc_id keep any
 order among equal texts, else that of the text's code; no rows give no files and
@@ -23,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,10 +36,20 @@ from farthing.llm.files import Writer, get, put
 
 END_ID = 1
 #: Words that a worker remembers; past that it starts anew.
-MEMORY = 600_000
-#: UTF-8 bytes of text that make one file, about.
+MEMORY = 900_000
+#: Bytes of text in a range, and of ids in a file, about.
 FILE_BYTES = 16 << 20
-MAGIC = 0x31465548
+MAGIC, PACKED = 0x31465548, 0x31444950
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, the rest from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+
+
+_LETTERS = _byte_letters()
 
 
 class Encoder:
@@ -51,6 +64,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.plain = self._takes_letters()
+
+    def _takes_letters(self) -> bool:
+        """Whether this tokenizer treats letters as ``_unit`` says: lower-cased, one unit."""
+        words = ["The", "élan", "ÉCOLE", "straße", "x", "ñandú", "Wörterbücher"]
+        whole = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return whole == [[t.id for t in self.tokenizer.model.tokenize(self._unit(w))] for w in words]
+
+    @staticmethod
+    def _unit(word: str) -> str | None:
+        """What the model sees of a word of Latin letters alone; None for other words."""
+        if word.isascii():
+            return word.lower() if word.isalpha() else None
+        low = word.lower()
+        if word.isalpha() and low.isalpha() and max(low) < "\u0250" and max(word) < "\u0250":
+            return "".join([_LETTERS[b] for b in low.encode()])
+        return None
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
@@ -62,11 +92,19 @@ class Encoder:
         return word, b""
 
     def _learn(self, words: set[bytes]) -> None:
-        known = self.known
+        known, model = self.known, self.tokenizer.model
         parts = {w: self._parts(w) for w in words}
-        fresh = list({p for pair in parts.values() for p in pair} - known.keys())
-        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-        known.update((w, np.array(g.ids, self.kind).tobytes()) for w, g in zip(fresh, got))
+        rest = []
+        for word in {p for pair in parts.values() for p in pair} - known.keys():
+            unit = self._unit(word.decode("utf-8", "replace")) if self.plain else None
+            if unit is None:
+                rest.append(word)
+                continue
+            low = unit.encode() if word.isascii() else word
+            ids = known.get(low) if low is not word else None
+            known[word] = ids if ids is not None else np.array([t.id for t in model.tokenize(unit)], self.kind).tobytes()
+        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in rest], add_special_tokens=False)
+        known.update((w, np.array(g.ids, self.kind).tobytes()) for w, g in zip(rest, got))
         known.update((w, known[a] + known[b]) for w, (a, b) in parts.items() if b)
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
@@ -91,79 +129,113 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list]]:
         yield part, part.column("text").to_pylist()
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> np.ndarray:
-    """How often each id occurs in all texts; one number per id is gathered."""
+def _header(magic: int, docs: np.ndarray, sizes: np.ndarray, *numbers: int) -> bytes:
+    return b"".join(x.astype("<i8").tobytes() for x in (np.array([magic, len(docs), *numbers]), docs, sizes))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
-        total = np.zeros(encoder.tokenizer.get_vocab_size(with_added_tokens=True) + end_id + 1, np.int64)
-        for batch in batches:
-            for part, texts in _texts(batch):
-                ids = np.frombuffer(b"".join(encoder.encode(texts)), encoder.kind)
-                total += np.bincount(ids, minlength=len(total))
-                total[end_id] += part.num_rows
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["id", "n"])
 
-    found = in_batches(docs.select(utf8()), work, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(int(found["id"].max()) + 1 if len(found) else 0, np.int64)
-    out[found["id"].to_numpy(int)] = found["n"].to_numpy()
-    return out
+def _doc_ids(parts: list[pa.Array]) -> np.ndarray:
+    return pa.concat_arrays(parts).cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy()
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> tuple[DataFrame, str]:
-    """The files of all texts: (part, name, n_docs, n_tokens, n_bytes) of each, and the code's file."""
-    spark = docs.sparkSession
-    folder = new_folder(spark, "tokens")
-    lengths = huffman.code_lengths(id_counts(docs, tokenizer, end_id))
-    book = put(folder, "code", lengths.tobytes())
+def pack(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> DataFrame:
+    """Ids of all texts in packed files, in ascending order: a row per file, and one per id and task.
+
+    File rows have (part, serial, name, n_docs, n_tokens), count rows (id, n).
+    """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-int(size) // FILE_BYTES))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     rows = rows.repartitionByRange(ranges, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", utf8())
-    shared = spark.sparkContext.broadcast(lengths)
+    kinds = [("part", pa.int32()), ("serial", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("id", pa.int32()), ("n", pa.int64())]
+    schema = pa.schema(kinds)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = _encoder(tokenizer), shared.value
-        codes = huffman.canonical(lengths)
-        part, end = TaskContext.get().partitionId(), np.array([end_id], encoder.kind).tobytes()
+        encoder = _encoder(tokenizer)
+        part, end, press = TaskContext.get().partitionId(), np.array([end_id], encoder.kind).tobytes(), zstandard.ZstdCompressor(level=1)
+        total = np.zeros(0, np.int64)
         held, docs_, count, serial = [], [], 0, 0
 
-        def flush():
-            nonlocal held, docs_, count, serial
-            ids = np.frombuffer(b"".join(held), encoder.kind)
-            stream, marks = huffman.encode(ids, codes, lengths)
+        def flush() -> pa.RecordBatch:
+            nonlocal held, docs_, count, serial, total
+            raw = np.frombuffer(b"".join(held), np.uint8).reshape(-1, encoder.kind.itemsize)
             sizes = np.array([len(h) for h in held], np.int64) // encoder.kind.itemsize
-            out = Writer(folder, f"part-{part:05d}-{serial:05d}")
-            out.write(np.array([MAGIC, len(sizes), len(ids), len(marks)], "<i8").tobytes())
-            out.write(pa.concat_arrays(docs_).cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy().astype("<i8").tobytes())
-            out.write(sizes.astype("<i8").tobytes())
-            out.write(marks.astype("<i8").tobytes())
-            out.write(stream)
-            out.close()
-            row = [[part], [serial], [out.name], [len(sizes)], [len(ids)], [out.bytes]]
+            found = np.bincount(raw.reshape(-1).view(encoder.kind), minlength=len(total))
+            found[: len(total)] += total
+            total = found
+            planes = [press.compress(np.ascontiguousarray(raw[:, k]).tobytes()) for k in range(raw.shape[1])]
+            data = _header(PACKED, _doc_ids(docs_), sizes, len(raw), len(planes), *map(len, planes))
+            row = {"part": part, "serial": serial, "name": put(folder, f"ids-{part:05d}-{serial:05d}", data + b"".join(planes)), "n_docs": len(sizes), "n_tokens": len(raw)}
             held, docs_, count, serial = [], [], 0, serial + 1
-            return pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), pa.array(row[1], pa.int32()), *map(pa.array, row[2:])], _FILE)
+            return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
             for piece, texts in _texts(batch):
                 held += [t + end for t in encoder.encode(texts)]
                 docs_.append(piece.column("doc_id"))
-                count += sum(map(len, held[-len(texts):]))
+                count += sum(map(len, held[-len(texts) :]))
                 if count >= FILE_BYTES:  # a range with long texts makes more than one file
                     yield flush()
         if held:
             yield flush()
+        at = np.flatnonzero(total)
+        nothing = [pa.nulls(len(at), k) for _, k in kinds[:5]]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array(at.astype(np.int32)), pa.array(total[at])], schema=schema)
+
+    return in_batches(rows, work, "part int, serial int, name string, n_docs bigint, n_tokens bigint, id int, n bigint")
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_ids, numbers of ids and all ids of one packed file."""
+    magic, n_docs, n_ids, n_planes = np.frombuffer(data, "<i8", 4)
+    if magic != PACKED:
+        raise ValueError("not a packed file")
+    at = 8 * (4 + int(n_planes))
+    lengths = np.frombuffer(data, "<i8", n_planes, 32)
+    docs, sizes = np.frombuffer(data, "<i8", n_docs, at), np.frombuffer(data, "<i8", n_docs, at + 8 * n_docs)
+    at += 16 * int(n_docs)
+    raw = np.empty((n_ids, n_planes), np.uint8)
+    for k, length in enumerate(lengths.tolist()):
+        raw[:, k] = np.frombuffer(zstandard.decompress(data[at : at + length], max_output_size=int(n_ids)), np.uint8)
+        at += length
+    return docs, sizes, raw.reshape(-1).view(f"<u{int(n_planes)}")
+
+
+def write(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> tuple[DataFrame, str]:
+    """The files of all texts: (part, serial, name, n_docs, n_tokens, n_bytes) of each, and the code's file."""
+    spark = docs.sparkSession
+    folder = new_folder(spark, "tokens")
+    packed = stored(pack(docs, tokenizer, folder, end_id), "packed")
+    found = packed.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one number per id
+    counts = np.zeros(int(found["id"].max()) + 1 if len(found) else 0, np.int64)
+    counts[found["id"].to_numpy(int)] = found["n"].to_numpy()
+    lengths = huffman.code_lengths(counts)
+    book = put(folder, "code", lengths.tobytes())
+    shared = spark.sparkContext.broadcast(lengths)
+    files = packed.where("name is not null").select("part", "serial", "name", "n_docs", "n_tokens")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths = shared.value
+        codes = huffman.canonical(lengths)
+        for batch in batches:
+            for row in batch.to_pylist():
+                docs, sizes, ids = unpack(get(row["name"]))
+                stream, marks = huffman.encode(ids, codes, lengths)
+                out = Writer(folder, f"part-{row['part']:05d}-{row['serial']:05d}")
+                out.write(_header(MAGIC, docs, sizes, len(ids), len(marks)))
+                out.write(marks.astype("<i8").tobytes())
+                out.write(stream)
+                out.close()
+                yield pa.RecordBatch.from_pylist([row | {"name": out.name, "n_bytes": out.bytes}], pa.schema(_FILE))
 
-    return stored(in_batches(rows, work, ", ".join(f"{n} {k}" for n, k in zip(_FILE, _KINDS))), "token-files"), book
+    coded = in_batches(fan_out(files, files.count()), work, "part int, serial int, name string, n_docs bigint, n_tokens bigint, n_bytes bigint")
+    return stored(coded, "token-files"), book
 
 
-_FILE = ["part", "serial", "name", "n_docs", "n_tokens", "n_bytes"]
-_KINDS = ["int", "int", "string", "bigint", "bigint", "bigint"]
+_FILE = [("part", pa.int32()), ("serial", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]
 
 
 def read_file(data: bytes, table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_ids, ids counts and all ids of one file."""
+    """doc_ids, numbers of ids and all ids of one file."""
     magic, n_docs, n_ids, n_marks = np.frombuffer(data, "<i8", 4)
     if magic != MAGIC:
         raise ValueError("not a token file")
