@@ -117,7 +117,7 @@ SELECT b AS id, 'Brand#' || CAST(b AS STRING) AS brand, 'Offer ' || CAST(b AS ST
 SELECT b AS rebate_id, row_number() OVER (PARTITION BY b ORDER BY p_name) AS line_no, p_name AS product_line,
        CASE WHEN length(p_name) % 3 = 0 THEN split_part(p_name, ' ', 2) END AS match_pattern,
        CASE WHEN length(p_name) % 4 = 0 THEN CAST(length(p_name) AS DOUBLE) END AS amount_override
-  FROM (SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS INT) AS b, p_name FROM part WHERE p_partkey % 3 = 0) t""",
+  FROM (SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS INT) AS b, p_name FROM part) t""",
     "v_spec": """
 SELECT id, brand, caliber_normalized, grain, bullet_type, sku, product_line, muzzle_velocity_fps
   FROM (
@@ -126,13 +126,13 @@ SELECT id, brand, caliber_normalized, grain, bullet_type, sku, product_line, muz
            'SK ' || CAST(p_partkey AS STRING) || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'x' END AS sku,
            split_part(p_name, ' ', 2) || ' ' || CASE WHEN p_partkey % 3 = 0 THEN 'the pack' ELSE p_brand END AS product_line,
            CAST(900 + p_partkey % 5 * 50 AS INT) AS muzzle_velocity_fps
-      FROM part WHERE p_partkey % 2 = 0
+      FROM part
     UNION ALL
     SELECT p_partkey + 1000000 AS id, p_brand AS brand, p_type AS caliber_normalized, p_size AS grain,
            upper(split_part(p_name, ' ', 1)) AS bullet_type, 'NONE' || CAST(p_partkey AS STRING) AS sku,
            split_part(p_name, ' ', 2) || ' brand' || replace(p_brand, 'Brand#', '') || ' ' || CAST(p_partkey AS STRING) AS product_line,
            CAST(1200 + p_partkey % 3 * 50 AS INT) AS muzzle_velocity_fps
-      FROM part WHERE p_partkey % 3 = 0) t""",
+      FROM part) t""",
 }
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",

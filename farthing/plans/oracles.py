@@ -213,17 +213,20 @@ check("derive_unit_price", """SELECT one AS total_rounds, count(*) AS n,
 check("derive_minimum_two", """SELECT two AS total_rounds, count(*) AS n,
    min(coalesce(display_ppr, round_even(base_price / two, 4))) AS lowest,
    max(coalesce(display_ppr, round_even(base_price / two, 4))) AS highest FROM counted GROUP BY 1""", COUNTS)
-check("variant_pick", """SELECT handle, handle AS retailer_product_id, rounds AS total_rounds, price AS base_price, available AS in_stock,
-   round_even(price / rounds, 4) AS price_per_round
- FROM (SELECT *, row_number() OVER (PARTITION BY handle ORDER BY rounds, pos) AS rn FROM (
-   SELECT handle, pos, available, price, coalesce(CASE WHEN o BETWEEN 10 AND 10000 THEN o END, CASE WHEN t BETWEEN 10 AND 10000 THEN t END) AS rounds
+VARIANTS = """SELECT handle, pos, pk, available, price, coalesce(CASE WHEN o BETWEEN 10 AND 10000 THEN o END, CASE WHEN t BETWEEN 10 AND 10000 THEN t END) AS rounds
      FROM (SELECT CAST(l_orderkey AS VARCHAR) AS handle,
              row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice,
                 CASE WHEN l_partkey % 3 = 0 THEN CAST(CAST(l_quantity AS INT) AS VARCHAR) END NULLS FIRST) AS pos,
              CASE WHEN l_partkey % 3 = 0 THEN CAST(l_quantity AS INT) END AS o, CAST(l_partkey % 60 AS INT) AS t,
              CASE WHEN l_partkey % 7 = 0 THEN 0.0 ELSE CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS DOUBLE) END AS price,
-             l_returnflag <> 'R' AS available FROM lineitem))
-   WHERE rounds IS NOT NULL AND price > 0) WHERE rn = 1""")
+             l_returnflag <> 'R' AS available, l_partkey AS pk FROM lineitem)"""
+PICKED = "rounds AS total_rounds, price AS base_price, available AS in_stock, round_even(price / rounds, 4) AS price_per_round"
+for name, order in (("variant_pick", "rounds, pos"), ("variant_first", "pos")):
+    check(name, f"""SELECT handle, handle AS retailer_product_id, {PICKED} FROM (SELECT *, row_number() OVER (PARTITION BY handle ORDER BY {order}) AS rn
+      FROM ({VARIANTS}) WHERE rounds IS NOT NULL AND price > 0) WHERE rn = 1""")
+check("variant_each", f"""SELECT repeat('h', 100) || handle AS handle, repeat('h', 100) || handle || '-' || pk AS retailer_product_id, {PICKED}
+  FROM ({VARIANTS}) WHERE rounds IS NOT NULL AND price > 0""")
+check("unescape", "SELECT doc_id, sha256(text || chr(128512) || '&lt;') AS text_hash FROM documents")
 check("category_audit", f"""SELECT *, CASE severity WHEN 'CRITICAL' THEN 0 WHEN 'WARNING' THEN 1 ELSE 2 END AS severity_rank FROM (
   SELECT caliber_normalized, n, min_price, max_price, round(avg_price, 6) AS avg_price,
     CASE WHEN min_price < 0.05 OR max_price > 5 OR avg_price > coalesce(hi, 5.0) * 3 THEN 'CRITICAL' WHEN n < 5 THEN 'WARNING' ELSE 'HEALTHY' END AS severity,

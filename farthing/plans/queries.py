@@ -255,8 +255,8 @@ def derive_minimum_two(spark, d):
     )
 
 
-@query
-def variant_pick(spark, d):
+def _products(spark, d):
+    """Orders as products whose lines are variants."""
     lines = table(spark, d, "lineitem").select(
         "l_orderkey",
         F.struct(
@@ -268,10 +268,25 @@ def variant_pick(spark, d):
             (F.col("l_returnflag") != "R").alias("available"), F.col("l_partkey").alias("id"),
         ).alias("v"),
     )
-    products = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("v")).alias("variants")).select(
+    return lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("v")).alias("variants")).select(
         F.col("l_orderkey").cast("string").alias("handle"), "variants"
     )
-    return enrich.pick_variant(products)
+
+
+@query
+def variant_pick(spark, d):
+    return enrich.pick_variant(_products(spark, d))
+
+
+@query
+def variant_first(spark, d):
+    return enrich.pick_variant(_products(spark, d), mode="first")
+
+
+@query
+def variant_each(spark, d):
+    long = _products(spark, d).withColumn("handle", F.concat(F.repeat(F.lit("h"), 100), "handle"))
+    return enrich.pick_variant(long, mode="each")
 
 
 @query
@@ -1050,6 +1065,15 @@ def price_from_text(spark, d):
 
 # -- pages -------------------------------------------------------------------------------------------
 
+@query
+def unescape(spark, d):
+    """Texts with many characters written as references come back whole."""
+    text = F.replace(F.col("text"), F.lit("&"), F.lit("&amp;"))
+    for char, reference in (("o", "&#111;"), ("d", "&#x64;"), ("é", "&eacute;"), ("ü", "&uuml"), ("ñ", "&#00241"), ("<", "&lt;"), (".", "&period;")):
+        text = F.replace(text, F.lit(char), F.lit(reference))
+    return table(spark, d, "documents").select("doc_id", F.sha2(markup.unescape(F.concat(text, F.lit("&#128512;&#38;lt;"))), 256).alias("text_hash"))
+
+
 @query
 def page_title(spark, d):
     return table(spark, d, "pages").select("page_id", markup.page_title(F.col("html")).alias("title"))
