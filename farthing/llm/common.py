@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -52,9 +58,45 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` under its own name; the work sees whole batches, never all rows."""
-    return df.mapInArrow(work, schema)
+#: What a worker keeps between tasks, by name.
+_KEPT: dict[str, Any] = {}
+
+
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """An object that later tasks of this worker use again."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def _forget(but: str) -> None:
+    """Drop what other operators have kept in this worker."""
+    for name in [n for n in _KEPT if n != but]:
+        del _KEPT[name]
+    _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system, as workers live through many operators."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def in_batches(df: DataFrame, work: Work, schema: str | StructType, keeps: str = "") -> DataFrame:
+    """``mapInArrow``; the work sees whole batches, never all rows.
+
+    A task first drops what other operators have kept in its worker, but for ``keeps``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget(keeps)
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def utf8(column: str = "text") -> Column:

@@ -295,4 +295,4 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield part.filter(pa.array(clean[a : a + part.num_rows]))
                 a += part.num_rows
 
-    return docs.mapInArrow(work, docs.schema)
+    return in_batches(docs, work, docs.schema)

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farthing.llm import huffman
-from farthing.llm.common import fan_out, in_batches, new_folder, pieces, stored, utf8
+from farthing.llm.common import fan_out, in_batches, kept, new_folder, pieces, stored, utf8
 from farthing.llm.files import Writer, get, put
 
 END_ID = 1
@@ -118,9 +117,8 @@ class Encoder:
         return [b"".join(map(known.__getitem__, w)) for w in words]
 
 
-@lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return kept(f"encoder {path}", lambda: Encoder(path))
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -181,7 +179,7 @@ def pack(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
         nothing = [pa.nulls(len(at), k) for _, k in kinds[:5]]
         yield pa.RecordBatch.from_arrays([*nothing, pa.array(at.astype(np.int32)), pa.array(total[at])], schema=schema)
 
-    return in_batches(rows, work, "part int, serial int, name string, n_docs bigint, n_tokens bigint, id int, n bigint")
+    return in_batches(rows, work, "part int, serial int, name string, n_docs bigint, n_tokens bigint, id int, n bigint", f"encoder {tokenizer}")
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

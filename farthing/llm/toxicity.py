@@ -317,4 +317,4 @@ def without_toxic(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFram
                 got = shared.value.score(evidence_of(part.column("text").cast(pa.binary()), dense))
                 yield part.filter(pa.array(got < limit))
 
-    return docs.mapInArrow(below, docs.schema)
+    return in_batches(docs, below, docs.schema)
