@@ -35,9 +35,9 @@ from farthing.llm.files import Writer, get, put
 
 END_ID = 1
 #: Words that a worker remembers; past that it starts anew.
-MEMORY = 900_000
+MEMORY = 700_000
 #: Bytes of text in a range, and of ids in a file, about.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 MAGIC, PACKED = 0x31465548, 0x31444950
 
 
@@ -51,6 +51,18 @@ def _byte_letters() -> list[str]:
 _LETTERS = _byte_letters()
 
 
+class Words(dict):
+    """Ids of words as bytes; one that is not there is encoded and remembered."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        self[word] = ids = self.encode(word)
+        return ids
+
+
 class Encoder:
     """Ids of texts as bytes, by words."""
 
@@ -62,7 +74,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {b"": b""}
+        self.known = Words(self._encode)
         self.plain = self._takes_letters()
 
     def _takes_letters(self) -> bool:
@@ -90,31 +102,21 @@ class Encoder:
                 return body, word[-1:]
         return word, b""
 
-    def _learn(self, words: set[bytes]) -> None:
-        known, model = self.known, self.tokenizer.model
-        parts = {w: self._parts(w) for w in words}
-        rest = []
-        for word in {p for pair in parts.values() for p in pair} - known.keys():
-            unit = self._unit(word.decode("utf-8", "replace")) if self.plain else None
-            if unit is None:
-                rest.append(word)
-                continue
-            low = unit.encode() if word.isascii() else word
-            ids = known.get(low) if low is not word else None
-            known[word] = ids if ids is not None else np.array([t.id for t in model.tokenize(unit)], self.kind).tobytes()
-        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in rest], add_special_tokens=False)
-        known.update((w, np.array(g.ids, self.kind).tobytes()) for w, g in zip(rest, got))
-        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items() if b)
+    def _encode(self, word: bytes) -> bytes:
+        body, stop = self._parts(word)
+        if stop:
+            return self.known[body] + self.known[stop]
+        text = word.decode("utf-8", "replace")
+        unit = self._unit(text) if self.plain else None
+        if unit is None:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return self.known.get(word.lower()) or np.array([t.id for t in self.tokenizer.model.tokenize(unit)], self.kind).tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        words = [t.split() if t else [] for t in texts]
         if len(self.known) > MEMORY:
-            self.known = {b"": b""}
-        known = self.known
-        unknown = set().union(*words) - known.keys()
-        if unknown:
-            self._learn(unknown)
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+            self.known.clear()
+        get = self.known.__getitem__
+        return [b"".join(map(get, t.split())) if t else b"" for t in texts]
 
 
 def _encoder(path: str) -> Encoder:
