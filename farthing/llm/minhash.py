@@ -1,9 +1,8 @@
 """Circulant MinHash near-duplicates with exact Jaccard verification.
 
-Two permutations make all coordinates: the first scatters a shingle once, the
-second is applied after a circular shift by the coordinate's number, so coordinate
-k is the smallest ``second(first(x) + k)`` over the set. Both are bijections of 32-bit
-numbers, the circle being 2^32 places. ``rows`` coordinates form a band; sets that
+Two permutations make all coordinates: the first scatters the shingles' 64-bit codes
+over a circle of 2^32 places once, the second permutes the circle after a shift by the
+coordinate's number, so coordinate k is the smallest ``second(first(x) + k)`` over the set. ``rows`` coordinates form a band; sets that
 agree in a band are candidates, and a candidate pair is a link only after its full
 64-bit shingle sets are compared. With 40 bands of 6 rows a pair at 0.85 is missed
 with probability (1 - 0.85^6)^40, below 1e-8, and one at 0.3 met with 3 %.
