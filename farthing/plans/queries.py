@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farthing.functions import clock, markup, predicates, prices, rules, text
 from farthing.operators import audit, changes, enrich, matching, pages, pool, retention, segments, series, stats
 from farthing.plans import flows, sql_surface
-from farthing.plans.fixtures import CATEGORIES, table, view
+from farthing.plans.fixtures import table, view
 from farthing.rulebook import brands, categories, packs
 from farthing.sources import sinks, tables
 

@@ -1,5 +1,4 @@
 from datetime import datetime, timedelta
-import random
 
 import pytest
 from pyspark.sql import functions as F
