@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,6 +121,12 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Itera
         yield start, len(sizes)
 
 
+def gathered(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a result of bounded size, as arrays; no row objects are made on the driver."""
+    rows = df.toArrow()
+    return [c.to_numpy() for c in rows.columns]
+
+
 def fan_out(df: DataFrame, rows: int) -> DataFrame:
     """Deal the few rows of a manifest over that many tasks, one each or so."""
     return df.repartition(max(1, rows))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farthing.llm.common import in_batches
+from farthing.llm.common import gathered, in_batches
 from farthing.llm.words import mixed
 
 WORDS = 1 << 20
@@ -52,7 +52,7 @@ def sieve_of(codes: DataFrame) -> Sieve:
             own = word[a : a + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(bits[own].view(np.int64))], ["word", "bits"])
 
-    found = in_batches(codes, work, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    word, held = gathered(in_batches(codes, work, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")))
     bits = np.zeros(WORDS, np.uint64)
-    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    bits[word] = held.view(np.uint64)
     return Sieve(bits)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farthing.llm.common import in_batches, pieces, utf8
+from farthing.llm.common import gathered, in_batches, pieces, utf8
 from farthing.llm.words import text_bytes
 
 ORDER, BITS = 5, 5
@@ -228,13 +228,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Mode
     """Both models and the curve, from the labelled texts that ``learn`` allows."""
     spark = docs.sparkSession
     rows = _labelled(docs, labels, F.lit(True) if learn is None else learn)
-    found = in_batches(rows, _count, "key int, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
-    texts = int(found.loc[found["key"] < 0, "n"].sum())
-    found = found[found["key"] >= 0]
-    key = found["key"].to_numpy(np.int64)
+    key, n = gathered(in_batches(rows, _count, "key int, n bigint").groupBy("key").agg(F.sum("n").alias("n")))
+    texts = int(n[key < 0].sum())
+    key, n = key[key >= 0].astype(np.int64), n[key >= 0]
     cells = np.unique(key // 4)
     counts = np.zeros((4, len(cells)))  # ordinary and toxic texts, each in two halves
-    counts[key % 4, np.searchsorted(cells, key // 4)] = found["n"].to_numpy()
+    counts[key % 4, np.searchsorted(cells, key // 4)] = n
 
     def whole(trust: float) -> Ratios:
         return ratios(cells, counts[2] + counts[3], counts[0] + counts[1], trust)
