@@ -203,6 +203,20 @@ def test_mix(spark, docs, odd_docs, no_docs):
     assert {r.taken for r in mixing.takes(blank).collect()} == {0} and mixing.mixed(blank).count() == 0
 
 
+def test_takes_are_the_rows_that_the_tree_deals(spark, docs, odd_docs):
+    for table in (docs, odd_docs):
+        taken = mixing.takes(table, shards=3).collect()
+        dealt = Counter((r.doc_id, r.mix_shard) for r in mixing.mixed(table, shards=3).collect())
+        assert dealt == Counter((r.doc_id, s) for r in taken for s in r.shards)
+        assert all(len(r.shards) == len(r.places) and r.taken == r.size * len(r.shards) for r in taken)
+        for shard in range(3):
+            places = sorted(p for r in taken for s, p in zip(r.shards, r.places) if s == shard)
+            assert places == list(range(len(places)))
+    # Both sources are drawn once: 12 and 4 blocks hold rows, one for each of the first 16 shards.
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "a").otherwise("b").alias("source"), F.lit("two words").alias("text"))
+    assert {r.mix_shard for r in mixing.mixed(rows, shards=24, weights=(3, 1)).collect()} == set(range(16))
+
+
 def least_cost_by_force(supply, room, price):
     from functools import lru_cache
 
