@@ -7,8 +7,9 @@ components give the clusters: all but the occurrences in the smallest document g
 
 A passage may also stand inside a longer line, or run over several. So runs of whole
 sentences of ``WINDOW`` words or more, one from every sentence, are a second kind of paragraph,
-whose copies must be equal word for word. Both kinds give spans of words; spans of a
-document that touch are one, and those of ``INNER`` words or more are the result.
+whose copies must be equal word for word. Both kinds give spans of words, each with the smallest
+document of its copies. Where spans of a document overlap, a word belongs to the smallest of
+these; the result are the ranges of words with one such document.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,6 @@ from farthing.llm.sieve import Sieve, sieve_of
 from farthing.llm.words import SPACED, Words, mixed, text_bytes, words_of
 
 LEAST = 50
-#: Words that whole shared sentences must have: a passage of ``LEAST`` words may lose a part of its first and last one.
-INNER = 36
 WINDOW = 24
 BANDING = Banding(above=80, bands=20, rows=4)
 _STEP = 0x9E3779B97F4A7C15
@@ -156,26 +154,44 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
     return stored(ends.where("first < last").select(key, "first"), "repeated")
 
 
-def _merged(frames: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
-    """Spans of one document that touch become one, with its smallest first document."""
-    for f in frames:
-        out = []
-        for doc, spans in zip(f["doc_id"], f["spans"]):
-            held: list[list[int]] = []
-            for s in sorted((s["start"], s["stop"], s["first"]) for s in spans):
-                if held and s[0] <= held[-1][1]:
-                    held[-1][1], held[-1][2] = max(held[-1][1], s[1]), min(held[-1][2], s[2])
-                else:
-                    held.append(list(s))
-            out += [(doc, a, b, first) for a, b, first in held if b - a >= least]
-        yield pd.DataFrame(out, columns=["doc_id", "start", "stop", "first_doc"]).astype("int64")
+def _labelled(start: np.ndarray, stop: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of words of one document, cut where the smallest first document of their spans changes."""
+    order = np.lexsort((start, -first))
+    start, stop, first = start[order], stop[order], first[order]
+    opens = np.ones(len(start), bool)
+    opens[1:] = (first[1:] != first[:-1]) | (start[1:] > np.maximum.accumulate(stop)[:-1])
+    at = np.flatnonzero(opens)
+    label = np.zeros(stop.max() + 1, np.int64)
+    covered = np.zeros(len(label), bool)
+    for a, b, f in zip(start[at], np.maximum.reduceat(stop, at), first[at]):  # the smallest first comes last
+        label[a:b] = f
+        covered[a:b] = True
+    edges = np.ones(len(label), bool)
+    edges[1:] = (covered[1:] != covered[:-1]) | (label[1:] != label[:-1])
+    cut = np.flatnonzero(edges)
+    ends = np.append(cut[1:], len(label))
+    kept = covered[cut]
+    return cut[kept], ends[kept], label[cut[kept]]
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = batch.column("spans")
+        bounds = np.asarray(spans.offsets)
+        flat = [np.asarray(c) for c in spans.values.flatten()]
+        for i, doc in enumerate(batch.column("doc_id").to_pylist()):
+            a, b, first = _labelled(*(c[bounds[i] : bounds[i + 1]] for c in flat))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(a), doc)), pa.array(a), pa.array(b), pa.array(first)], ["doc_id", "start", "stop", "first_doc"]
+            )
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST, banding: Banding = BANDING) -> DataFrame:
-    """(doc_id, start, stop, first_doc, removed): spans of words that other documents share.
+    """(doc_id, start, stop, first_doc, removed): ranges of words that other documents share.
 
-    One row per span; ``removed`` is true unless the span's document is the first of
-    its cluster. Defined results: null and empty texts, and texts without doc_id, have no rows;
+    One row per range of words with one ``first_doc``; ``removed`` is true unless that is the
+    document itself. Where passages overlap in part, ``first_doc`` may have left some
+    of the words to a still smaller document; some document keeps each word. Defined results: null and empty texts, and texts without doc_id, have no rows;
     rows of one doc_id are one document, so a passage that only they share is not a
     repeat; no rows give no rows; other columns are ignored.
     """
@@ -195,5 +211,5 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, banding: Banding = BA
     same = _windows(docs, sieve_of(repeated.select("code"))).join(repeated, "code")
     spans = near.select("doc_id", "start", "stop", "first").unionByName(same.select("doc_id", "start", "stop", "first"))
     own = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "first")).alias("spans"))
-    found = own.mapInPandas(lambda frames: _merged(frames, INNER), "doc_id bigint, start bigint, stop bigint, first_doc bigint")
+    found = in_batches(own, _ranges, "doc_id bigint, start bigint, stop bigint, first_doc bigint")
     return found.withColumn("removed", F.col("first_doc") < F.col("doc_id"))

@@ -137,3 +137,23 @@ def test_passages(spark, docs, odd_docs, no_docs):
     assert ids - {10**6, 10**6 + 1} <= shared_runs(rows, 12)
     assert repeated_passages(no_docs).count() == 0
     assert repeated_passages(odd_docs).count() == 0
+
+
+def ranges_of(found):
+    held = defaultdict(list)
+    for r in found:
+        held[r.doc_id].append((r.start, r.stop, r.first_doc, r.removed))
+    return {i: sorted(v) for i, v in held.items()}
+
+
+def test_touching_passages_keep_their_own_first_document(spark):
+    """Document 5 has P of document 2, then Q, which document 9 has too: Q stays in 5."""
+    p, q = (" ".join(f"{x}{k}" for k in range(60)) + "." for x in "pq")
+    rows = [(2, p), (5, f"{p}\n{q}"), (9, q)]
+    found = ranges_of(repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert found == {2: [(0, 60, 2, False)], 5: [(0, 60, 2, True), (60, 120, 5, False)], 9: [(0, 60, 5, True)]}
+    words = {i: t.split() for i, t in rows}
+    for i, ranges in found.items():
+        for a, b, first, removed in ranges:
+            kept = [words[first][x:y] for x, y, _, gone in found[first] if not gone]
+            assert not removed or any(words[i][a:b] == k[j : j + b - a] for k in kept for j in range(len(k)))
