@@ -1,13 +1,16 @@
 """Substring dedup: repeated passages by MinHash over paragraphs.
 
-Paragraphs are lines of at least ``least`` words. Bands of a few coordinates are
+Paragraphs are lines of at least ``least`` words, and neighbouring shorter lines together, up to a
+blank line, since texts are wrapped differently. Bands of a few coordinates are
 tuned for recall (20 of 4 rows miss a pair at 0.8 with probability 3e-5), colliding
 paragraphs are verified by exact Jaccard of their five-word shingles, and connected
 components give the clusters: all but the occurrences in the smallest document go.
 
-A passage may also stand inside a longer line, or run over several. So runs of whole
-sentences of ``WINDOW`` words or more, one from every sentence, are a second kind of paragraph,
-whose copies must be equal word for word. Both kinds give spans of words, each with the smallest
+A passage may also stand anywhere inside a longer line, or run over several. So every run of ``least``
+words that two documents share is a second kind, equal word for word wherever sentences and
+lines end. Each run has an anchor that only its words define (the smallest code of the shorter runs
+inside), so runs are compared only where two documents share an anchor; the runs of a longer
+passage overlap and give it whole. Both kinds give spans of words, each with the smallest
 document of its copies. Where spans of a document overlap, a word belongs to the smallest of
 these; the result are the ranges of words with one such document.
 """
@@ -28,36 +31,36 @@ from farthing.llm.sieve import Sieve, sieve_of
 from farthing.llm.words import SPACED, Words, mixed, text_bytes, words_of
 
 LEAST = 50
-WINDOW = 24
 BANDING = Banding(above=80, bands=20, rows=4)
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
 
 def _lines(column: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Text, first word and end word of every line of enough words, and the line."""
-    raw, bounds = text_bytes(column)
-    w = words_of(column, SPACED)
-    text, starts = _starts(raw, w, lambda gaps: gaps)
-    ends = np.append(starts[1:], len(w.codes))
-    kept = np.flatnonzero(ends - starts >= least)
-    first = w.first[text[kept]]
-    lines = [raw[w.starts[starts[i]] : w.ends[ends[i] - 1]].tobytes() for i in kept]
-    return text[kept], starts[kept] - first, ends[kept] - first, lines
-
+    """Text, first word and end word of every paragraph of enough words, and the paragraph.
 
-def _starts(raw: np.ndarray, w: Words, breaks) -> tuple[np.ndarray, np.ndarray]:
-    """Words that open a line (or what ``breaks`` makes of it), and their texts."""
+    Neighbouring lines of fewer words are one paragraph, up to a blank line: they may be one, wrapped.
+    """
+    raw, _ = text_bytes(column)
+    w = words_of(column, SPACED)
     n = len(w.codes)
-    opens = np.zeros(n, bool)
+    gaps = np.zeros(n, np.int64)
     if n:
         newlines = np.concatenate([[0], np.cumsum(raw == 10)])
-        gaps = np.zeros(n, bool)
-        gaps[1:] = newlines[w.starts[1:]] > newlines[w.ends[:-1]]
-        opens = breaks(gaps)
-        opens[w.first[:-1][np.diff(w.first) > 0]] = True
-    starts = np.flatnonzero(opens)
-    return np.searchsorted(w.first, starts, side="right") - 1, starts
+        gaps[1:] = newlines[w.starts[1:]] - newlines[w.ends[:-1]]
+        gaps[w.first[:-1][np.diff(w.first) > 0]] = 2  # a text ends a paragraph as a blank line does
+    starts = np.flatnonzero(gaps)
+    short = np.diff(np.append(starts, n)) < least
+    wrapped = (gaps[starts] == 1) & short
+    wrapped[1:] &= short[:-1]
+    starts = starts[~wrapped]
+    ends = np.append(starts[1:], n)
+    kept = np.flatnonzero(ends - starts >= least)
+    starts, ends = starts[kept], ends[kept]
+    text = np.searchsorted(w.first, starts, side="right") - 1
+    first = w.first[text]
+    lines = [raw[w.starts[i] : w.ends[j - 1]].tobytes() for i, j in zip(starts, ends)]
+    return text, starts - first, ends - first, lines
 
 
 def paragraphs(docs: DataFrame, least: int) -> DataFrame:
@@ -104,43 +107,69 @@ def _lines_of(docs: DataFrame, ids: DataFrame, least: int, banding: Banding) ->
     return in_batches(docs.select(utf8()), work, "id bigint, text binary")
 
 
-def _windows(docs: DataFrame, sieve: Sieve | None = None) -> DataFrame:
-    """(code, doc_id, start, stop) of the runs of whole sentences, of all or those that ``sieve`` lets pass."""
-    shared = None if sieve is None else docs.sparkSession.sparkContext.broadcast(sieve)
+def _run_codes(w: Words, size: int) -> np.ndarray:
+    """The code of the ``size`` words from every word on, across texts."""
+    n = len(w.codes)
+    with np.errstate(over="ignore"):
+        power, back = _powers(_STEP, n), _powers(_BACK, n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.codes * power[:n], dtype=np.uint64)])
+        return mixed((sums[size:] - sums[: n + 1 - size]) * back[: n + 1 - size] + np.uint64(size))
+
+
+def _anchored(column: pa.Array, least: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words, and of every run of ``least`` words in a text: its text, its first word and its anchor.
+
+    The anchor is the smallest code of the runs of ``(least + 1) // 2`` words inside; equal runs have equal ones.
+    """
+    w = words_of(column, SPACED)
+    if len(w.codes) < least:
+        return w, *(np.zeros(0, np.int64),) * 2, np.zeros(0, np.uint64)
+    inner = (least + 1) // 2
+    low, width, wanted = _run_codes(w, inner), 1, least - inner + 1
+    while width < wanted:  # the smallest of ``width`` neighbours
+        step = min(width, wanted - width)
+        low, width = np.minimum(low[:-step], low[step:]), width + step
+    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    at = np.flatnonzero(text[: len(low)] == text[least - 1 :])
+    return w, text[at], at, low[at]
+
+
+def _anchors(docs: DataFrame, least: int) -> DataFrame:
+    """(code, doc_id): the anchors of each document."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch, "text"):
+                part = batch.slice(a, b - a)
+                _, text, _, code = _anchored(part.column("text"), least)
+                fresh = np.ones(len(code), bool)
+                fresh[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(code[fresh].view(np.int64)), part.column("doc_id").take(pa.array(text[fresh]))], ["code", "doc_id"]
+                )
 
-    def sentences(raw: np.ndarray, w: Words):
-        stops = np.isin(raw[w.ends - 1], np.frombuffer(b".!?", np.uint8))
+    return in_batches(docs.select(F.col("doc_id").cast("bigint"), utf8()), work, "code bigint, doc_id bigint")
 
-        def breaks(gaps: np.ndarray) -> np.ndarray:
-            out = gaps.copy()
-            out[1:] |= stops[:-1]
-            return out
 
-        return breaks
+def _windows(docs: DataFrame, least: int, anchors: Sieve, sieve: Sieve | None = None) -> DataFrame:
+    """(code, doc_id, start, stop) of the runs of ``least`` words whose anchor, and whose own code, the sieves let pass."""
+    shared = docs.sparkSession.sparkContext.broadcast((anchors, sieve))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors, sieve = shared.value
         for batch in batches:
             for a, b in pieces(batch, "text"):
                 part = batch.slice(a, b - a)
-                raw, _ = text_bytes(part.column("text"))
-                w = words_of(part.column("text"), SPACED)
-                text, starts = _starts(raw, w, sentences(raw, w))
-                n = len(w.codes)
-                ends = np.append(starts, [n, n + WINDOW])  # the last is beyond every text
-                stop = ends[np.searchsorted(ends, starts + WINDOW)]
-                kept = np.flatnonzero(stop <= w.first[text + 1])
-                text, starts, stop = text[kept], starts[kept], stop[kept]
-                with np.errstate(over="ignore"):
-                    power, back = _powers(_STEP, n), _powers(_BACK, n)
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.codes * power[:n], dtype=np.uint64)])
-                    code = mixed((sums[stop] - sums[starts]) * back[starts] + (stop - starts).astype(np.uint64))
-                code = code.view(np.int64)
-                if shared is not None:
-                    kept = shared.value.might_hold(code)
-                    code, text, starts, stop = code[kept], text[kept], starts[kept], stop[kept]
-                first = w.first[text]
+                w, text, at, anchor = _anchored(part.column("text"), least)
+                met = anchors.might_hold(anchor)
+                text, at = text[met], at[met]
+                code = (_run_codes(w, least)[at] if len(at) else np.zeros(0, np.uint64)).view(np.int64)
+                if sieve is not None:
+                    met = sieve.might_hold(code)
+                    code, text, at = code[met], text[met], at[met]
+                start = at - w.first[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code), part.column("doc_id").take(pa.array(text)), pa.array(starts - first), pa.array(stop - first)],
+                    [pa.array(code), part.column("doc_id").take(pa.array(text)), pa.array(start), pa.array(start + least)],
                     ["code", "doc_id", "start", "stop"],
                 )
 
@@ -207,8 +236,9 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, banding: Banding = BA
     member = lines.select("doc_id", "start", "stop", F.col("f1").alias("node")).join(joined, "node", "left")
     member = stored(member.select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component")), "paragraphs")
     near = member.join(_repeated(member, "component"), "component")
-    repeated = _repeated(_windows(docs), "code")
-    same = _windows(docs, sieve_of(repeated.select("code"))).join(repeated, "code")
+    anchors = sieve_of(_repeated(_anchors(docs, least), "code").select("code"))
+    repeated = _repeated(_windows(docs, least, anchors), "code")
+    same = _windows(docs, least, anchors, sieve_of(repeated.select("code"))).join(repeated, "code")
     spans = near.select("doc_id", "start", "stop", "first").unionByName(same.select("doc_id", "start", "stop", "first"))
     own = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "first")).alias("spans"))
     found = in_batches(own, _ranges, "doc_id bigint, start bigint, stop bigint, first_doc bigint")

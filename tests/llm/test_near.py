@@ -157,3 +157,31 @@ def test_touching_passages_keep_their_own_first_document(spark):
         for a, b, first, removed in ranges:
             kept = [words[first][x:y] for x, y, _, gone in found[first] if not gone]
             assert not removed or any(words[i][a:b] == k[j : j + b - a] for k in kept for j in range(len(k)))
+
+
+def test_passages_cut_at_any_word(spark):
+    """Exact runs in the middle of foreign sentences, of any length from 50 words, wrapped anyhow: found whole."""
+    rng = np.random.default_rng(23)
+    rows, want = [], {}
+    for n in (50, 51, 57, 60, 75, 120):
+        passage = [f"p{n}x{k}" for k in range(n)]
+        for copy in range(2):
+            before, after = ([f"h{rng.integers(10**9)}" for _ in range(rng.integers(20, 90))] for _ in range(2))
+            words = before + passage + after
+            gaps = [" " if copy else rng.choice([" ", "\n"]) for _ in words]
+            rows.append((len(rows), "".join(w + g for w, g in zip(words, gaps))))
+            want[rows[-1][0]] = [(len(before), len(before) + n, rows[-1][0] - copy, bool(copy))]
+    short = [f"s{k}" for k in range(49)]
+    rows += [(100 + k, " ".join([*(f"one{k}x{i}" for i in range(40)), *short, *(f"two{k}x{i}" for i in range(40))])) for k in range(2)]
+    assert ranges_of(repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()) == want
+
+
+def test_wrapped_paragraphs(spark):
+    """A paragraph of short lines is near one that is a single line; a blank line parts paragraphs."""
+    rng = np.random.default_rng(29)
+    base = [f"w{k}" for k in range(100)]
+    near = edited(rng, base, 2).split()
+    wrapped = "\n".join(" ".join(near[k : k + 9]) for k in range(0, 100, 9))
+    rows = [(1, " ".join(base)), (2, f"Some words ahead.\n\n{wrapped}\n \nSome words behind.")]
+    found = ranges_of(repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert found == {1: [(0, 100, 1, False)], 2: [(3, 103, 1, True)]}
