@@ -2,11 +2,13 @@
 
 The writer makes one gzip member per record, so every record can be found on its
 own. The reader goes from record to record and checks each: gzip checksum, headers,
-lengths, payload digest. After a failed check it looks for the next gzip member
+lengths, payload digest (SHA-1 or SHA-256, in hex or base32, over the body of an HTTP response;
+other digests are passed on unchecked). A member may hold several records, which all have
+its byte range. After a failed check it looks for the next gzip member
 or, in plain files, the next version line that starts a valid record, goes on there, and logs the
 bytes between as a quarantined gap.
 
-Files are read in a stream: the reader holds one record and one read step.
+Files are read in a stream: the reader holds one record or gzip member and one read step.
 
 Defined results: a null payload is empty; of equal payloads of ``REVISIT_BYTES`` or more the
 smallest id is the response, rows repeating that id are all responses, and a row without id
@@ -15,6 +17,8 @@ revisits it (a group with no id at all has only responses); no rows give no file
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -153,13 +157,13 @@ def _member(source: _Source, at: int) -> tuple[bytes, int]:
     return b"".join(out), at - len(press.unused_data)
 
 
-def _heads(data: bytes) -> tuple[dict[str, str], int]:
-    """The header fields at the start of ``data`` and the length of the block."""
-    end = data.find(b"\r\n\r\n")
-    if not data.startswith(b"WARC/1.") or end < 0:
+def _heads(data: bytes, at: int = 0) -> tuple[dict[str, str], int]:
+    """The header fields at ``at`` in ``data``, and where the block begins."""
+    end = data.find(b"\r\n\r\n", at)
+    if not data.startswith(b"WARC/1.", at) or end < 0:
         raise Damaged("no record header")
     try:
-        lines = data[:end].decode("utf-8").split("\r\n")[1:]
+        lines = data[at:end].decode("utf-8").split("\r\n")[1:]
     except UnicodeDecodeError:
         raise Damaged("header is not UTF-8") from None
     fields = {}
@@ -178,13 +182,57 @@ def _page(urn: str | None) -> int | None:
     return int(number) if number.lstrip("-").isdigit() else None
 
 
+def _known_digest(field: str) -> tuple[str, bytes] | None:
+    """Algorithm and value of a digest whose algorithm and encoding are known; without a name it is SHA-256."""
+    name, colon, value = field.rpartition(":")
+    name = name.strip().lower().replace("-", "") if colon else "sha256"
+    if name not in ("sha1", "sha256"):
+        return None
+    size, value = hashlib.new(name).digest_size, value.strip().rstrip("=")
+    try:
+        if len(value) == 2 * size:
+            return name, bytes.fromhex(value)
+        if len(value) == -(-size * 8 // 5):
+            return name, base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except (ValueError, binascii.Error):
+        raise Damaged("payload digest is not readable") from None
+    return None
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """An HTTP body without its transfer coding; None if it is not so coded."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0].strip(), 16)
+        except ValueError:
+            return None
+        if size <= 0:
+            return b"".join(out) if size == 0 else None
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return None
+
+
+def _payloads(fields: dict[str, str], body: bytes) -> Iterator[bytes]:
+    """What a payload digest may be over: the block, or of an HTTP response its body, as sent or with its chunks joined."""
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        head, _, body = body.partition(b"\r\n\r\n")
+        yield body
+        if b"chunked" in head.lower() and (joined := _unchunked(body)) is not None:
+            yield joined
+    else:
+        yield body
+
+
 def _checked(fields: dict[str, str], body: bytes, start: int, stop: int) -> dict:
     """The record, if its payload is what the header says."""
     kind, digest = fields.get("warc-type", ""), fields.get("warc-payload-digest", "").removeprefix("sha256:")
     if kind == "response":
-        if digest and hashlib.sha256(body).hexdigest() != digest:
+        known = _known_digest(digest) if digest else None
+        if known and all(hashlib.new(known[0], p).digest() != known[1] for p in _payloads(fields, body)):
             raise Damaged("payload digest differs")
-        digest = digest or hashlib.sha256(body).hexdigest()
+        digest = digest or hashlib.sha256(next(_payloads(fields, body))).hexdigest()
     length = fields.get("x-payload-length", str(len(body)))
     return {
         "start": start, "stop": stop, "record_type": kind, "page_id": _page(fields.get("warc-record-id")), "refers_to": _page(fields.get("warc-refers-to")),
@@ -192,15 +240,33 @@ def _checked(fields: dict[str, str], body: bytes, start: int, stop: int) -> dict
     }
 
 
-def _record(source: _Source, at: int) -> dict:
-    """The record at ``at``, zipped or plain; raises ``Damaged``."""
+def _in_member(data: bytes, start: int, stop: int) -> tuple[list[dict], str]:
+    """The valid records of a member's content, and the first check that failed between them, if any."""
+    found, at, why = [], 0, ""
+    while at < len(data):
+        try:
+            fields, head = _heads(data, at)
+            end = head + int(fields["content-length"])
+            if data[end : end + 4] != b"\r\n\r\n":
+                raise Damaged("record length differs")
+            found.append(_checked(fields, data[head:end], start, stop))
+            at = end + 4
+        except Damaged as e:
+            why = why or str(e)
+            at = data.find(b"WARC/1.", at + 1)
+            if at < 0:
+                break
+    return found, why
+
+
+def _records(source: _Source, at: int) -> tuple[list[dict], int, str]:
+    """The records at ``at``, zipped or plain, their end, and why others of a member are lost; raises ``Damaged``."""
     if source.view(at, at + 3) == _GZIP:
         data, stop = _member(source, at)
-        fields, head = _heads(data)
-        size = int(fields["content-length"])
-        if data[head + size :] != b"\r\n\r\n" or len(data) < head + size:
-            raise Damaged("record length differs")
-        return _checked(fields, data[head : head + size], at, stop)
+        found, why = _in_member(data, at, stop)
+        if not found:
+            raise Damaged(why or "empty member")
+        return found, stop, why
     head_bytes, want = source.view(at, at + 8192), 8192
     while b"\r\n\r\n" not in head_bytes and len(head_bytes) == want and head_bytes.startswith(b"WARC/1.") and want < 1 << 20:
         want *= 2
@@ -210,7 +276,8 @@ def _record(source: _Source, at: int) -> dict:
     data = source.view(at + head, at + head + size + 4)
     if len(data) < size + 4 or data[size:] != b"\r\n\r\n":
         raise Damaged("record length differs")
-    return _checked(fields, data[:size], at, at + head + size + 4)
+    stop = at + head + size + 4
+    return [_checked(fields, data[:size], at, stop)], stop, ""
 
 
 def _next_start(source: _Source, at: int) -> int | None:
@@ -229,13 +296,14 @@ def _next_start(source: _Source, at: int) -> int | None:
 def salvage(parts: Iterator[bytes]) -> Iterator[tuple[str, dict]]:
     """("record", fields) and ("gap", fields) of one archive, in order.
 
-    Every byte belongs to one of them. A start inside a damaged stretch counts only if the
+    Every byte belongs to one of them, but for a member of which some records are lost: it is
+    that of the others, and a gap. A start inside a damaged stretch counts only if the
     whole record there passes its checks.
     """
     source, at, bad, why = _Source(iter(parts)), 0, None, ""
     while source.view(at, at + 1):
         try:
-            record = _record(source, at)
+            records, stop, lost = _records(source, at)
         except Damaged as e:
             if bad is None:
                 bad, why = at, str(e)
@@ -248,8 +316,11 @@ def salvage(parts: Iterator[bytes]) -> Iterator[tuple[str, dict]]:
         if bad is not None:
             yield "gap", {"gap_start": bad, "gap_stop": at, "reason": why}
             bad = None
-        yield "record", record
-        at = record["stop"]
+        for record in records:
+            yield "record", record
+        if lost:
+            yield "gap", {"gap_start": at, "gap_stop": stop, "reason": lost}
+        at = stop
         source.forget(at)
     if bad is not None:
         yield "gap", {"gap_start": bad, "gap_stop": at, "reason": why}

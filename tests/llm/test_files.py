@@ -1,5 +1,6 @@
 """WARC, token files, sharding, mixing and chat: round trips and laws."""
 
+import base64
 import gzip
 import hashlib
 import zlib
@@ -49,6 +50,32 @@ def test_salvage(zipped):
     assert salvaged(b"") == ([], []) and salvaged(b"nothing here") == ([], [(0, 12)])
 
 
+def foreign(page, digest, block, kind="application/http; msgtype=response"):
+    heads = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{page}>\r\nContent-Type: {kind}\r\nWARC-Payload-Digest: {digest}\r\nContent-Length: {len(block)}\r\n\r\n"
+    return heads.encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("zipped", [True, False])
+def test_salvage_of_other_writers(zipped):
+    """Digests of HTTP bodies in base32 and hex are checked, others passed on; members hold several records."""
+    head, body = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n", b"3\r\nabc\r\n2\r\nde\r\n0\r\n\r\n"
+    sha1 = "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+    parts = [
+        foreign(0, sha1, head + body), foreign(1, "sha-1:" + hashlib.sha1(b"abcde").hexdigest(), head + body),
+        foreign(2, "blake3:abc", head + body), foreign(3, "sha1:" + hashlib.sha1(b"x").hexdigest(), b"x", "text/plain"),
+        foreign(4, "sha256:" + base64.b32encode(hashlib.sha256(body).digest()).decode(), head + body),
+    ]
+    bad = foreign(9, sha1, head + body.replace(b"abc", b"abX"))
+    pack = gzip.compress if zipped else bytes
+    assert salvaged(b"".join(map(pack, parts))) == ([0, 1, 2, 3, 4], [])
+    assert salvaged(pack(bad) + pack(parts[0])) == ([0], [(0, len(pack(bad)))])
+    if zipped:
+        member = gzip.compress(b"".join(parts))
+        assert salvaged(member + gzip.compress(parts[0])) == ([0, 1, 2, 3, 4, 0], [])
+        member = gzip.compress(parts[0] + bad + parts[1])
+        assert salvaged(member) == ([0, 1], [(0, len(member))])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3000), st.integers(0, 255)), max_size=4), st.booleans())
 def test_every_byte_is_a_record_or_a_gap(damage, zipped):
