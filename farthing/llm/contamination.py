@@ -2,9 +2,9 @@
 
 Training documents form shards of about ``SHARD_WORDS`` words inside their tasks. Each
 shard gets the suffix array of its words, sorted as deep as the longest test item
-needs, and every suffix of every test item is binary-searched in it: the range of
-its first ``WINDOW`` words gives all occurrences, and the neighbours of its place give the
-longest verbatim match. No row is shuffled.
+needs, and every suffix of a test item of ``WINDOW`` words or more (or a whole shorter item) is
+binary-searched in it: the range of its first ``WINDOW`` words gives all occurrences, and these, compared
+word by word, the longest verbatim match. A shorter match is not reported. No row is shuffled.
 
 Test items are written once to the shared folder in files of bounded size; a task
 holds one file at a time, whatever the size of the benchmark.
@@ -266,7 +266,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: words, hit words, items, verdict and the longest match of each item.
 
     ``contaminated``: a twentieth of the words or more are hit. ``matches`` locates the
-    longest verbatim match of each item: its first word in item and document, its length in words.
+    longest verbatim match of each item of ``item_ids``: its first word in item and document, its length in words.
+    Matches of fewer than ``WINDOW`` words, but for whole shorter items, are not reported.
     """
     path = write_tests(benchmark)
 
