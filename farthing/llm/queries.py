@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farthing.llm import chat, compression, contamination, minhash, mixing, passages, resharding, token_files, toxicity, warc
+from farthing.llm import chat, compression, contamination, merkle, minhash, mixing, passages, periods, resharding, secrets, token_files, toxicity, warc
+from farthing.llm import sql
 from farthing.llm.common import stored, table
 
 #: Folder of the public vocabularies; ``FARTHING_TOKENIZERS`` names another.
@@ -96,11 +97,51 @@ def op10_huffman_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(files, book).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.linked(table(spark, folder, "documents"))
+    counts = [secrets.count_of("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    spans = secrets.listed(F.concat("base", "linked"))
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves, proofs and roots; half of the rows are checked against a text without its line ends."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    told = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(told, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, folder, "documents"), fields, carry={"shown": merkle.leaf_digest(fields, text=text)})
+    out = found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("before"), F.col("after")).alias("proof_sha256"),
+                       merkle.folded(F.col("shown"), F.col("before"), F.col("after")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts, by the hash of their ids, go on from some word by repeating what follows it."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    cut = docs.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    cut = cut.withColumn("a", F.expr("if(n > 0, cast(g % n as int), 0)")).withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    tail = "slice(flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)"
+    planted = F.expr(f"array_join(concat(slice(words, 1, a), {tail}), ' ')")
+    return cut.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.repetitions(with_periodic_tails(table(spark, folder, "documents"))).withColumn("best", periods.longest(F.col("runs")))
+    told = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_decontamination, op3_warc_salvage, op4_chat_parts, op5_compression_bands, op6_toxicity,
         op7_flow_resharding, op8_circulant_minhash, op9_splitting_tree, op10_huffman_ids,
+        op11_secret_links, op12_merkle_manifest, op13_periodic_runs,
     )
 }
 
@@ -137,4 +178,6 @@ ORACLES = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
         FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
     """,
+    "op12_merkle_manifest": sql.MERKLE,
+    "op13_periodic_runs": sql.RUNS,
 }
