@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farthing.functions import rules, text
-from farthing.operators.spread import cheapest
+from farthing.operators.spread import block_join, cheapest
+from farthing.operators.substring import containing
 from farthing.rulebook import categories, packs
+from farthing.sources.scratch import stored
 
 KEY = ("brand", "caliber_normalized", "grain", "bullet_type")
 
@@ -79,7 +81,8 @@ def cascade_evict(
 ) -> dict[str, DataFrame]:
     """Take a retailer out: its listings, their history, its active flag.
 
-    ``report`` counts what goes and what of it remains (which must be zero).
+    ``evicted`` counts the rows that go. ``evict_remains`` counts what is left of the
+    retailer in the tables as they were written.
     """
     gone = listings.where(F.col("retailer_id") == retailer_id).select(F.col("id").alias("listing_id"))
     kept_listings = listings.where(~F.coalesce(F.col("retailer_id") == retailer_id, F.lit(False)))
@@ -87,16 +90,24 @@ def cascade_evict(
     parked = retailers.withColumn(
         "is_active", F.when(F.col("id") == retailer_id, F.lit(False)).otherwise(F.col("is_active"))
     )
-    tagged = lambda df, name: df.select(F.lit(name).alias("what"))
-    counted = (
-        tagged(gone, "listings_evicted")
-        .unionByName(tagged(history.join(gone, "listing_id", "left_semi"), "history_evicted"))
-        .unionByName(tagged(kept_listings.where(F.col("retailer_id") == retailer_id), "listings_remaining"))
-        .unionByName(tagged(kept_history.join(gone, "listing_id", "left_semi"), "history_remaining"))
-    )
-    names = ["listings_evicted", "history_evicted", "listings_remaining", "history_remaining"]
-    report = counted.agg(*[F.count_if(F.col("what") == n).alias(n) for n in names])
-    return {"retailers": parked, "listings": kept_listings, "history": kept_history, "report": report}
+    evicted = _counted({"listings_evicted": gone, "history_evicted": history.join(gone, "listing_id", "left_semi")})
+    return {"retailers": parked, "listings": kept_listings, "history": kept_history, "evicted": evicted}
+
+
+def evict_remains(before: DataFrame, listings: DataFrame, history: DataFrame, retailer_id: int) -> DataFrame:
+    """How many rows of the retailer two written tables still hold; ``before`` are the listings as they were."""
+    gone = before.where(F.col("retailer_id") == retailer_id).select(F.col("id").alias("listing_id"))
+    left = listings.where(F.col("retailer_id") == retailer_id)
+    return _counted({"listings_remaining": left, "history_remaining": history.join(gone, "listing_id", "left_semi")})
+
+
+def _counted(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row with the number of rows of each."""
+    tagged = [df.select(F.lit(name).alias("what")) for name, df in tables.items()]
+    every = tagged[0]
+    for more in tagged[1:]:
+        every = every.unionByName(more)
+    return every.agg(*[F.count_if(F.col("what") == n).alias(n) for n in tables])
 
 
 # -- rebates --------------------------------------------------------------------
@@ -122,9 +133,9 @@ def keyword_match_best(
     """Best amount per (rebate, listing) over the rebate's product lines.
 
     A line matches listings of the rebate's brand whose url contains its
-    keyword, subject to the rebate's class. The brand is the join key and the
-    substring test runs inside the join. Ties go to the first line
-    (``line_no``).
+    keyword, subject to the rebate's class. Lines of one keyword and class
+    are looked up once, through an index of trigrams. Ties go to the first
+    line (``line_no``).
     """
     classes = classes or categories.REBATE_CLASS_CATEGORIES
     offer = rebates.select(
@@ -136,28 +147,26 @@ def keyword_match_best(
     )
     lines = (
         eligible.join(offer, "rebate_id")
-        .select("rebate_id", "brand", "kind", "line_no", amount.alias("amount"), keyword.alias("keyword"))
-        .where(F.col("amount").isNotNull())
+        .select("rebate_id", F.col("brand").alias("manufacturer"), "kind", "line_no", amount.alias("amount"), keyword.alias("keyword"))
+        .where(F.col("amount").isNotNull() & F.col("keyword").isNotNull())
     )
+    # Of a rebate's lines with one keyword, the best is the same for every listing.
+    best = F.max_by(F.struct("amount", "line_no", "keyword"), F.struct(F.col("amount"), -F.col("line_no")))
+    offers = lines.groupBy("rebate_id", "manufacturer", "kind", F.lower("keyword").alias("_word")).agg(best.alias("_line"))
     chosen = listings.select(
         F.col("id").alias("listing_id"), F.col("manufacturer"), F.lower("product_url").alias("_url"),
         "caliber_normalized", "bullet_type",
     )
-    hit = (
-        (F.col("manufacturer") == F.col("brand"))
-        & F.contains(F.col("_url"), F.lower(F.col("keyword")))
-        & _class_gate(F.col("kind"), F.col("caliber_normalized"), F.col("bullet_type"), classes, prefixes, types)
-    )
+    gate = _class_gate(F.col("kind"), F.col("caliber_normalized"), F.col("bullet_type"), classes, prefixes, types)
+    met = containing(chosen, offers, ["manufacturer"], "_url", "_word", "listing_id").where(gate)
+    word = F.col("_best.keyword")
     reason = F.concat(
-        F.lit("url_contains:"), F.col("keyword"),
+        F.lit("url_contains:"), word,
         F.when(text.truthy(F.col("kind")).isNotNull(), F.concat(F.lit(";firearm_type:"), F.col("kind"))).otherwise(""),
     )
-    pairs = chosen.join(lines, hit).select("rebate_id", "listing_id", "amount", "line_no", reason.alias("reason"))
-    best = pairs.groupBy("rebate_id", "listing_id").agg(
-        F.max_by(F.struct("amount", "reason"), F.struct(F.col("amount"), -F.col("line_no"))).alias("_best")
-    )
-    return best.select("rebate_id", "listing_id", F.col("_best.amount").alias("amount"),
-                       F.col("_best.reason").alias("match_reason"))
+    top = F.max_by("_line", F.struct(F.col("_line.amount"), -F.col("_line.line_no")))
+    pairs = met.groupBy("rebate_id", "listing_id", "kind").agg(top.alias("_best"))
+    return pairs.select("rebate_id", "listing_id", F.col("_best.amount").alias("amount"), reason.alias("match_reason"))
 
 
 def amount_rollup(matches: DataFrame, by: str = "rebate_id") -> DataFrame:
@@ -185,21 +194,32 @@ def _expand(value: Column, aliases: dict[str, Sequence[str]]) -> Column:
     return own if chain is None else chain.otherwise(own)
 
 
-def _spec_keys(spec: DataFrame, brand_aliases: dict, type_aliases: dict) -> DataFrame:
-    """Specification keys with one row per listing spelling they reach."""
+def _usable_spec(spec: DataFrame) -> DataFrame:
+    """Specification rows with a whole key."""
     usable = spec.where(
         text.truthy(F.col("brand")).isNotNull()
         & text.truthy(F.col("caliber_normalized")).isNotNull()
         & F.col("grain").isNotNull()
         & text.truthy(F.col("bullet_type")).isNotNull()
     )
+    return usable.withColumn("_type", F.upper(F.trim("bullet_type")))
+
+
+def _spec_keys(spec: DataFrame, brand_aliases: dict, type_aliases: dict) -> DataFrame:
+    """Specification keys with one row per listing spelling they reach."""
     return (
-        usable.withColumn("_type", F.upper(F.trim("bullet_type")))
+        _usable_spec(spec)
         .withColumn("_l_brand", F.explode(_expand(F.col("brand"), brand_aliases)))
         .withColumn("_l_type", F.explode(_expand(F.col("_type"), type_aliases)))
     )
 
 
+def _one_value(value: str) -> Column:
+    """Whether the rows of a group carry one value; NULL is a value."""
+    known = F.count(value)
+    return (known == 0) | ((known == F.count(F.lit(1))) & (F.min(value) == F.max(value)))
+
+
 def _listing_keys(listings: DataFrame) -> DataFrame:
     return listings.select(
         F.col("id").alias("listing_id"),
@@ -211,13 +231,14 @@ def _listing_keys(listings: DataFrame) -> DataFrame:
     )
 
 
-def _reach() -> Column:
-    return (
-        (F.col("_m") == F.col("_l_brand"))
-        & (F.col("_c") == F.col("caliber_normalized"))
-        & (F.col("_g") == F.col("grain"))
-        & (F.col("_t") == F.col("_l_type"))
-    )
+#: Key columns of the listings' side.
+REACHED = ["_m", "_c", "_g", "_t"]
+
+
+def _reaching(keys: DataFrame) -> DataFrame:
+    """Specification keys under the names of the listings' key columns."""
+    names = dict(zip(["_l_brand", "caliber_normalized", "grain", "_l_type"], REACHED))
+    return keys.select("*", *[F.col(k).alias(n) for k, n in names.items()]).drop("_l_brand", "_l_type")
 
 
 def alias_join(
@@ -225,20 +246,18 @@ def alias_join(
 ) -> DataFrame:
     """Specification rows × listings with equal keys under the aliases.
 
-    Aliases are exploded on the specification side, so the join stays a plain
-    equality join of four columns.
+    Aliases are exploded on the specification side, so the join stays an
+    equality join of four columns; keys with very many rows on both sides
+    are joined block by block. Listing ids are taken to be unique.
     """
     keys = _spec_keys(
         spec,
         packs.LINE_BRAND_ALIASES if brand_aliases is None else brand_aliases,
         packs.LINE_TYPE_ALIASES if type_aliases is None else type_aliases,
     )
-    return (
-        _listing_keys(listings)
-        .join(keys.select(F.col("id").alias("spec_id"), *KEY, "_l_brand", "_l_type"), _reach())
-        .select("spec_id", "listing_id")
-        .dropDuplicates(["spec_id", "listing_id"])
-    )
+    reach = _reaching(keys).select(F.col("id").alias("spec_id"), *REACHED).distinct()
+    rows = _listing_keys(listings).select("listing_id", *REACHED)
+    return block_join(rows, reach, REACHED, "listing_id", "spec_id").select("spec_id", "listing_id")
 
 
 def _colliding(keys: DataFrame, value: str) -> DataFrame:
@@ -246,8 +265,7 @@ def _colliding(keys: DataFrame, value: str) -> DataFrame:
     group = ["brand", "caliber_normalized", "grain", "_type"]
     return (
         keys.groupBy(*group)
-        .agg(F.count_distinct(F.struct(value)).alias("_values"), F.min("id").alias("_key_ord"))
-        .withColumn("_collides", F.col("_values") >= 2)
+        .agg((~_one_value(value)).alias("_collides"), F.min("id").alias("_key_ord"))
     )
 
 
@@ -274,12 +292,12 @@ def _tokens(rows: DataFrame, value: str, stop: Sequence[str]) -> DataFrame:
     return (
         flat.groupBy(*group, F.col("_tok.token").alias("token"))
         .agg(
-            F.count_distinct(F.struct("_value")).alias("_values"),
+            _one_value("_value").alias("_one"),
             F.max("_tok.is_sku").alias("is_sku"),
             F.min(first).alias("_first"),
             F.min_by(F.struct(F.col("id").alias("spec_id"), "sku", "_value"), first).alias("_row"),
         )
-        .where(F.col("_values") == 1)
+        .where("_one")
         .select(
             *group, "token", "is_sku",
             F.struct(
@@ -311,19 +329,20 @@ def resolve_lines(
     type_aliases = packs.LINE_TYPE_ALIASES if type_aliases is None else type_aliases
     group = ["brand", "caliber_normalized", "grain", "_type"]
     keys = _spec_keys(spec, brand_aliases, type_aliases)
-    plain = keys.dropDuplicates(["id"])
+    plain = _usable_spec(spec)
     colliding = _colliding(plain, value).where("_collides")
     tokens = _tokens(plain.join(colliding.select(*group), group, "left_semi"), value, stop)
-    reach = keys.select(*group, "_l_brand", "_l_type").distinct().join(colliding.select(*group, "_key_ord"), group)
-    candidates = (
-        _listing_keys(listings).join(reach, _reach()).select("listing_id", "_blob", *group, "_key_ord")
-        .dropDuplicates(["listing_id", *group])
-    )
+    reach = _reaching(keys.select(*group, "_l_brand", "_l_type").distinct().join(colliding.select(*group, "_key_ord"), group))
+    # A listing has one spelling, so it meets a key once.
+    candidates = stored(_listing_keys(listings).join(reach, REACHED).select("listing_id", "_blob", *group, "_key_ord"), "candidates")
     usable = ~F.col("is_sku") | F.col("token").rlike("[a-z]") | (F.length("token") >= 5)
-    right = tokens.where(usable).select(*[F.col(g).alias(f"_k_{g}") for g in group], "token", "is_sku", "entry")
-    on = [F.col(g) == F.col(f"_k_{g}") for g in group] + [F.contains(F.col("_blob"), F.col("token"))]
-    found = candidates.join(right, on, "left")
-    per = found.groupBy("listing_id", *group, "_key_ord").agg(
+    met = containing(candidates, tokens.where(usable), group, "_blob", "token", "listing_id")
+    row = ["listing_id", *group, "_key_ord"]
+    none = tokens.schema["entry"].dataType
+    found = met.select(*row, "is_sku", "entry").unionByName(
+        candidates.select(*row, F.lit(None).cast("boolean").alias("is_sku"), F.lit(None).cast(none).alias("entry"))
+    )
+    per = found.groupBy(*row).agg(
         F.array_sort(F.collect_list(F.when(F.col("is_sku"), F.col("entry")))).alias("_sku"),
         F.array_sort(F.collect_list(F.when(~F.col("is_sku"), F.col("entry")))).alias("_word"),
     )
@@ -371,7 +390,7 @@ def specification_matches(
     brand_aliases = packs.LINE_BRAND_ALIASES if brand_aliases is None else brand_aliases
     type_aliases = packs.LINE_TYPE_ALIASES if type_aliases is None else type_aliases
     group = ["brand", "caliber_normalized", "grain", "_type"]
-    plain = _spec_keys(spec, {}, {})
+    plain = _usable_spec(spec)
     clear = plain.join(_colliding(plain, value).where(~F.col("_collides")).select(*group), group, "left_semi")
     reason = F.concat(
         F.lit("brand="), "brand", F.lit(" cal="), "caliber_normalized", F.lit(" gr="), F.col("grain").cast("string"),

@@ -126,8 +126,9 @@ def retention_invariants(
     )
 
 
-def delete_ids(plan: DataFrame) -> DataFrame:
-    return plan.where(F.col("action").isin("tier1", "tier2")).select("id", "action")
+def delete_ids(plan: DataFrame, *more: str) -> DataFrame:
+    """(id, action) of the rows that go, and further columns of the plan."""
+    return plan.where(F.col("action").isin("tier1", "tier2")).select("id", "action", *more)
 
 
 def plan_difference(planned: DataFrame, written: DataFrame) -> DataFrame:

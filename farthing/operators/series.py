@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farthing.functions import clock, prices
 from farthing.operators import pool as pools
-from farthing.operators.spread import carry_forward, cheapest, running_sum
+from farthing.operators.spread import HOT_ROWS, auto_slices, carry_forward, cheapest, running_sum
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -22,33 +22,32 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return cheapest(df, keys, spec, 1).drop("_rank")
 
 
+def _sliced(df: DataFrame, by: Sequence[str], order: Sequence[str], slice_of: Column | None, hot_rows: int) -> DataFrame:
+    return auto_slices(df, by, order[0], "_slice", hot_rows) if slice_of is None else df.withColumn("_slice", slice_of)
+
+
 def locf(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, slice_of: Column | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, slice_of: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Carry the last non-null value forward; rows before the first drop out.
 
-    ``slice_of`` cuts a key's rows into ordered slices (a coarser time, say)
-    so that one key with very many rows is scanned in parallel.
+    Keys above ``hot_rows`` rows are cut into slices along the first order
+    column and scanned in parallel; ``slice_of`` (a coarser time, say) gives
+    other slices.
     """
-    if slice_of is not None:
-        sliced = df.withColumn("_slice", slice_of)
-        filled = carry_forward(sliced, by, "_slice", order, F.col(value), "_filled", inclusive=True).drop("_slice")
-    else:
-        frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        filled = df.withColumn("_filled", F.last(value, ignorenulls=True).over(frame))
+    sliced = _sliced(df, by, order, slice_of, hot_rows)
+    filled = carry_forward(sliced, by, "_slice", order, F.col(value), "_filled", inclusive=True).drop("_slice")
     return filled.where(F.col("_filled").isNotNull()).withColumn(value, F.col("_filled")).drop("_filled")
 
 
 def islands(
     df: DataFrame, by: Sequence[str], order: Sequence[str], starts: Column, name: str = "island",
-    slice_of: Column | None = None,
+    slice_of: Column | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Number of island starts so far, per key (``slice_of`` as in ``locf``)."""
+    """Number of island starts so far, per key (slices as in ``locf``)."""
     step = F.when(starts, 1).otherwise(0)
-    if slice_of is not None:
-        return running_sum(df.withColumn("_slice", slice_of), by, "_slice", order, step, name).drop("_slice")
-    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(step).over(frame))
+    return running_sum(_sliced(df, by, order, slice_of, hot_rows), by, "_slice", order, step, name).drop("_slice")
 
 
 def right_closed_bins(df: DataFrame, ts: str, origin: str, step: int, name: str = "bin") -> DataFrame:

@@ -17,6 +17,8 @@ HOT_ROWS = 1_000_000
 #: Groups that are salted at most: any other has less than so small a share of the rows.
 HOT_GROUPS = 1000
 SPREAD = 64
+#: Pairs of rows that one task of a join of many with many makes, about.
+TASK_PAIRS = 4_000_000
 
 
 def attach_facts(
@@ -66,6 +68,53 @@ def join_facts(
     return (found.where("_known") if how == "inner" else found).drop("_known", "_rows")
 
 
+def pair_sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key on both sides, of the keys that both have."""
+    a = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_left"))
+    b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_right"))
+    return a.join(b, list(keys))
+
+
+def block_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_by: str, right_by: str,
+    sizes: DataFrame | None = None, pairs: int = TASK_PAIRS,
+) -> DataFrame:
+    """Inner join on ``keys`` where both sides may have very many rows of one key.
+
+    A key that makes more than ``pairs`` pairs is cut into blocks of that size: its left rows into bands, its right
+    rows into columns, and each row goes to all blocks of its band or column. The number of
+    bands follows the ratio of the two sides, so few rows are copied often and many rarely. The
+    ``HOT_GROUPS`` keys with the most pairs are cut: a fixed number, whatever the data. They are counted
+    first; without any, this is Spark's own join. ``left_by`` and ``right_by``
+    are columns to hash for the block; ``sizes`` (keys, _left, _right) saves the count.
+    """
+    keys = list(keys)
+    sizes = pair_sizes(left, right, keys) if sizes is None else sizes
+    made = F.col("_left") * F.col("_right")
+    found = sizes.where(made > pairs).orderBy(F.desc(made), *keys).limit(HOT_GROUPS).select(*keys, "_left", "_right")
+    large = found.collect()  # HOT_GROUPS rows at most
+    if not large:
+        return left.join(right, keys)
+    blocks = F.ceil(made / pairs)
+    bands = F.least(blocks, F.greatest(F.lit(1), F.round(F.sqrt(blocks * F.col("_left") / F.col("_right")))))
+    hot = (
+        left.sparkSession.createDataFrame(large, found.schema)
+        .select(*[F.col(k).alias(f"_h_{k}") for k in keys], blocks.alias("_blocks"), bands.cast("bigint").alias("_bands"))
+        .withColumn("_columns", F.ceil(F.col("_blocks") / F.col("_bands")).cast("bigint"))
+    )
+
+    def dealt(rows: DataFrame, by: str, own: str, other: str, at: str, along: str) -> DataFrame:
+        on = [F.col(k) == F.col(f"_h_{k}") for k in keys]
+        marked = rows.join(F.broadcast(hot), on, "left")
+        place = F.coalesce(F.pmod(F.xxhash64(by), F.col(own)), F.lit(0))
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other) - 1, F.lit(0).cast("bigint"))))
+        return marked.select(*[F.col(c) for c in rows.columns], place.alias(at), copies.alias(along))
+
+    a = dealt(left, left_by, "_bands", "_columns", "_band", "_column")
+    b = dealt(right, right_by, "_columns", "_bands", "_column", "_band")
+    return a.join(b, [*keys, "_band", "_column"]).drop("_band", "_column")
+
+
 def carry_forward(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,6 +149,47 @@ def carry_forward(
     return joined.select(*df.columns, F.coalesce("_near", "_carry").alias(name))
 
 
+def auto_slices(
+    df: DataFrame, keys: Sequence[str], order: str, name: str = "_slice", hot_rows: int = HOT_ROWS, slice_rows: int | None = None
+) -> DataFrame:
+    """``df`` with ordered slices of the rows of large keys, for ``carry_forward`` and ``running_sum``.
+
+    A key above ``hot_rows`` rows is cut at equal steps between the least and the greatest finite value of its first
+    order column, a number, date or time, into as many slices as it has ``slice_rows``; nulls, infinities and NaN
+    come where Spark sorts them. Counts and bounds are exact, so every evaluation cuts alike. The keys are counted
+    first; the ``HOT_GROUPS`` largest are cut, all others are one slice.
+    """
+    slice_rows = slice_rows or hot_rows
+    kind = dict(df.dtypes)[order]
+    if kind.startswith("timestamp"):
+        at = F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    elif kind == "date":
+        at = F.unix_date(order).cast("double")
+    elif kind == "string":
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    else:
+        at = F.col(order).cast("double")
+    finite = F.when(~F.isnan(at) & (F.abs(at) != float("inf")), at)
+    facts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(finite).alias("_least"), F.max(finite).alias("_most"))
+    found = facts.where((F.col("_rows") > hot_rows) & (F.col("_most") > F.col("_least"))).orderBy(F.desc("_rows"), *keys).limit(HOT_GROUPS)
+    large = found.collect()  # HOT_GROUPS rows at most
+    if not large:
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    hot = df.sparkSession.createDataFrame(large, found.schema)
+    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.ceil(F.col("_rows") / slice_rows).alias("_slices"), "_least", "_most")
+    flagged = df.join(F.broadcast(hot), [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys], "left")
+    step = F.least(F.floor((at - F.col("_least")) / (F.col("_most") - F.col("_least")) * F.col("_slices")), F.col("_slices") - 1)
+    place = (
+        F.when(F.col("_slices").isNull(), F.lit(0))
+        .when(at.isNull(), F.lit(-2))
+        .when(F.isnan(at), F.col("_slices") + 1)
+        .when(at == float("inf"), F.col("_slices"))
+        .when(at == float("-inf"), F.lit(-1))
+        .otherwise(step)
+    )
+    return flagged.select(*df.columns, place.cast("bigint").alias(name))
+
+
 def running_sum(
     df: DataFrame, keys: Sequence[str], slice_col: str, order: Sequence[str], amount: Column, name: str
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farthing.functions import prices, text
+from farthing.functions import clock, prices, text
 from farthing.operators import changes, enrich, matching, pages, pool, retention, segments
 from farthing.rulebook import categories, packs
 from farthing.sources import sinks
@@ -81,19 +81,51 @@ def recheck(listings: DataFrame, fetched: DataFrame, bounds: DataFrame, as_of: C
     return pages.reconcile_stock(listings, pages.recheck_decisions(fetched), as_of, bounds, excluded)
 
 
+def _sound(plan: DataFrame, max_deletes: int | None, max_share: float) -> None:
+    checks = retention.retention_invariants(plan, max_deletes, max_share).first().asDict()
+    broken = {k: v for k, v in checks.items() if k not in ("examined", "deletes", "keeps", "orphans") and v}
+    if broken:
+        raise ValueError(f"retention plan rejected: {broken}")
+
+
 def thin_history(
     history: DataFrame, listings: DataFrame, floors: DataFrame, as_of: str, path: str,
-    max_share: float = retention.MAX_DELETE_SHARE, max_deletes: int | None = None,
+    max_share: float = retention.MAX_DELETE_SHARE, max_deletes: int | None = None, again: DataFrame | None = None,
 ) -> DataFrame:
     """Plan, check, persist and apply a retention run.
 
     Raises when an invariant is violated or the share (or, if given, the number) of
-    deletes is out of band.
+    deletes is out of band. Before anything goes, a second plan is made from
+    ``again``, the history as it is read at that moment (``history`` if not given), and must
+    equal the persisted set.
     """
     plan = retention.retention_plan(history, listings, floors, as_of)
-    checks = retention.retention_invariants(plan, max_deletes, max_share).first().asDict()
-    broken = {k: v for k, v in checks.items() if k not in ("examined", "deletes", "keeps", "orphans") and v}
-    if broken:
-        raise ValueError(f"retention plan rejected: {broken}")
+    _sound(plan, max_deletes, max_share)
     sinks.write_delete_set(retention.delete_ids(plan), path)
-    return sinks.execute_delete_set(history, plan, path)
+    now = history if again is None else again
+    return sinks.execute_delete_set(now, retention.retention_plan(now, listings, floors, as_of), path)
+
+
+def thin_days(
+    stored: str, listings: DataFrame, floors: DataFrame, as_of: str, path: str, retention_days: int = 30, expiry_days: int = 90,
+    max_share: float = retention.MAX_DELETE_SHARE, max_deletes: int | None = None,
+) -> list[str]:
+    """``thin_history`` of a history stored by day (``sinks.append_observations``); returns the days rewritten.
+
+    Days after the cut-off are neither read nor written, and of the older ones only those with
+    deletes are replaced. The second plan is made from the files as they are then.
+    """
+    spark = listings.sparkSession
+    cutoff = clock.from_micros(F.lit(clock.literal_micros(as_of) - retention_days * clock.DAY)).cast("date")
+
+    def plan() -> DataFrame:
+        old = spark.read.parquet(stored).where(F.col("day") < cutoff)
+        return retention.retention_plan(old, listings, floors, as_of, retention_days, expiry_days)
+
+    first = plan()
+    _sound(first, max_deletes, max_share)
+    sinks.write_delete_set(retention.delete_ids(first, "day"), path)
+    saved = spark.read.parquet(path)
+    if not retention.plan_difference(retention.delete_ids(plan()), saved).isEmpty():
+        raise ValueError(f"the plan no longer matches the delete set at {path}")
+    return sinks.delete_from_days(saved.select("id", F.date_from_unix_date(F.col("day").cast("int")).alias("day")), stored)

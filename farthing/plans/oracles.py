@@ -119,6 +119,23 @@ SELECT l.id, CASE WHEN l.id % 3 <> 1 THEN retailer_id END AS retailer_id,
        CASE WHEN l.id % 3 <> 1 THEN in_stock END AS in_stock,
        CASE WHEN l.id % 3 = 1 AND l.id % 2 = 1 THEN NULL ELSE last_updated END AS last_updated
   FROM v_listings l WHERE l.id % 3 <> 1 OR l.id % 5 = 0""")
+check("upsert_buckets", """
+SELECT l.id, CASE WHEN l.id % 3 <> 1 THEN retailer_id END AS retailer_id,
+       CASE WHEN l.id % 5 = 0 THEN base_price * 2 ELSE base_price END AS base_price,
+       CASE WHEN l.id % 3 <> 1 THEN in_stock END AS in_stock,
+       CASE WHEN l.id % 3 = 1 AND l.id % 2 = 1 THEN NULL ELSE last_updated END AS last_updated
+  FROM v_listings l WHERE l.id % 3 <> 1 OR l.id % 5 = 0""")
+check("read_bounds", """SELECT category, lo, hi, count(*) FILTER (WHERE price_per_round >= lo AND price_per_round <= hi) AS inside, count(*) AS n
+  FROM v_listings l JOIN (SELECT caliber_normalized AS category, round(min(price_per_round) * 1.5, 4) AS lo, round(max(price_per_round) * 0.8, 4) AS hi FROM v_listings GROUP BY 1) b
+    ON b.category = l.caliber_normalized GROUP BY 1, 2, 3""")
+check("read_telemetry", """SELECT 'r' || user_id % 7 AS retailer, event_type AS verdict, count(*) AS n, CAST(sum(user_id % 11) AS BIGINT) AS products, CAST(max(event_id % 3 * 100 + 200) AS INT) AS status
+    FROM events WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 GROUP BY 1, 2
+  UNION ALL SELECT 'unreadable', NULL, count(*), NULL, NULL FROM events WHERE event_id % 17 = 0""")
+check("append_observations", """SELECT CAST(CAST(recorded_at AS DATE) AS VARCHAR) AS day, count(*) AS n, min(id) AS first_id, count(*) FILTER (WHERE in_stock) AS stocked FROM v_obs GROUP BY 1""")
+check("append_jsonl", "SELECT listing_id, count(*) AS n, max(price) AS highest FROM v_obs GROUP BY 1")
+check("refresh_materialized", f"""SELECT v AS version, caliber_normalized, count(*) AS n, min(price_per_round) AS lowest, TIMESTAMP '{q.AS_OF}' AS refreshed_at
+  FROM v_listings, (SELECT CAST(unnest([1, 2]) AS INT) AS v) WHERE v = 2 OR in_stock GROUP BY 1, 2""")
+
 check("replace_children", """
 SELECT rebate_id, product_line, amount_override FROM v_eligible WHERE rebate_id % 4 <> 0
 UNION ALL SELECT rebate_id, upper(product_line), 1.0 FROM v_eligible WHERE rebate_id % 8 = 0""")
@@ -270,6 +287,9 @@ MATCHED = """lines AS (SELECT e.rebate_id, e.line_no, r.brand, r.firearm_type AS
       OR (kind = 'big' AND l.caliber_normalized IN ('LARGE', 'MEDIUM', 'STANDARD')))),
   best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rebate_id, listing_id ORDER BY amount DESC, line_no) AS rn FROM pairs) WHERE rn = 1)"""
 check("keyword_match_best", "SELECT rebate_id, listing_id, amount, match_reason FROM best", MATCHED)
+check("substring_index", """SELECT caliber_normalized, word, count(*) AS n, min(id) AS first_id FROM v_listings JOIN (
+    SELECT DISTINCT p_type AS cat, unnest([split_part(p_name, ' ', 1), replace(p_name, ' ', '-'), '-' || p_partkey]) AS word FROM part) w
+  ON w.cat = caliber_normalized AND contains(product_url, word) GROUP BY 1, 2""")
 check("rebate_amounts", "SELECT rebate_id, max(amount) AS amount_max, count(*) AS match_count FROM best GROUP BY 1", MATCHED)
 REACH = """(l.manufacturer = s.brand OR (s.brand = 'Brand#4' AND l.manufacturer = 'Brand#5')) AND l.caliber_normalized = s.caliber_normalized
    AND l.grain = s.grain AND (upper(l.bullet_type) = s.bullet_type OR (s.bullet_type = 'RED' AND upper(l.bullet_type) = 'BLUE'))"""
@@ -331,10 +351,18 @@ MEAN = "list_reduce(list_prepend(0.0, ls[1:{n}]), lambda a, b: a + b) / len(ls[1
 check("segment_floor", f"""SELECT cal AS caliber_normalized, bt AS bullet_type, cm AS case_material,
    CASE WHEN n >= 6 THEN {MEAN.format(n=4)} ELSE {MEAN.format(n=3)} END AS segment_floor, CAST(n AS INT) AS listing_count FROM segs WHERE n >= 2""",
       OBSERVED + ", " + LOWS)
+check("sql_segment_floors", f"""SELECT cal AS caliber_normalized, bt AS bullet_type, cm AS case_material,
+   CASE WHEN n >= 6 THEN {MEAN.format(n=4)} ELSE {MEAN.format(n=3)} END AS segment_floor, CAST(n AS INT) AS listing_count FROM segs WHERE n >= 2""",
+      OBSERVED + ", " + LOWS)
 check("segment_trimmed_mean", """SELECT s.cal AS caliber_normalized, s.bt AS bullet_type, s.cm AS case_material, m.median,
    round(avg(ppr) FILTER (WHERE ppr BETWEEN m.median / 2 AND m.median * 2), 4) AS segment_avg, count(*) AS row_count
   FROM seen s JOIN (SELECT cal, bt, cm, quantile_cont(ppr, 0.5) AS median FROM seen GROUP BY 1, 2, 3) m ON m.cal = s.cal AND m.bt = s.bt AND m.cm = s.cm
  GROUP BY 1, 2, 3, 4""", OBSERVED)
+check("upper_median_signed", """SELECT c_nationkey, count(*) AS n, (list(c_acctbal ORDER BY c_acctbal))[count(*) // 2 + 1] AS median FROM customer WHERE c_acctbal IS NOT NULL GROUP BY 1""")
+check("interpolated_median_signed", """SELECT s_nationkey, n, v[(n - 1) // 2 + 1] + (v[n // 2 + 1] - v[(n - 1) // 2 + 1]) * CASE WHEN n % 2 = 0 THEN 0.5 ELSE 0.0 END AS median
+  FROM (SELECT s_nationkey, count(*) AS n, list(s_acctbal - 4500 ORDER BY s_acctbal) AS v FROM supplier WHERE s_acctbal IS NOT NULL GROUP BY 1)""")
+check("ranked_signed", """SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal NULLS FIRST, c_custkey) AS rn,
+  count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer""")
 check("upper_median", """SELECT retailer_id, count(*) AS n, (list(price_per_round ORDER BY price_per_round))[count(*) // 2 + 1] AS median FROM v_history GROUP BY 1""")
 check("outlier_caps", "SELECT cal AS caliber_normalized, cap FROM caps", capped(5.0))
 check("capped_catalog", "SELECT id, caliber_normalized, price_per_round FROM stage1", CAPPED)
@@ -437,6 +465,11 @@ def daily(split: str, where: str = "TRUE", until: str = "TRUE") -> str:
 check("daily_floor", "SELECT * FROM daily", daily("''"))
 check("daily_floor_by_retailer", "SELECT * FROM daily", daily("CAST(retailer_id AS VARCHAR)", until="o.recorded_at <= TIMESTAMP '2024-01-25'"))
 check("daily_floor_by_condition", "SELECT * FROM daily", daily("coalesce(nullif(condition_type, ''), 'Unknown')", f"NOT {HIT}"))
+check("sql_daily_floors", f"""SELECT 'none' AS split, * FROM (WITH {daily("''")} SELECT * FROM daily)
+  UNION ALL SELECT 'retailer', * FROM (WITH {daily("CAST(retailer_id AS VARCHAR)", until="o.recorded_at <= TIMESTAMP '2024-01-25'")} SELECT * FROM daily)
+  UNION ALL SELECT 'condition', * FROM (WITH {daily("coalesce(nullif(condition_type, ''), 'Unknown')", f"NOT {HIT}")} SELECT * FROM daily)""")
+check("sql_bucket_floors", "SELECT * FROM series", bucket_series(
+    "2024-01-29 13:00:00", 12, "AND condition_type = 'New' AND caliber_normalized = 'PROMO' AND id NOT IN (1, 5, 6, 9)", 1, 0.03))
 
 
 def retention(known: str, keep_days: int, expiry_days: int) -> str:
@@ -459,6 +492,8 @@ check("retention_invariants", """SELECT count(*) AS examined, count(*) FILTER (W
    CAST(0 AS BIGINT) AS marker_keep_count, CAST(0 AS BIGINT) AS group_min_lost, CAST(0 AS BIGINT) AS unaccounted,
    CAST(count(*) FILTER (WHERE action IN ('tier1', 'tier2')) / count(*) > 0.35 AS INT) AS over_band FROM plan""",
       retention("id % 9 <> 0", 5, 12))
+check("thin_days", "SELECT listing_id, count(*) AS n FROM v_obs WHERE id NOT IN (SELECT id FROM plan WHERE action IN ('tier1', 'tier2')) GROUP BY 1", retention("TRUE", 10, 20))
+check("write_delete_set", "SELECT action, count(*) AS rows FROM plan WHERE action IN ('tier1', 'tier2') GROUP BY 1", retention("TRUE", 10, 20))
 check("delete_set", "SELECT listing_id, count(*) AS n FROM v_obs WHERE id NOT IN (SELECT id FROM plan WHERE action IN ('tier1', 'tier2')) GROUP BY 1", retention("TRUE", 10, 20))
 check("run_over_run", """SELECT p.retailer_id, p.n AS previous_count, coalesce(c.n, 0) AS current_count, CASE WHEN coalesce(c.n, 0) = 0 THEN 'CRITICAL' ELSE 'WARN' END AS severity
   FROM (SELECT l.retailer_id, count(DISTINCT listing_id) AS n FROM v_obs o JOIN v_listings l ON l.id = o.listing_id WHERE recorded_at >= TIMESTAMP '2024-01-05' AND recorded_at < TIMESTAMP '2024-01-06' GROUP BY 1) p
@@ -756,6 +791,7 @@ def folded(source: str, seed: str = "") -> str:
 
 
 check("store_on_change", "SELECT f.id, f.listing_id, o.price, o.in_stock FROM fold f JOIN obs o ON o.id = f.id WHERE f.wrote", folded("SELECT * FROM v_steps"))
+check("store_on_change_stream", "SELECT f.id, f.listing_id, o.price, o.in_stock FROM fold f JOIN obs o ON o.id = f.id WHERE f.wrote", folded("SELECT * FROM v_steps"))
 check("store_on_change_baseline", """SELECT id, listing_id FROM fold WHERE wrote AND id IN (SELECT id FROM v_steps WHERE recorded_at >= TIMESTAMP '2024-01-10 12:00:00')""", folded(
     """SELECT * FROM v_steps WHERE recorded_at >= TIMESTAMP '2024-01-10 12:00:00' UNION ALL
      SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY recorded_at DESC, id DESC) AS rn FROM v_steps

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farthing.functions import clock, markup, predicates, prices, rules, text
-from farthing.operators import audit, changes, enrich, matching, pages, pool, retention, segments, series, stats
-from farthing.plans import flows, sql_surface
+from farthing.operators import audit, changes, enrich, matching, pages, pool, retention, segments, series, spread, stats, substring
+from farthing.plans import flows, sql_series, sql_surface
 from farthing.plans.fixtures import table, view
 from farthing.rulebook import brands, categories, packs
-from farthing.sources import sinks, tables
+from farthing.sources import scratch, sinks, tables
+from farthing.streaming import store_on_change as stream
 
 AS_OF = "2024-01-31 00:00:00"
 # A retention run in the middle of a day: the checks count whole days only.
@@ -94,6 +95,94 @@ def upsert_merge(spark, d):
     return sinks.upsert(target, updates.unionByName(older).unionByName(nameless), ["id"], sparse=["last_updated"], order=["seq"])
 
 
+@query
+def upsert_buckets(spark, d):
+    """The same updates as a table in buckets takes them, read back from storage."""
+    listings = view(spark, d, "v_listings").select("id", "retailer_id", "base_price", "in_stock", "last_updated")
+    path = scratch.new_folder(spark, "buckets")
+    sinks.create_buckets(listings.where(F.col("id") % 3 != 1), path, ["id"], 32)
+    seen = F.when(F.col("id") % 2 == 0, F.col("last_updated"))
+    updates = listings.where(F.col("id") % 5 == 0).select("id", (F.col("base_price") * 2).alias("base_price"), seen.alias("last_updated"), F.lit(2).alias("seq"))
+    older = updates.where(F.col("id") % 3 == 0).withColumns({"base_price": F.lit(0.5), "seq": F.lit(1)})
+    sinks.upsert_buckets(updates.unionByName(older), path, ["id"], 32, ["seq"], sparse=["last_updated"])
+    return spark.read.parquet(path).drop("bucket")
+
+
+@query
+def read_bounds(spark, d):
+    """Bounds per category as a registry document, read back and met with the listings."""
+    path = scratch.new_folder(spark, "bounds")
+    found = view(spark, d, "v_listings").groupBy("caliber_normalized").agg(
+        F.round(F.min("price_per_round") * 1.5, 4).alias("lo"), F.round(F.max("price_per_round") * 0.8, 4).alias("hi"))
+    entry = F.struct(F.col("caliber_normalized").alias("slug"), F.struct("lo", "hi").alias("bounds"))
+    found.agg(F.to_json(F.struct(F.collect_list(entry).alias("calibers"))).alias("value")).coalesce(1).write.text(path)
+    inside = F.col("price_per_round").between(F.col("lo"), F.col("hi"))
+    met = view(spark, d, "v_listings").join(tables.read_bounds(spark, path), F.col("caliber_normalized") == F.col("category"))
+    return met.groupBy("category", "lo", "hi").agg(F.count_if(inside).alias("inside"), F.count(F.lit(1)).alias("n"))
+
+
+@query
+def read_telemetry(spark, d):
+    """Run records of every event as JSON lines, every 17th of them cut short, read back and counted."""
+    path = scratch.new_folder(spark, "telemetry")
+    record = F.to_json(F.struct(
+        F.col("ts").cast("string").alias("timestamp"), F.concat(F.lit("r"), F.col("user_id") % 7).alias("retailer"), F.col("event_type").alias("verdict"),
+        (F.col("event_id") % 3 * 100 + 200).cast("int").alias("status"), (F.col("user_id") % 11).alias("n_products")))
+    line = F.when(F.col("event_id") % 17 == 0, F.substring(record, 1, 20)).when(F.col("event_id") % 19 == 0, F.lit(" ")).otherwise(record)
+    table(spark, d, "events").select(line.alias("value")).write.text(path)
+    good, bad = tables.read_telemetry(spark, path)
+    told = good.groupBy("retailer", "verdict").agg(F.count(F.lit(1)).alias("n"), F.sum("n_products").alias("products"), F.max("status").alias("status"))
+    lost = bad.agg(F.lit("unreadable").alias("retailer"), F.sum("bad_lines").alias("n"))
+    return told.unionByName(lost, allowMissingColumns=True)
+
+
+@query
+def append_observations(spark, d):
+    """Two appends to a history stored by day, read back by day."""
+    path, obs = scratch.new_folder(spark, "history"), view(spark, d, "v_obs")
+    for part in (0, 1):
+        sinks.append_observations(obs.where(F.col("id") % 2 == part), path)
+    back = spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day"))
+    return back.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.count_if("in_stock").alias("stocked"))
+
+
+@query
+def append_jsonl(spark, d):
+    path, obs = scratch.new_folder(spark, "lines"), view(spark, d, "v_obs").select("id", "listing_id", "price", "in_stock")
+    for part in (0, 1):
+        sinks.append_jsonl(obs.where(F.col("id") % 2 == part), path)
+    return spark.read.schema(obs.schema).json(path).groupBy("listing_id").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("highest"))
+
+
+@query
+def refresh_materialized(spark, d):
+    """Two refreshes of a cached table: both versions, as readers see them."""
+    target = scratch.new_folder(spark, "cache")
+    listings = view(spark, d, "v_listings")
+    for n, part in enumerate((listings.where("in_stock"), listings)):
+        counted = part.groupBy("caliber_normalized").agg(F.count(F.lit(1)).alias("n"), F.min("price_per_round").alias("lowest"))
+        sinks.refresh_materialized(counted, target, clock.instant(AS_OF), first=n == 0)
+    both = [sinks.read_materialized(spark, target, v).withColumn("version", F.lit(v or 2)) for v in (1, None)]
+    return both[0].unionByName(both[1])
+
+
+@query
+def thin_days(spark, d):
+    """A history stored by day, thinned in place."""
+    path, plan = scratch.new_folder(spark, "history"), scratch.new_folder(spark, "deletes")
+    sinks.append_observations(view(spark, d, "v_obs"), path)
+    flows.thin_days(path, view(spark, d, "v_listings"), floors(spark, OBS_FLOORS), RETENTION_AS_OF, plan, 10, 20, max_share=1.0)
+    return spark.read.parquet(path).groupBy("listing_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def write_delete_set(spark, d):
+    plan = retention.retention_plan(
+        view(spark, d, "v_obs"), view(spark, d, "v_listings"), floors(spark, OBS_FLOORS), RETENTION_AS_OF, 10, 20
+    )
+    return sinks.write_delete_set(retention.delete_ids(plan), scratch.new_folder(spark, "deletes"))
+
+
 @query
 def replace_children(spark, d):
     old = view(spark, d, "v_eligible").select("rebate_id", "product_line", "amount_override")
@@ -364,6 +453,18 @@ def keyword_match_best(spark, d):
     )
 
 
+@query
+def substring_index(spark, d):
+    """Urls of a category's listings with the names and numbers of all its parts that they contain, by trigrams."""
+    listings = view(spark, d, "v_listings").select("id", "caliber_normalized", "product_url")
+    part = table(spark, d, "part")
+    words = part.select(F.col("p_type").alias("caliber_normalized"), F.explode(F.array(
+        F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)), F.replace("p_name", F.lit(" "), F.lit("-")),
+        F.concat(F.lit("-"), F.col("p_partkey").cast("string")))).alias("word")).distinct()
+    met = substring.containing(listings, words, ["caliber_normalized"], "product_url", "word", "id", few=8)
+    return met.groupBy("caliber_normalized", "word").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+
+
 @query
 def rebate_amounts(spark, d):
     classes = {"small": ["SMALL", "ECONOMY", "PROMO"], "big": ["LARGE", "MEDIUM", "STANDARD"]}
@@ -436,8 +537,13 @@ def dimension_label(spark, d):
 
 @query
 def cascade_evict(spark, d):
-    out = matching.cascade_evict(view(spark, d, "v_retailers"), view(spark, d, "v_listings"), view(spark, d, "v_obs"), 4)
-    return out["report"]
+    """What goes, and what the written tables still hold."""
+    before = view(spark, d, "v_listings")
+    out = matching.cascade_evict(view(spark, d, "v_retailers"), before, view(spark, d, "v_obs"), 4)
+    left = {n: scratch.stored(out[n], n) for n in ("listings", "history")}
+    remains = matching.evict_remains(before, left["listings"], left["history"], 4)
+    report = out["evicted"].unionByName(remains, allowMissingColumns=True)
+    return report.agg(*[F.max(n).alias(n) for n in report.columns])
 
 
 @query
@@ -471,6 +577,34 @@ def sql_cheapest(spark, d):
         named_struct('category', 'LARGE', 'low', 8.0D, 'high', 9.0D)), 'bolt')""")
 
 
+@query
+def sql_segment_floors(spark, d):
+    sql_series.register_series(spark, view(spark, d, "v_history"), view(spark, d, "v_listings"), floors(spark))
+    return spark.sql(f"""SELECT * FROM segment_floors(TIMESTAMP_NTZ '{SEGMENT_SINCE}', p_min_listings => 2, p_full_n => 4, p_full_threshold => 6,
+        p_default_floor => 50.0D)""")
+
+
+@query
+def sql_daily_floors(spark, d):
+    """All splits, each with the filters of the DataFrame form's query."""
+    sql_series.register_series(spark, view(spark, d, "v_obs"), view(spark, d, "v_listings"), floors(spark), mult=3.0)
+    atoms = "array(" + ", ".join(f"named_struct('op', '{op}', 'v', {v}D)" for op, v in ATOMS) + ")"
+    span = "'PROMO', TIMESTAMP_NTZ '2024-01-05 06:00:00', TIMESTAMP_NTZ '2024-01-29 05:00:00', 1.0D, 60.0D"
+    return spark.sql(f"""
+        SELECT 'none' AS split, series_key, CAST(day AS STRING) AS day, value, pool_size FROM daily_floors({span}, p_price_mult => 1.08D)
+        UNION ALL SELECT 'retailer', series_key, CAST(day AS STRING), value, pool_size
+          FROM daily_floors({span}, TIMESTAMP_NTZ '2024-01-25 00:00:00', p_price_mult => 1.08D, p_split => 'retailer')
+        UNION ALL SELECT 'condition', series_key, CAST(day AS STRING), value, pool_size
+          FROM daily_floors({span}, p_atoms => {atoms}, p_negate => true, p_price_mult => 1.08D, p_split => 'condition')""")
+
+
+@query
+def sql_bucket_floors(spark, d):
+    sql_series.register_series(spark, view(spark, d, "v_obs"), view(spark, d, "v_listings"), floors(spark))
+    return spark.sql("""SELECT 'PROMO' AS caliber_normalized, * FROM bucket_floors('PROMO', TIMESTAMP_NTZ '2024-01-29 13:45:10', p_bucket_hours => 12,
+        p_fresh_hours => 12, p_min_alive_fraction => 0.03D, p_price_floor => 2.0D, p_min_pool => 1, p_exclude_ids => array(1L, 5L, 6L, 9L))""")
+
+
 # -- aggregates -----------------------------------------------------------------------------
 
 @query
@@ -489,6 +623,25 @@ def segment_trimmed_mean(spark, d):
     return out.withColumn("segment_avg", F.round("segment_avg", 4))
 
 
+@query
+def upper_median_signed(spark, d):
+    """Balances of both signs and zero."""
+    return stats.upper_median(table(spark, d, "customer"), ["c_nationkey"], "c_acctbal")
+
+
+@query
+def interpolated_median_signed(spark, d):
+    balances = table(spark, d, "supplier").withColumn("s_acctbal", F.col("s_acctbal") - 4500)
+    return stats.interpolated_median(balances, ["s_nationkey"], "s_acctbal")
+
+
+@query
+def ranked_signed(spark, d):
+    return stats.ranked_with_count(table(spark, d, "customer"), ["c_mktsegment"], "c_acctbal", "c_custkey").select(
+        "c_mktsegment", "c_custkey", F.col("rn").cast("bigint").alias("rn"), "n"
+    )
+
+
 @query
 def upper_median(spark, d):
     return stats.upper_median(view(spark, d, "v_history"), ["retailer_id"], "price_per_round")
@@ -1193,19 +1346,21 @@ def reconcile_stock(spark, d):
 
 @query
 def page_verdict(spark, d):
-    cards = view(spark, d, "v_titles").groupBy("retailer_id", "page_category").agg(
-        F.sort_array(F.collect_set("title")).alias("card_titles"))
-    checked = cards.select(
-        "retailer_id", F.col("page_category").alias("category"),
+    """One page per retailer and category, one row per card."""
+    key = ["retailer_id", "category"]
+    listed = view(spark, d, "v_titles").select("retailer_id", F.col("page_category").alias("category"), F.col("title").alias("card_title"))
+    titles = listed.distinct()
+    longer = F.when(F.col("retailer_id") == 3, F.concat("category", F.lit(" x "), "card_title")).otherwise(F.col("card_title"))
+    cards = titles.where(~F.col("retailer_id").isin(4, 5)).withColumn("card_title", longer).unionByName(
+        spread.cheapest(titles.where(F.col("retailer_id") == 5), key, ["card_title"], 2).drop("_rank"))
+    checked = listed.select(*key).distinct().select(
+        *key,
         F.when(F.col("retailer_id") == 9, "parent").otherwise("caliber").alias("kind"),
         F.when(F.col("retailer_id") == 8, 404).otherwise(200).alias("status"),
-        F.concat(F.lit("https://a.example.com/"), "page_category").alias("requested_url"),
-        F.concat(F.lit("https://www.a.example.com/"), "page_category", F.when(F.col("retailer_id") == 7, "x").otherwise("/")).alias("landed_url"),
-        F.when(F.col("retailer_id") == 6, F.lit("9mm Luger deals")).otherwise(F.concat("page_category", F.lit(" deals"))).alias("title"),
-        F.when(F.col("retailer_id") == 5, F.slice("card_titles", 1, 2)).when(F.col("retailer_id") == 4, F.slice("card_titles", 1, 0))
-        .when(F.col("retailer_id") == 3, F.transform("card_titles", lambda t: F.concat(F.col("page_category"), F.lit(" x "), t)))
-        .otherwise(F.col("card_titles")).alias("card_titles"))
-    return pages.page_verdicts(checked).select(
+        F.concat(F.lit("https://a.example.com/"), "category").alias("requested_url"),
+        F.concat(F.lit("https://www.a.example.com/"), "category", F.when(F.col("retailer_id") == 7, "x").otherwise("/")).alias("landed_url"),
+        F.when(F.col("retailer_id") == 6, F.lit("9mm Luger deals")).otherwise(F.concat("category", F.lit(" deals"))).alias("title"))
+    return pages.card_verdicts(checked, cards, key).select(
         "retailer_id", "category", "verdict", "redirect", "title_match", "gate_pass_pct", "n_products")
 
 
@@ -1275,8 +1430,7 @@ def _rebate_pages(spark, d):
         F.lit('</p><p class="minimum-copy">Minimum ('), F.col("rebate_id").cast("string"),
         F.lit(') boxes. Maximum rebate $75.00</p><p class="font-italic">Valid for purchases made 3/1/2026 through 5/'),
         (F.col("rebate_id") % 28 + 1).cast("string"), F.lit("/2026. DEADLINE: 6/30/2026</p>"))
-    return grouped.groupBy((F.col("rebate_id") % 3).alias("page_id")).agg(
-        F.array_join(F.sort_array(F.collect_list(html)), "").alias("html")).withColumn("url", F.lit("https://r.example.com"))
+    return grouped.select(F.col("rebate_id").alias("page_id"), html.alias("html"), F.lit("https://r.example.com").alias("url"))
 
 
 @query
@@ -1340,6 +1494,28 @@ def store_on_change(spark, d):
     return changes.store_on_change(view(spark, d, "v_steps")).select("id", "listing_id", "price", "in_stock")
 
 
+@query
+def store_on_change_stream(spark, d):
+    """The same rows as a stream of files: up to three days late, in any order, each file five days of arrivals."""
+    steps = view(spark, d, "v_steps")
+    arrival = clock.micros(F.col("recorded_at")) + F.pmod(F.xxhash64("id"), F.lit(3 * clock.DAY))
+    dealt = scratch.stored(steps.withColumn("_wave", F.floor(arrival / F.lit(5 * clock.DAY)).cast("bigint")), "waves")
+    waves = [r[0] for r in dealt.select("_wave").distinct().orderBy("_wave").collect()]
+    source, out, marks = (scratch.new_folder(spark, n) for n in ("arrivals", "changes", "progress"))
+    for wave in waves:
+        dealt.where(F.col("_wave") == wave).drop("_wave").repartition(2).write.mode("append").parquet(source)
+    # A last row far ahead lets the watermark pass all others.
+    end = dealt.agg((F.max("recorded_at") + F.expr("INTERVAL 30 DAYS")).alias("recorded_at")).select(
+        F.lit(-1).cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("listing_id"), F.lit(0.0).alias("price"),
+        F.lit(0.0).alias("price_per_round"), F.lit(False).alias("in_stock"), "recorded_at")
+    end.select(*[F.col(c).cast(dict(steps.dtypes)[c]) for c in steps.columns]).coalesce(1).write.mode("append").parquet(source)
+    rows_in = spark.readStream.schema(steps.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    changed = stream.store_on_change_stream(rows_in, "8 days", wait=True)  # a wave may be cut between batches
+    run = changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.parquet(out).where("listing_id >= 0").select("id", "listing_id", "price", "in_stock")
+
+
 @query
 def store_on_change_baseline(spark, d):
     every = view(spark, d, "v_steps").where(F.col("recorded_at") >= clock.instant("2024-01-10 00:00:00"))

@@ -14,7 +14,8 @@ FOLDER = "/root/testdata/sf0.001"
 # One query per operator family keeps the suite short; the rest run in the correctness check.
 SAMPLED = ["segment_floor", "segment_trimmed_mean", "daily_floor_by_retailer", "bucket_floor_locf", "asof_latest",
            "store_on_change_baseline", "retention_invariants", "collision_resolution", "keyword_match_best", "page_verdict",
-           "variant_each", "delete_set", "upsert_merge", "sql_pool", "reconcile_stock", "pack_count", "type_url_fallback", "free_shipping", "coverage_gap", "variant_pick"]
+           "variant_each", "delete_set", "upsert_merge", "sql_pool", "reconcile_stock", "pack_count", "type_url_fallback", "free_shipping", "coverage_gap", "variant_pick",
+           "upper_median_signed", "substring_index", "upsert_buckets", "refresh_materialized", "read_telemetry", "thin_days", "sql_bucket_floors", "store_on_change_stream"]
 
 
 def plain(value):
