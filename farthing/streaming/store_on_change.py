@@ -80,9 +80,9 @@ def _advance(wait: bool):
             price, unit, stock = last or (None, None, False)
             state.update((seen, price, unit, stock, last is None, *(list(c) for c in zip(*held)))
                          if held else (seen, price, unit, stock, last is None, *([] for _ in FIELDS)))
-            if mark > 0:
-                due = held[0][4] // 1000 + 1 if held else end
-                state.setTimeoutTimestamp(max(due, mark + 1))
+            # Also before the first watermark: a key that gets no other row must still be heard again.
+            due = held[0][4] // 1000 + 1 if held else end
+            state.setTimeoutTimestamp(max(due, mark + 1, 1))
         elif state.exists:
             state.remove()
         yield pd.DataFrame(
