@@ -19,6 +19,7 @@ no rows; a null doc_id comes first; other columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -95,11 +96,18 @@ class Encoder:
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """A word as two parts that are encoded apart: a full stop or comma after a letter is one."""
+        """A word as two parts that are encoded apart: a full stop or comma after a letter is one.
+
+        It must be a letter still when it is composed and lower-cased, as the tokenizer does: some end in a mark then,
+        which makes one unit with what follows.
+        """
         if word[-1:] in (b".", b",") and len(word) > 1:
             body = word[:-1]
-            if body[-1:].isalpha() or (body[-1] >= 0x80 and body.decode("utf-8", "replace")[-1].isalpha()):
+            if body[-1:].isalpha():
                 return body, word[-1:]
+            if body[-1] >= 0x80:
+                if unicodedata.normalize("NFC", body.decode("utf-8", "replace")).lower()[-1:].isalpha():
+                    return body, word[-1:]
         return word, b""
 
     def _encode(self, word: bytes) -> bytes:
