@@ -7,7 +7,7 @@ names are ever read. A lost or repeated attempt leaves a file that nobody reads.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import pyarrow.fs as pafs
 
@@ -49,8 +49,8 @@ def get(name: str) -> bytes:
         return source.read()
 
 
-def chunks(name: str, size: int) -> Iterator[bytes]:
+def opened(name: str) -> tuple[Callable[[int, int], bytes], int]:
+    """A reader of any place of a file (offset, number of bytes), and the file's size."""
     fs, path = pafs.FileSystem.from_uri(name)
-    with fs.open_input_stream(path) as source:
-        while part := source.read(size):
-            yield part
+    source = fs.open_input_file(path)
+    return lambda at, n: source.read_at(n, at), source.size()

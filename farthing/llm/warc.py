@@ -21,8 +21,7 @@ import base64
 import binascii
 import hashlib
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farthing.llm.common import fan_out, in_batches, new_folder, stored
-from farthing.llm.files import Writer, chunks
+from farthing.llm.files import Writer, opened
 
 REVISIT_BYTES = 100
 FILE_BYTES = 32 << 20
 LEVEL = 3
 READ_STEP = 1 << 20
+FIRST_STEP = 1 << 13
 VERSION = b"WARC/1.1\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _GZIP = b"\x1f\x8b\x08"
@@ -111,50 +111,58 @@ class Damaged(Exception):
     """A record that fails a check."""
 
 
-@dataclass
-class _Source:
-    """A window on a stream of bytes; ``base`` is the offset of its first byte."""
-
-    parts: Iterator[bytes]
-    held: bytes = b""
-    base: int = 0
-    ended: bool = False
-
-    def upto(self, stop: int) -> None:
-        """Hold the bytes up to offset ``stop``, or to the end."""
-        got = [self.held]
-        size = self.base + len(self.held)
-        while size < stop and not self.ended:
-            part = next(self.parts, None)
-            if part is None:
-                self.ended = True
-            else:
-                got.append(part)
-                size += len(part)
-        self.held = b"".join(got)
-
-    def forget(self, start: int) -> None:
-        self.held = self.held[start - self.base :]
-        self.base = start
+class Source:
+    """Bytes of known size, read at any place; the last two blocks are held and nothing else."""
 
-    def view(self, start: int, stop: int) -> bytes:
-        self.upto(stop)
-        return self.held[start - self.base : stop - self.base]
+    def __init__(self, read: Callable[[int, int], bytes], size: int):
+        """``read(offset, n)`` gives the ``n`` bytes there."""
+        self.read, self.size = read, size
+        self.blocks: dict[int, bytes] = {}
+
+    @classmethod
+    def of(cls, data: bytes) -> Source:
+        return cls(lambda at, n: data[at : at + n], len(data))
 
+    def _block(self, k: int) -> bytes:
+        if k not in self.blocks:
+            if len(self.blocks) > 1:
+                del self.blocks[min(self.blocks)]
+            self.blocks[k] = self.read(k * READ_STEP, min(READ_STEP, self.size - k * READ_STEP))
+        return self.blocks[k]
 
-def _member(source: _Source, at: int) -> tuple[bytes, int]:
+    def view(self, start: int, stop: int) -> bytes:
+        """The bytes from ``start`` up to ``stop`` or the end."""
+        stop = min(stop, self.size)
+        if start >= stop:
+            return b""
+        first, last = start // READ_STEP, (stop - 1) // READ_STEP
+        if last > first + 1:
+            return self.read(start, stop - start)
+        return b"".join(self._block(k)[max(0, start - k * READ_STEP) : stop - k * READ_STEP] for k in range(first, last + 1))
+
+
+def _steps(source: Source, at: int, overlap: int = 0) -> Iterator[tuple[int, bytes]]:
+    """(offset, bytes) from ``at`` on, in pieces that grow from few bytes to ``READ_STEP``."""
+    size = FIRST_STEP
+    while view := source.view(at, at + size):
+        yield at, view
+        if at + len(view) >= source.size:
+            return
+        at += len(view) - overlap
+        size = min(2 * size, READ_STEP)
+
+
+def _member(source: Source, at: int) -> tuple[bytes, int]:
     """The content of the gzip member at ``at``, and its end."""
     press, out = zlib.decompressobj(31), []
-    while not press.eof:
-        step = source.view(at, at + READ_STEP)
-        if not step:
-            raise Damaged("truncated member")
+    for at, step in _steps(source, at):
         try:
             out.append(press.decompress(step))
         except zlib.error as e:
             raise Damaged(f"gzip: {e}") from None
-        at += len(step)
-    return b"".join(out), at - len(press.unused_data)
+        if press.eof:
+            return b"".join(out), at + len(step) - len(press.unused_data)
+    raise Damaged("truncated member")
 
 
 def _heads(data: bytes, at: int = 0) -> tuple[dict[str, str], int]:
@@ -259,7 +267,7 @@ def _in_member(data: bytes, start: int, stop: int) -> tuple[list[dict], str]:
     return found, why
 
 
-def _records(source: _Source, at: int) -> tuple[list[dict], int, str]:
+def _records(source: Source, at: int) -> tuple[list[dict], int, str]:
     """The records at ``at``, zipped or plain, their end, and why others of a member are lost; raises ``Damaged``."""
     if source.view(at, at + 3) == _GZIP:
         data, stop = _member(source, at)
@@ -273,34 +281,31 @@ def _records(source: _Source, at: int) -> tuple[list[dict], int, str]:
         head_bytes = source.view(at, at + want)
     fields, head = _heads(head_bytes)
     size = int(fields["content-length"])
-    data = source.view(at + head, at + head + size + 4)
-    if len(data) < size + 4 or data[size:] != b"\r\n\r\n":
-        raise Damaged("record length differs")
     stop = at + head + size + 4
-    return [_checked(fields, data[:size], at, stop)], stop, ""
+    if stop > source.size or source.view(stop - 4, stop) != b"\r\n\r\n":  # before the block is read
+        raise Damaged("record length differs")
+    return [_checked(fields, source.view(at + head, stop - 4), at, stop)], stop, ""
 
 
-def _next_start(source: _Source, at: int) -> int | None:
+def _next_start(source: Source, at: int) -> int | None:
     """The next place at or after ``at`` that looks like a member or a version line."""
-    while True:
-        view = source.view(at, at + READ_STEP)
+    for at, view in _steps(source, at, overlap=8):  # a mark may lie across two steps
         found = [p for p in (view.find(_GZIP), view.find(b"WARC/1.")) if p >= 0]
         if found:
             return at + min(found)
-        if len(view) < READ_STEP:
-            return None
-        at += READ_STEP - 8  # a mark may lie across two steps
-        source.forget(at)
+    return None
 
 
-def salvage(parts: Iterator[bytes]) -> Iterator[tuple[str, dict]]:
+def salvage(parts: Source | Iterable[bytes]) -> Iterator[tuple[str, dict]]:
     """("record", fields) and ("gap", fields) of one archive, in order.
 
     Every byte belongs to one of them, but for a member of which some records are lost: it is
     that of the others, and a gap. A start inside a damaged stretch counts only if the
-    whole record there passes its checks.
+    whole record there passes its checks. A length is checked against the bytes at its end before
+    the block is read, so a false one costs nothing; held are one record and two blocks of ``READ_STEP``.
     """
-    source, at, bad, why = _Source(iter(parts)), 0, None, ""
+    source = parts if isinstance(parts, Source) else Source.of(b"".join(parts))
+    at, bad, why = 0, None, ""
     while source.view(at, at + 1):
         try:
             records, stop, lost = _records(source, at)
@@ -309,7 +314,7 @@ def salvage(parts: Iterator[bytes]) -> Iterator[tuple[str, dict]]:
                 bad, why = at, str(e)
             nxt = _next_start(source, at + 1)
             if nxt is None:
-                at = _end(source, at)
+                at = source.size
                 break
             at = nxt
             continue
@@ -321,28 +326,17 @@ def salvage(parts: Iterator[bytes]) -> Iterator[tuple[str, dict]]:
         if lost:
             yield "gap", {"gap_start": at, "gap_stop": stop, "reason": lost}
         at = stop
-        source.forget(at)
     if bad is not None:
         yield "gap", {"gap_start": bad, "gap_stop": at, "reason": why}
 
 
-def _end(source: _Source, at: int) -> int:
-    """The offset of the end of the stream."""
-    while True:
-        view = source.view(at, at + READ_STEP)
-        at += len(view)
-        if len(view) < READ_STEP:
-            return at
-        source.forget(at)
-
-
 def _read(archives: DataFrame, wanted: str, schema: str, payload: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([(n, {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k]) for n, k in (f.split() for f in schema.split(", "))])
         for batch in batches:
             for name in batch.column("name").to_pylist():
                 held, size = [], 0
-                for kind, fields in salvage(chunks(name, READ_STEP)):
+                for kind, fields in salvage(Source(*opened(name))):
                     if kind == wanted:
                         if not payload:
                             fields.pop("payload", None)

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import unicodedata
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -86,6 +87,54 @@ def test_every_byte_is_a_record_or_a_gap(damage, zipped):
     assert [a for a, _ in spans] == [0, *(b for _, b in spans[:-1])] and spans[-1][1] == len(data)
 
 
+def test_false_lengths_cost_nothing():
+    """Damaged lengths, inside the file and beyond it: what is read grows with the file, what is held does not."""
+    body = b"x" * 200_000
+    parts = [warc.record_bytes(i, "u", body, hashlib.sha256(body).hexdigest(), None, False) for i in range(60)]
+    for told in (b"Content-Length: 900000000", b"Content-Length: 000600000"):
+        data = parts[0].replace(b"Content-Length: 200000", told, 1) + b"".join(parts[1:])
+        asked = []
+
+        def read(at, n, data=data, asked=asked):
+            asked.append(n)
+            return data[at : at + n]
+
+        found = list(warc.salvage(warc.Source(read, len(data))))
+        first = len(data) - sum(map(len, parts[1:]))
+        assert [(f["gap_start"], f["gap_stop"]) for k, f in found if k == "gap"] == [(0, first)]
+        assert [f["page_id"] for k, f in found if k == "record"] == list(range(1, 60))
+        assert sum(asked) < 2 * len(data) and max(asked) <= warc.READ_STEP
+
+
+def test_damaged_archives_of_the_query(spark, folder):
+    """The query's archives with bytes flipped and cut out: whole records come back, all others lie in gaps."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    archives = warc.write(pages)
+    whole = warc.read_records(archives, payload=False).collect()
+    by_file = {}
+    for r in whole:
+        by_file.setdefault(r.file, []).append(r)
+    names, lost = [], set()
+    for k, (name, rows) in enumerate(sorted(by_file.items())):
+        path = name.removeprefix("file://").removeprefix("file:")
+        with open(path, "rb") as source:
+            data = bytearray(source.read())
+        rows.sort(key=lambda r: r.start)
+        for r in rows[1::7]:
+            data[(r.start + r.stop) // 2] ^= 0x55
+            lost.add((r.page_id, r.record_type))
+        last = rows[-1]
+        lost.add((last.page_id, last.record_type))
+        with open(f"{path}-damaged", "wb") as out:
+            out.write(data[: last.stop - 3])
+        names.append((f"{name}-damaged", k))
+    damaged = spark.createDataFrame(names, "name string, k int")
+    got = warc.read_records(damaged, payload=False).collect()
+    assert {(r.page_id, r.record_type, r.payload_digest) for r in got} == {(r.page_id, r.record_type, r.payload_digest) for r in whole if (r.page_id, r.record_type) not in lost}
+    gaps = warc.read_gaps(damaged).collect()
+    assert len(lost) > 5 and all(g.gap_stop > g.gap_start for g in gaps) and len(gaps) >= len(names)
+
+
 def test_archives(spark):
     long, longer = "a" * 200, "é" * 90
     pages = [(3, "u", long), (1, "u", long), (2, None, "short"), (9, "v\r\nX: y", "short"), (4, "u", None), (5, "u", ""), (None, "u", long),
@@ -155,6 +204,17 @@ def test_words_encode_like_whole_texts(text):
     assert got == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_before_stops_encode_like_whole_texts():
+    """Every letter and mark before a comma and a full stop: some letters end in a mark once they are normalised."""
+    encoder = token_files._encoder(tokenizer())
+    letters = [c for c in map(chr, range(0x21, 0x30000)) if unicodedata.category(c)[0] in "LM"]
+    for end in ",.":
+        words = [c + end for c in letters] + [f"belediyes{c}{end}" for c in "İıẞ\u0958\u09dcé"]
+        whole = encoder.tokenizer.encode_batch(words, add_special_tokens=False)
+        wrong = [w for w, e in zip(words, whole) if np.frombuffer(encoder._encode(w.encode()), encoder.kind).tolist() != e.ids]
+        assert wrong == []
+
+
 def test_token_files(spark, docs, odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_BYTES", 60_000)
     whole = token_files._encoder(tokenizer()).tokenizer
