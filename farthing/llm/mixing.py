@@ -229,15 +229,18 @@ def takes(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, s
 def mixed(docs: DataFrame, shards: int = SHARDS, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """The drawn rows, each as often as it is taken, with ``mix_shard``, in shuffled order.
 
-    Every partition holds rows of few shards; inside a shard the order is random.
+    Every partition holds rows of few shards; inside a shard the order is random. The rows' own columns travel
+    as one, so any names will do; one named ``mix_shard`` gives way to the new one.
     """
-    rows = _sized(docs, seed)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole")
+    rows = _sized(docs.select("doc_id", "source", "text", whole), seed).drop("doc_id", "text")
     sized = stored(rows.select("source", "_size", "_key"), "sized")
     plan = shares(sized, weights, most)
+    kept = [c for c in docs.columns if c != "mix_shard"]
     if not any(s.target for s in plan):
-        return docs.limit(0).withColumn("mix_shard", F.lit(0))
+        return docs.limit(0).select(*(F.col(f"`{c}`") for c in kept), F.lit(0).alias("mix_shard"))
     dealt = _dealt(rows, sized, plan, shards, seed)
     return (
         dealt.repartition("_shard", "_slice").sortWithinPartitions("_shard", "_order")
-        .select(*docs.columns, F.col("_shard").alias("mix_shard"))
+        .select(*(F.col("_whole").getField(c).alias(c) for c in kept), F.col("_shard").alias("mix_shard"))
     )

@@ -407,3 +407,16 @@ def test_parts(spark):
     assert [tuple(a) for a in out[1].attachments] == [(1, "image", "a.png", 3), (2, "audio", "b.wav", 50), (3, "document", "c.pdf", 1536), (4, "document", "", 1), (5, "image", "d.png", 1)]
     assert out[1].media_tokens == 3 + 50 + 1536 + 2 and [text[s.start : s.start + s.length] for s in out[1].loss_spans] == ["ok"]
     assert out[2].formatted == "<|turn|>assistant\n<|end|>\n" and out[2].media_tokens == 0
+
+
+def test_mixing_takes_any_column_names(spark, odd_docs):
+    """Every name that mixing uses within, as a column of the caller's."""
+    own = ["_key", "_size", "_shard", "_extras", "_copy", "_cell", "_slice", "_order", "_grp", "_whole", "_number", "_times", "_row", "a b.c"]
+    named = odd_docs.select("*", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in own), F.lit(9).alias("mix_shard"))
+    got = mixing.mixed(named)
+    assert got.columns == named.columns
+    rows = got.collect()
+    assert rows and all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in own)
+    plain = mixing.mixed(odd_docs)
+    assert Counter((r.doc_id, r.mix_shard) for r in rows) == Counter((r.doc_id, r.mix_shard) for r in plain.collect())
+    assert mixing.mixed(named.where("false")).columns == named.columns
