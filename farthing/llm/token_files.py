@@ -19,6 +19,7 @@ no rows; a null doc_id comes first; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -64,6 +65,17 @@ class Words(dict):
         return ids
 
 
+class _Ends(dict):
+    """Whether a character is a letter and ends in one when it is composed and lower-cased."""
+
+    def __missing__(self, char: str) -> bool:
+        self[char] = found = char.isalpha() and unicodedata.normalize("NFC", char).lower()[-1].isalpha()
+        return found
+
+
+_ENDS = _Ends()
+
+
 class Encoder:
     """Ids of texts as bytes, by words."""
 
@@ -75,6 +87,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.pack = {n: struct.Struct(f"<{n}{'H' if self.kind.itemsize == 2 else 'I'}").pack for n in range(64)}
         self.known = Words(self._encode)
         self.plain = self._takes_letters()
 
@@ -105,11 +118,13 @@ class Encoder:
             body = word[:-1]
             if body[-1:].isalpha():
                 return body, word[-1:]
-            if body[-1] >= 0x80:
-                if unicodedata.normalize("NFC", body.decode("utf-8", "replace")).lower()[-1:].isalpha():
-                    return body, word[-1:]
+            if body[-1] >= 0x80 and _ENDS[body[-4:].decode("utf-8", "ignore")[-1:]]:
+                return body, word[-1:]
         return word, b""
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        return self.pack[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.kind).tobytes()
+
     def _encode(self, word: bytes) -> bytes:
         body, stop = self._parts(word)
         if stop:
@@ -117,8 +132,8 @@ class Encoder:
         text = word.decode("utf-8", "replace")
         unit = self._unit(text) if self.plain else None
         if unit is None:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        return self.known.get(word.lower()) or np.array([t.id for t in self.tokenizer.model.tokenize(unit)], self.kind).tobytes()
+            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return self.known.get(word.lower()) or self._bytes([t.id for t in self.tokenizer.model.tokenize(unit)])
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if len(self.known) > MEMORY:
