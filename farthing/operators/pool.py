@@ -46,7 +46,7 @@ def exclude_ids(df: DataFrame, ids: Sequence[int] | DataFrame, key: str = "id")
         return df
     if len(ids) <= LITERAL_IDS:
         return df.where(~F.coalesce(F.col(key).isin(list(ids)), F.lit(False)))
-    listed = small_table(df.sparkSession, [(i,) for i in ids], f"{key} bigint")
+    listed = df.sparkSession.createDataFrame([(i,) for i in ids], f"{key} bigint")
     return df.join(listed, key, "left_anti")
 
 

@@ -291,6 +291,7 @@ check("substring_index", """SELECT caliber_normalized, word, count(*) AS n, min(
     SELECT DISTINCT p_type AS cat, unnest([split_part(p_name, ' ', 1), replace(p_name, ' ', '-'), '-' || p_partkey]) AS word FROM part) w
   ON w.cat = caliber_normalized AND contains(product_url, word) GROUP BY 1, 2""")
 check("rebate_amounts", "SELECT rebate_id, max(amount) AS amount_max, count(*) AS match_count FROM best GROUP BY 1", MATCHED)
+check("match_counts", "SELECT amount, match_reason, count(*) AS match_count FROM best GROUP BY 1, 2", MATCHED)
 REACH = """(l.manufacturer = s.brand OR (s.brand = 'Brand#4' AND l.manufacturer = 'Brand#5')) AND l.caliber_normalized = s.caliber_normalized
    AND l.grain = s.grain AND (upper(l.bullet_type) = s.bullet_type OR (s.bullet_type = 'RED' AND upper(l.bullet_type) = 'BLUE'))"""
 check("alias_join", f"SELECT DISTINCT s.id AS spec_id, l.id AS listing_id FROM v_spec s JOIN v_listings l ON {REACH}")
@@ -378,6 +379,8 @@ check("coverage_counters", """SELECT retailer_id, count(*) AS total, count(*) FI
    count(*) FILTER (WHERE bullet_type IS NULL AND in_stock) AS null_in_stock, count(*) FILTER (WHERE bullet_type IS NULL AND id % 2 = 0) AS derivable_total,
    count(*) FILTER (WHERE bullet_type IS NULL AND id % 2 = 0 AND in_stock) AS derivable_in_stock,
    round(count(*) FILTER (WHERE bullet_type IS NULL AND in_stock) * 100.0 / count(*) FILTER (WHERE in_stock), 6) AS null_pct_in_stock FROM v_listings GROUP BY 1""")
+check("coverage_samples", """SELECT retailer_id, id, 'x' AS derived FROM (SELECT *, row_number() OVER (PARTITION BY retailer_id ORDER BY id) AS rn
+   FROM v_listings WHERE bullet_type IS NULL AND id % 2 = 0) WHERE rn <= 5""")
 check("value_distribution", "SELECT bullet_type, count(*) AS total, count(*) FILTER (WHERE in_stock) AS in_stock_count FROM v_listings GROUP BY 1")
 CHANGED = f"""parsed AS MATERIALIZED (SELECT retailer_id, old_value, {brand_of('bt')} AS new_value FROM (
    SELECT retailer_id, upper(left(split_part(title, ' ', 1), 1)) || lower(substr(split_part(title, ' ', 1), 2)) AS old_value, {BRAND_TEXT.format(c='product_url')} AS bt FROM v_titles)),
@@ -385,6 +388,9 @@ CHANGED = f"""parsed AS MATERIALIZED (SELECT retailer_id, old_value, {brand_of('
 check("transition_matrix", "SELECT old_value, new_value, count(*) AS rows FROM changed GROUP BY 1, 2", CHANGED)
 check("transition_top", """SELECT * FROM (SELECT retailer_id, old_value, new_value, count(*) AS rows,
    CAST(row_number() OVER (PARTITION BY retailer_id ORDER BY count(*) DESC, old_value, new_value) AS INT) AS rank FROM changed GROUP BY 1, 2, 3) WHERE rank <= 3""", CHANGED)
+check("transition_overall", """SELECT old_value, new_value, count(*) AS rows FROM changed GROUP BY 1, 2 ORDER BY rows DESC, old_value NULLS FIRST, new_value NULLS FIRST LIMIT 30""", CHANGED)
+check("transition_samples", """SELECT id, old_value, new_value FROM (SELECT *, row_number() OVER (PARTITION BY old_value, new_value ORDER BY id) AS rn FROM changed) WHERE rn <= 2""",
+      CHANGED.replace("SELECT retailer_id, old_value", "SELECT id, retailer_id, old_value").replace("SELECT retailer_id, upper", "SELECT id, retailer_id, upper"))
 check("distinct_options", """SELECT
   (SELECT string_agg(CAST(g AS VARCHAR), ',' ORDER BY g) FROM (SELECT DISTINCT grain AS g FROM stage1 WHERE grain <> 0)) AS grains,
   (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT bullet_type AS v FROM stage1 WHERE bullet_type <> '')) AS bullet_types,
@@ -622,6 +628,8 @@ check("fill_null_only", f"""SELECT outcome, CASE WHEN outcome = 'fill' THEN by_r
    SELECT stored, by_rest, CASE WHEN stored IS NOT NULL THEN 'kept' WHEN retailer_id = 3 THEN 'excluded_source' WHEN by_full IS NULL THEN 'no_match' WHEN by_rest IS NULL THEN 'ambiguous_only' ELSE 'fill' END AS outcome
      FROM (SELECT retailer_id, CASE WHEN partkey % 4 = 0 THEN 'SP' END AS stored, {type_of('t1')} AS by_full, {type_of('t2')} AS by_rest
        FROM (SELECT *, {TYPE_TEXT.format(c='product_url')} AS t1, {TYPE_TEXT.format(c=TIPLESS)} AS t2 FROM v_titles))) GROUP BY 1, 2""")
+check("fill_component_types", f"""SELECT title AS product_name, bullet_type, count(*) AS n FROM (SELECT title, {type_of('tt')} AS bullet_type FROM (
+   SELECT title, {TYPE_TEXT.format(c='title')} AS tt FROM v_titles WHERE partkey % 3 <> 0 AND partkey % 4 <> 0)) WHERE bullet_type IS NOT NULL GROUP BY 1, 2""")
 check("fill_brands", f"""SELECT title, product_url, coalesce({brand_of('bt')}, 'Unknown') AS manufacturer, count(*) AS n
    FROM (SELECT title, product_url, {BRAND_TEXT.format(c="product_url || ' ' || title")} AS bt FROM v_titles WHERE partkey % 4 <> 0) GROUP BY 1, 2, 3""")
 check("reparse_triggers", f"""SELECT old_value, new_value, count(*) AS n FROM (SELECT CASE partkey % 4 WHEN 0 THEN 'Winchester' WHEN 1 THEN 'Unknown' WHEN 2 THEN 'Acme' END AS old_value, {brand_of('bt')} AS new_value
@@ -724,6 +732,10 @@ DECIDED = """fetched AS (SELECT p_partkey AS listing_id, CASE WHEN p_partkey % 1
      CASE status WHEN 404 THEN 'http-404-gone' WHEN 503 THEN 'http-503-blocked-or-server' WHEN 301 THEN 'http-301-unexpected'
        ELSE CASE WHEN NOT has_node THEN 'no-jsonld-undetermined' WHEN avail = 'PreOrder' THEN 'schema-ambiguous:PreOrder' ELSE 'schema:' || avail END END AS reason FROM fetched)"""
 check("recheck_decision", "SELECT * FROM decided", DECIDED)
+check("recheck_report", """SELECT retailer_id, count(*) AS n, count(*) FILTER (category = 'flip_oos') AS flip_oos, count(*) FILTER (category = 'confirm_instock') AS confirm_instock,
+    count(*) FILTER (category = 'undetermined') AS undetermined, count(*) FILTER (category = 'excluded') AS excluded
+  FROM (SELECT l.retailer_id, CASE WHEN l.retailer_id = 8 THEN 'excluded' WHEN NOT d.determinable THEN 'undetermined' WHEN NOT d.in_stock THEN 'flip_oos' ELSE 'confirm_instock' END AS category
+          FROM v_listings l JOIN decided d ON d.listing_id = l.id WHERE l.in_stock) GROUP BY 1""", DECIDED)
 check("reconcile_stock", f"""SELECT id, category, CASE WHEN category IN ('excluded', 'undetermined') THEN category WHEN gate_reason = 'ok' THEN 'written' WHEN category = 'confirm_instock' THEN 'skipped_reval' ELSE 'flag_only' END AS outcome,
     gate_reason, CASE WHEN category = 'flip_oos' THEN FALSE ELSE in_stock END AS in_stock, base_price, price_per_round, category IN ('flip_oos', 'confirm_instock') AND gate_reason = 'ok' AS writes_history
   FROM (SELECT *, CASE WHEN price_per_round IS NULL THEN 'null' WHEN price_per_round < 0.01 OR price_per_round > 5 THEN 'absolute' WHEN price_per_round < lo THEN 'floor' WHEN price_per_round > hi THEN 'ceiling'
@@ -792,10 +804,10 @@ def folded(source: str, seed: str = "") -> str:
 
 check("store_on_change", "SELECT f.id, f.listing_id, o.price, o.in_stock FROM fold f JOIN obs o ON o.id = f.id WHERE f.wrote", folded("SELECT * FROM v_steps"))
 check("store_on_change_stream", "SELECT f.id, f.listing_id, o.price, o.in_stock FROM fold f JOIN obs o ON o.id = f.id WHERE f.wrote", folded("SELECT * FROM v_steps"))
-check("store_on_change_baseline", """SELECT id, listing_id FROM fold WHERE wrote AND id IN (SELECT id FROM v_steps WHERE recorded_at >= TIMESTAMP '2024-01-10 12:00:00')""", folded(
-    """SELECT * FROM v_steps WHERE recorded_at >= TIMESTAMP '2024-01-10 12:00:00' UNION ALL
-     SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY recorded_at DESC, id DESC) AS rn FROM v_steps
-       WHERE recorded_at >= TIMESTAMP '2024-01-10' AND recorded_at < TIMESTAMP '2024-01-10 12:00:00') WHERE rn = 1"""))
+check("store_on_change_baseline", """SELECT id, listing_id FROM fold WHERE wrote AND id IN (SELECT id FROM v_steps WHERE date_part('hour', recorded_at) >= 12)""", folded(
+    """SELECT * FROM v_steps WHERE date_part('hour', recorded_at) >= 12 UNION ALL
+     SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY listing_id, CAST(recorded_at AS DATE) ORDER BY recorded_at DESC, id DESC) AS rn FROM v_steps
+       WHERE date_part('hour', recorded_at) < 12) WHERE rn = 1"""))
 check("day_baseline", """SELECT listing_id, id, price, price_per_round, in_stock FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY recorded_at DESC, id DESC) AS rn
    FROM v_obs WHERE CAST(recorded_at AS DATE) = DATE '2024-01-15') WHERE rn = 1""")
 check("stamp_on_success", f"""SELECT r.id, CASE WHEN s.saved > 0 AND r.id % 2 = 0 THEN TIMESTAMP '{q.AS_OF}' ELSE r.last_scraped_at END AS last_scraped_at FROM v_retailers r

@@ -474,6 +474,15 @@ def rebate_amounts(spark, d):
     return matching.amount_rollup(matches)
 
 
+@query
+def match_counts(spark, d):
+    classes = {"small": ["SMALL", "ECONOMY", "PROMO"], "big": ["LARGE", "MEDIUM", "STANDARD"]}
+    matches = matching.keyword_match_best(
+        view(spark, d, "v_rebates"), view(spark, d, "v_eligible"), view(spark, d, "v_listings"), classes
+    )
+    return matching.match_counts(matches)
+
+
 BRAND_ALIASES = {"Brand#4": ["Brand#4", "Brand#5"]}
 TYPE_ALIASES = {"RED": ["RED", "BLUE"]}
 
@@ -701,6 +710,13 @@ def coverage_counters(spark, d):
     return out.withColumn("null_pct_in_stock", F.round("null_pct_in_stock", 6))
 
 
+@query
+def coverage_samples(spark, d):
+    derived = F.when(F.col("id") % 2 == 0, F.lit("x"))
+    rows_ = audit.coverage_counters(view(spark, d, "v_listings"), "retailer_id", "bullet_type", derived)[1]
+    return rows_.select("retailer_id", "id", F.col("_derived").alias("derived"))
+
+
 @query
 def value_distribution(spark, d):
     return audit.value_distribution(view(spark, d, "v_listings"), "bullet_type")
@@ -722,6 +738,22 @@ def transition_top(spark, d):
     return audit.transition_report(changed)["per_group"]
 
 
+def _maker_changes(spark, d):
+    return enrich.reparse_changes(
+        view(spark, d, "v_titles").withColumn("manufacturer", F.initcap(F.split("title", " ")[0])), url="product_url"
+    )
+
+
+@query
+def transition_overall(spark, d):
+    return audit.transition_report(_maker_changes(spark, d))["overall"]
+
+
+@query
+def transition_samples(spark, d):
+    return audit.transition_report(_maker_changes(spark, d))["samples"].select("id", "old_value", "new_value")
+
+
 @query
 def distinct_options(spark, d):
     brand = ("Brand#7", ["brand#7"], ["brand#7", "brand#9"], URL_BRANDS)
@@ -1133,6 +1165,14 @@ def fill_null_only(spark, d):
     return out.groupBy("outcome", "bullet_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def fill_component_types(spark, d):
+    parts = view(spark, d, "v_titles").select(
+        F.col("title").alias("product_name"), F.when(F.col("partkey") % 3 == 0, "powder").otherwise("bullet").alias("category"),
+        F.when(F.col("partkey") % 4 == 0, F.lit("SP")).alias("bullet_type"))
+    return enrich.fill_component_types(parts).groupBy("product_name", "bullet_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def fill_brands(spark, d):
     stored = view(spark, d, "v_titles").withColumn("manufacturer", F.when(F.col("partkey") % 4 == 0, F.lit("Kept"))).withColumn(
@@ -1344,6 +1384,14 @@ def reconcile_stock(spark, d):
     ).select("id", "category", "outcome", "gate_reason", "in_stock", "base_price", "price_per_round", "writes_history")
 
 
+@query
+def recheck_report(spark, d):
+    bounds = rows(spark, [("ECONOMY", 0.5, 4.0), ("PROMO", 1.0, 5.0)], "category string, lo double, hi double")
+    outcomes = pages.reconcile_stock(
+        view(spark, d, "v_listings").where("in_stock"), pages.recheck_decisions(_product_pages(spark, d)), clock.instant(AS_OF), bounds, [8])
+    return pages.recheck_report(outcomes)
+
+
 @query
 def page_verdict(spark, d):
     """One page per retailer and category, one row per card."""
@@ -1518,11 +1566,11 @@ def store_on_change_stream(spark, d):
 
 @query
 def store_on_change_baseline(spark, d):
-    every = view(spark, d, "v_steps").where(F.col("recorded_at") >= clock.instant("2024-01-10 00:00:00"))
-    early = every.where(F.col("recorded_at") < clock.instant("2024-01-10 12:00:00"))
-    late = every.where(F.col("recorded_at") >= clock.instant("2024-01-10 12:00:00"))
-    base = changes.day_baseline(early, "2024-01-10 00:00:00")
-    return changes.store_on_change(late, base).select("id", "listing_id")
+    """The second half of every day against what the first half left stored."""
+    steps = view(spark, d, "v_steps").withColumn("_day", clock.day_number(F.col("recorded_at")))
+    noon = F.pmod(clock.micros(F.col("recorded_at")), F.lit(clock.DAY)) >= F.lit(clock.DAY // 2)
+    base = series.latest_per(steps.where(~noon), ["listing_id", "_day"], ["recorded_at", "id"])
+    return changes.store_on_change(steps.where(noon).drop("_day"), base.drop("_day")).select("id", "listing_id")
 
 
 @query
