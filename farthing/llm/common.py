@@ -27,13 +27,15 @@ STEP_BYTES = 1 << 21
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only a session without the setting, as in tests, gets a folder of its own.
+    Only a local session without the setting, as in tests, gets a folder of its own.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if not named:
         named = context.getCheckpointDir()
     if not named:
+        if context.master.split("[")[0] != "local":
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="farthing-llm-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from farthing.llm import chat, cuts, huffman, mixing, resharding, token_files, warc
-from farthing.llm.common import stored
+from farthing.llm.common import shared_folder, stored
 from farthing.llm.queries import tokenizer
 
 # --- WARC ---------------------------------------------------------------------
@@ -420,3 +420,20 @@ def test_mixing_takes_any_column_names(spark, odd_docs):
     plain = mixing.mixed(odd_docs)
     assert Counter((r.doc_id, r.mix_shard) for r in rows) == Counter((r.doc_id, r.mix_shard) for r in plain.collect())
     assert mixing.mixed(named.where("false")).columns == named.columns
+
+
+@pytest.mark.parametrize("master", ["spark://elsewhere:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_its_shared_folder(master):
+    class Context:
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    Context.master = master
+    with pytest.raises(ValueError, match="share"):
+        shared_folder(Session())
