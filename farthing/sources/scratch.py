@@ -15,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local session without it gets one of its own."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="farthing-"))
         named = spark.sparkContext.getCheckpointDir()
