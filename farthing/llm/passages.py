@@ -18,10 +18,11 @@ these; the result are the ranges of words with one such document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farthing.llm.common import in_batches, pieces, stored, utf8
@@ -107,31 +108,55 @@ def _lines_of(docs: DataFrame, ids: DataFrame, least: int, banding: Banding) ->
     return in_batches(docs.select(utf8()), work, "id bigint, text binary")
 
 
-def _run_codes(w: Words, size: int) -> np.ndarray:
-    """The code of the ``size`` words from every word on, across texts."""
+def _sums(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the words' codes by place, and the factors that take a place out again."""
     n = len(w.codes)
     with np.errstate(over="ignore"):
         power, back = _powers(_STEP, n), _powers(_BACK, n)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.codes * power[:n], dtype=np.uint64)])
-        return mixed((sums[size:] - sums[: n + 1 - size]) * back[: n + 1 - size] + np.uint64(size))
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.codes * power[:n], dtype=np.uint64)]), back
 
 
-def _anchored(column: pa.Array, least: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """The words, and of every run of ``least`` words in a text: its text, its first word and its anchor.
+def _run_codes(sums: np.ndarray, back: np.ndarray, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """The code of the ``size`` words from each word of ``at`` on."""
+    with np.errstate(over="ignore"):
+        return mixed((sums[at + size] - sums[at]) * back[at] + np.asarray(size).astype(np.uint64))
+
+
+@dataclass
+class Stretches:
+    """Neighbouring runs of ``least`` words with one anchor: ``n[i]`` runs from word ``start[i]`` of all on."""
+
+    words: Words
+    sums: np.ndarray
+    back: np.ndarray
+    text: np.ndarray
+    start: np.ndarray
+    n: np.ndarray
+    anchor: np.ndarray
+
+
+def _anchored(column: pa.Array, least: int) -> Stretches:
+    """All runs of ``least`` words of the texts, as stretches with one anchor, of ``least`` runs at most.
 
     The anchor is the smallest code of the runs of ``(least + 1) // 2`` words inside; equal runs have equal ones.
     """
     w = words_of(column, SPACED)
+    sums, back = _sums(w)
     if len(w.codes) < least:
-        return w, *(np.zeros(0, np.int64),) * 2, np.zeros(0, np.uint64)
+        return Stretches(w, sums, back, *(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64))
     inner = (least + 1) // 2
-    low, width, wanted = _run_codes(w, inner), 1, least - inner + 1
+    low, width, wanted = _run_codes(sums, back, np.arange(len(w.codes) - inner + 1), inner), 1, least - inner + 1
     while width < wanted:  # the smallest of ``width`` neighbours
         step = min(width, wanted - width)
         low, width = np.minimum(low[:-step], low[step:]), width + step
     text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
     at = np.flatnonzero(text[: len(low)] == text[least - 1 :])
-    return w, text[at], at, low[at]
+    anchor = low[at]
+    opens = np.ones(len(at), bool)
+    opens[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)  # between two texts some words start no run
+    since = np.arange(len(at)) - np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
+    first = np.flatnonzero(since % least == 0)
+    return Stretches(w, sums, back, text[at[first]], at[first], np.diff(np.append(first, len(at))), anchor[first])
 
 
 def _anchors(docs: DataFrame, least: int) -> DataFrame:
@@ -141,42 +166,66 @@ def _anchors(docs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             for a, b in pieces(batch, "text"):
                 part = batch.slice(a, b - a)
-                _, text, _, code = _anchored(part.column("text"), least)
-                fresh = np.ones(len(code), bool)
-                fresh[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
+                found = _anchored(part.column("text"), least)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code[fresh].view(np.int64)), part.column("doc_id").take(pa.array(text[fresh]))], ["code", "doc_id"]
+                    [pa.array(found.anchor.view(np.int64)), part.column("doc_id").take(pa.array(found.text))], ["code", "doc_id"]
                 )
 
     return in_batches(docs.select(F.col("doc_id").cast("bigint"), utf8()), work, "code bigint, doc_id bigint")
 
 
-def _windows(docs: DataFrame, least: int, anchors: Sieve, sieve: Sieve | None = None) -> DataFrame:
-    """(code, doc_id, start, stop) of the runs of ``least`` words whose anchor, and whose own code, the sieves let pass."""
-    shared = docs.sparkSession.sparkContext.broadcast((anchors, sieve))
+def _stretches(docs: DataFrame, least: int, anchors: Sieve) -> DataFrame:
+    """(code, doc_id, start, runs): the stretches whose anchor the sieve lets pass.
+
+    ``code`` is that of all words they cover, ``runs`` has the codes of their runs of ``least`` words.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(anchors)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, sieve = shared.value
+        anchors = shared.value
         for batch in batches:
             for a, b in pieces(batch, "text"):
                 part = batch.slice(a, b - a)
-                w, text, at, anchor = _anchored(part.column("text"), least)
-                met = anchors.might_hold(anchor)
-                text, at = text[met], at[met]
-                code = (_run_codes(w, least)[at] if len(at) else np.zeros(0, np.uint64)).view(np.int64)
-                if sieve is not None:
-                    met = sieve.might_hold(code)
-                    code, text, at = code[met], text[met], at[met]
-                start = at - w.first[text]
+                found = _anchored(part.column("text"), least)
+                met = np.flatnonzero(anchors.might_hold(found.anchor))
+                text, start, n = found.text[met], found.start[met], found.n[met]
+                code = _run_codes(found.sums, found.back, start, n + (least - 1))
+                ends = np.concatenate([[0], np.cumsum(n)])
+                at = np.arange(ends[-1]) + np.repeat(start - ends[:-1], n)
+                runs = _run_codes(found.sums, found.back, at, least)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code), part.column("doc_id").take(pa.array(text)), pa.array(start), pa.array(start + least)],
-                    ["code", "doc_id", "start", "stop"],
+                    [
+                        pa.array(code.view(np.int64)), part.column("doc_id").take(pa.array(text)), pa.array(start - found.words.first[text]),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(runs.view(np.int64))),
+                    ],
+                    ["code", "doc_id", "start", "runs"],
                 )
 
-    schema = "code bigint, doc_id bigint, start bigint, stop bigint"
+    schema = "code bigint, doc_id bigint, start bigint, runs array<bigint>"
     return in_batches(docs.select(F.col("doc_id").cast("bigint"), utf8()), work, schema)
 
 
+def _shared_runs(docs: DataFrame, least: int) -> DataFrame:
+    """(doc_id, start, stop, first): ranges of words whose runs of ``least`` words another document has too.
+
+    Equal stretches meet first, by the code of all their words; only one of each kind is cut into
+    its runs, and what these find goes back to all.
+    """
+    anchors = sieve_of(_repeated(_anchors(docs, least), "code").select("code"))
+    rows = stored(_stretches(docs, least, anchors), "stretches")
+    kinds = rows.groupBy("code").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.first("runs").alias("runs"))
+    cut = stored(kinds, "kinds").select("code", "first", "last", F.posexplode("runs").alias("place", "run"))
+    met = cut.groupBy("run").agg(F.min("first").alias("least"), F.max("last").alias("most")).where("least < most")
+    places = cut.select("code", "place", "run").join(stored(met.select("run", "least"), "repeated"), "run")
+    # Neighbouring runs with one first document are one range; a kind has ``least`` runs at most.
+    island = F.col("place") - F.row_number().over(Window.partitionBy("code", "least").orderBy("place"))
+    ranges = places.withColumn("island", island).groupBy("code", "least", "island").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    found = rows.select("code", "doc_id", "start").join(stored(ranges.select("code", "least", "low", "high"), "ranges"), "code")
+    return found.select(
+        "doc_id", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high") + least).alias("stop"), F.col("least").alias("first")
+    )
+
+
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
     """(key, first): what occurs in two documents or more, with the smallest one."""
     ends = rows.groupBy(key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -236,10 +285,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, banding: Banding = BA
     member = lines.select("doc_id", "start", "stop", F.col("f1").alias("node")).join(joined, "node", "left")
     member = stored(member.select("doc_id", "start", "stop", F.coalesce("component", "node").alias("component")), "paragraphs")
     near = member.join(_repeated(member, "component"), "component")
-    anchors = sieve_of(_repeated(_anchors(docs, least), "code").select("code"))
-    repeated = _repeated(_windows(docs, least, anchors), "code")
-    same = _windows(docs, least, anchors, sieve_of(repeated.select("code"))).join(repeated, "code")
-    spans = near.select("doc_id", "start", "stop", "first").unionByName(same.select("doc_id", "start", "stop", "first"))
+    spans = near.select("doc_id", "start", "stop", "first").unionByName(_shared_runs(docs, least))
     own = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "first")).alias("spans"))
     found = in_batches(own, _ranges, "doc_id bigint, start bigint, stop bigint, first_doc bigint")
     return found.withColumn("removed", F.col("first_doc") < F.col("doc_id"))
