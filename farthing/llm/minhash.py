@@ -11,7 +11,7 @@ Large groups: equal sets are one class from the start. In a band group of more t
 ``SMALL_GROUP`` classes only a few pivots are compared with all; classes that this
 joins need no more comparing. What is left apart is compared block by block: two
 blocks of bounded size meet in one task, which counts what each full set of one shares with
-all of the other at once, and passes on links alone. No list of pairs is made, and none is left out.
+all of the other at once, and passes on a spanning forest of the links. No list of pairs is made, and none is left out.
 """
 
 from __future__ import annotations
@@ -169,13 +169,16 @@ def _sizes_fit(banding: Banding, x: str = "n", y: str = "m"):
     return F.least(x, y) * banding.below >= F.greatest(x, y) * banding.above
 
 
-def _groups(banded: DataFrame) -> DataFrame:
-    """Band groups of two or more classes; of groups with the same members one is kept."""
-    sizes = banded.groupBy("key").agg(
-        F.count(F.lit(1)).alias("held"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("code"), F.min("id").alias("least")
-    )
-    one = sizes.where("held > 1").groupBy("held", "code", "least").agg(F.min("key").alias("key"))
-    return stored(one.select("key", "held"), "groups")
+def _members(banded: DataFrame) -> DataFrame:
+    """(key, held, id, n): the members of band groups of two or more classes; of groups with the same members one is kept.
+
+    The many keys of one class only are counted and left before anything else of them moves.
+    """
+    again = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "repeated")
+    held = stored(banded.join(again, "key").select("key", "held", "id", "n"), "colliding")
+    sums = held.groupBy("key", "held").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("code"), F.min("id").alias("least"))
+    one = sums.groupBy("held", "code", "least").agg(F.min("key").alias("key"))
+    return stored(held.join(stored(one.select("key"), "groups"), "key", "left_semi"), "members")
 
 
 def similar(classes: DataFrame, texts: Texts, banding: Banding) -> DataFrame:
@@ -185,7 +188,7 @@ def similar(classes: DataFrame, texts: Texts, banding: Banding) -> DataFrame:
     text binary) of a table of ids, one or more for each.
     """
     banded = classes.select(F.explode("keys").alias("key"), "id", "n")
-    members = stored(banded.join(_groups(banded), "key").select("key", "held", "id", "n"), "members")
+    members = _members(banded)
     few, many = members.where(F.col("held") <= SMALL_GROUP), members.where(F.col("held") > SMALL_GROUP)
     small = few.select("key", F.col("id").alias("a"), "n").join(
         few.select("key", F.col("id").alias("b"), F.col("n").alias("m")), "key"
@@ -213,7 +216,8 @@ def _apart(many: DataFrame, joined: DataFrame, texts: Texts, banding: Banding) -
     """Links inside large groups between classes that no common smallest neighbour has joined.
 
     In each group the classes outside its largest set of joined ones meet all members, block
-    against block; one task holds two blocks.
+    against block; one task holds two blocks. Of the links between two blocks a spanning
+    forest is passed on, over what is joined already.
     """
     labelled = stored(
         many.join(joined.select(F.col("node").alias("id"), "component"), "id", "left")
@@ -250,21 +254,26 @@ def _apart(many: DataFrame, joined: DataFrame, texts: Texts, banding: Banding) -
     sets = stored(_sets(texts(ids), banding).distinct(), "sets")
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
-        x, y = f[f["left"]], f[~f["left"]]
-        found = set()
+        f = f.sort_values(["left", "id"])  # the members to meet, then those that meet them
+        y, x = f[~f["left"]], f[f["left"]]
+        found = []
         if len(x) and len(y):
-            ids, labels, sizes = (y[c].to_numpy() for c in ("id", "label", "n"))
+            ids, sizes = (y[c].to_numpy() for c in ("id", "n"))
+            _, group = np.unique(f["label"], return_inverse=True)  # joined so far; a link joins two groups
             flat = np.concatenate([np.frombuffer(m, np.uint64) for m in y["members"]])
             starts = np.cumsum(sizes) - sizes
-            for i, label, n, members in zip(x["id"], x["label"], x["n"], x["members"]):
-                near = (labels != label) & (np.minimum(sizes, n) * banding.below >= np.maximum(sizes, n) * banding.above)
+            for k, (i, n, members) in enumerate(zip(x["id"], x["n"], x["members"]), len(y)):
+                near = (group[: len(y)] != group[k]) & (np.minimum(sizes, n) * banding.below >= np.maximum(sizes, n) * banding.above)
                 if near.any():
                     own = np.frombuffer(members, np.uint64)
                     at = np.searchsorted(own, flat)
                     common = np.add.reduceat(own[np.minimum(at, n - 1)] == flat, starts, dtype=np.int64)
                     near &= banding.below * common >= banding.above * (sizes + n - common)
-                    found.update((min(i, o), max(i, o)) for o in ids[near].tolist())
-        return pd.DataFrame(sorted(found), columns=["a", "b"]).astype("int64")
+                    _, one = np.unique(group[: len(y)][near], return_index=True)
+                    for o in np.flatnonzero(near)[one]:
+                        found.append((min(i, ids[o]), max(i, ids[o])))
+                    group[np.isin(group, group[: len(y)][near])] = group[k]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return meets.join(sets, "id").groupBy("key", "i", "j").applyInPandas(meet, "a bigint, b bigint").distinct()
 
