@@ -1,8 +1,9 @@
 """Join of texts with the keywords that they contain, through an inverted index of trigrams.
 
-A keyword can only be inside a text that has all its trigrams. Each keyword is looked up under the one
-of its trigrams that the fewest texts have; an equality join proposes those texts, and
-``contains`` confirms. A keyword with a trigram that no text has meets nothing at all.
+A keyword can only be inside a text that has all its trigrams; one with a trigram that no text has meets nothing
+at all. The others are looked up at the places of a text that show a keyword's first trigram: the stretch of the
+keyword's length there must be the keyword, which an equality join decides. So a text is asked for a few stretches,
+however many keywords share a trigram, and every pair that the join makes is a hit.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from farthing.sources.scratch import stored
 GRAM = 3
 #: Keywords per key that are tried on every text of the key: about as many tests as a text has trigrams.
 FEW = 64
+#: Keywords that a join may gather on the driver to send them to all tasks.
+GATHERED = 100_000
 
 
 def grams(text: Column) -> Column:
@@ -31,9 +34,8 @@ def rarest_grams(texts: DataFrame, words: DataFrame, on: Sequence[str], text: st
     ``words`` are distinct and three letters long at least. A word with a trigram without a text is left out.
     """
     asked = words.select(*on, word, F.explode(grams(F.col(word))).alias("_gram"))
-    wanted = asked.select(*on, "_gram").distinct()
     listed = texts.select(*on, F.explode(grams(F.col(text))).alias("_gram"))
-    counts = listed.join(wanted, [*on, "_gram"], "left_semi").groupBy(*on, "_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    counts = listed.groupBy(*on, "_gram").agg(F.count(F.lit(1)).alias("_texts"))
     return (
         asked.join(counts, [*on, "_gram"], "left")
         .groupBy(*on, word)
@@ -62,11 +64,32 @@ def containing(texts: DataFrame, words: DataFrame, on: Sequence[str], text: str,
     marked = told.join(sizes, on).withColumn("_plain", (F.length(word) < GRAM) | (F.col("_long") <= few)).drop("_long")
     found = block_join(usable, marked.where("_plain").drop("_plain"), on, spread_by, word).where(hit)
     looked_up = marked.where("not _plain").drop("_plain")
-    large = usable.join(looked_up.select(*on).distinct(), on, "left_semi")
-    rare = stored(rarest_grams(large, looked_up.select(*on, word).distinct(), on, text, word), "grams")
-    key = [*on, "_gram"]
-    named = looked_up.join(rare, [*on, word])
-    pairs = named.groupBy(*key).agg(F.max("_texts").alias("_left"), F.count(F.lit(1)).alias("_right"))
-    posted = large.select("*", F.explode(grams(F.col(text))).alias("_gram")).join(rare.select(*key).distinct(), key, "left_semi")
-    more = block_join(posted, named.drop("_texts"), key, spread_by, word, pairs).where(hit)
-    return found.unionByName(more.drop("_gram"))
+    large = usable.join(looked_up.select(*on).distinct(), on, "left_semi").where(F.length(text) >= GRAM)
+    rare = stored(rarest_grams(large, looked_up.select(*on, word).distinct(), on, text, word).select(*on, word), "grams")
+    counts = looked_up.groupBy(*on, word).agg(F.count(F.lit(1)).alias("_right"))
+    total, often = counts.agg(F.count(F.lit(1)), F.max("_right")).first()
+    named = _not_gathered(looked_up.join(_not_gathered(rare, total), [*on, word], "left_semi"), total)
+    asked = stretches(large, rare, on, text, word)
+    if often == 1:
+        return found.unionByName(asked.join(named, [*on, word]))
+    pairs = asked.groupBy(*on, word).agg(F.count(F.lit(1)).alias("_left")).join(_not_gathered(counts, total), [*on, word])
+    return found.unionByName(block_join(asked, named, [*on, word], spread_by, word, pairs))
+
+
+def _not_gathered(words: DataFrame, count: int) -> DataFrame:
+    """Many keywords are shuffled, however small their file is."""
+    return words.hint("merge") if count > GATHERED else words
+
+
+def stretches(texts: DataFrame, words: DataFrame, on: Sequence[str], text: str, word: str) -> DataFrame:
+    """``texts`` once per stretch, under the name ``word``, that starts like a word of its key and is as long as that word.
+
+    A stretch that comes twice in a text counts at its first place, so no row is repeated.
+    """
+    on = list(on)
+    shapes = stored(words.select(*on, F.substring(word, 1, GRAM).alias("_gram"), F.length(word).alias("_len")).distinct(), "shapes")
+    places = F.explode(F.sequence(F.lit(1), F.length(text) - (GRAM - 1))).alias("_at")
+    opened = texts.select("*", places).withColumn("_gram", F.substring(F.col(text), F.col("_at"), F.lit(GRAM)))
+    met = opened.join(shapes, [*on, "_gram"]).where(F.col("_at") + F.col("_len") - 1 <= F.length(text))
+    cut = met.withColumn(word, F.substring(F.col(text), F.col("_at"), F.col("_len")))
+    return cut.where(F.position(F.col(word), F.col(text)) == F.col("_at")).select(*texts.columns, word)

@@ -136,3 +136,12 @@ def test_cells_rise_with_the_value(spark):
     df = spark.createDataFrame([(v,) for v in [*values, NAN]], "v double").withColumn("cell", stats.signed_cell(F.col("v")))
     cells = [r.cell for r in df.collect()]
     assert cells == sorted(cells) and len(set(cells)) >= len(cells) - 1
+
+
+def test_lookup_asks_for_few_stretches(spark):
+    """Numbers that share their trigrams: every pair that the lookup makes is a hit."""
+    texts = spark.createDataFrame([("k", i, f"https://shop.example.com/ring-{i:06d}") for i in range(3000)], "k string, i int, t string")
+    words = spark.createDataFrame([("k", f"-{i:06d}") for i in range(3000)], "k string, w string")
+    assert substring.stretches(texts, words, ["k"], "t", "w").count() == 3000
+    got = substring.containing(texts, words, ["k"], "t", "w", "i", few=0)
+    assert {(r.i, r.w) for r in got.collect()} == {(i, f"-{i:06d}") for i in range(3000)} and got.count() == 3000
