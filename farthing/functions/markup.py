@@ -6,7 +6,7 @@ regular expressions and embedded JSON as VARIANT.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -43,34 +43,52 @@ def _numbered(digits: Column, base: int) -> Column:
     return F.when(wrong, F.lit("\ufffd")).when(number.between(128, 159), F.coalesce(known, char)).otherwise(char)
 
 
+#: What may follow an ampersand in a reference.
+_HEAD = "#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;?"
+
+
+def _once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
 def unescape(value: Column) -> Column:
     """Character references decoded in one pass, so nothing decodes twice.
 
-    Named ones by the whole HTML table (some also without semicolon, the longest
+    Each different reference of a text is decoded once and looked up where it stands. Named ones by the whole HTML table (some also without semicolon, the longest
     such name first), decimal and hexadecimal ones of any length.
     """
     bare = "^(" + "|".join(BARE_NAMES) + ")"
 
-    def decoded(piece):
-        hexed = F.regexp_extract(piece, "^#[xX]([0-9a-fA-F]+);?", 1)
-        plain = F.regexp_extract(piece, "^#([0-9]+);?", 1)
-        full = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*;)", 1)
-        short = F.regexp_extract(piece, bare, 1)
-        after_number = F.regexp_replace(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", "")
-        usual = _named(full, _USUAL)
+    def decoded(head):
+        hexed = F.regexp_extract(head, "^#[xX]([0-9a-fA-F]+);?", 1)
+        plain = F.regexp_extract(head, "^#([0-9]+);?", 1)
+        full = F.regexp_extract(head, "^([A-Za-z][A-Za-z0-9]*;)", 1)
+        short = F.regexp_extract(head, bare, 1)
         return (
-            F.when(usual.isNotNull(), F.concat(usual, F.substr(piece, F.length(full) + 1)))
-            .when(~piece.rlike("^[#A-Za-z]"), F.concat(F.lit("&"), piece))
-            .when(hexed != "", F.concat(_numbered(hexed, 16), after_number))
-            .when(plain != "", F.concat(_numbered(plain, 10), after_number))
-            .when(_named(full).isNotNull(), F.concat(_named(full), F.substr(piece, F.length(full) + 1)))
-            .when(short != "", F.concat(_named(short), F.substr(piece, F.length(short) + 1)))
-            .otherwise(F.concat(F.lit("&"), piece))
+            F.when(hexed != "", _numbered(hexed, 16))
+            .when(plain != "", _numbered(plain, 10))
+            .when(_named(full, _USUAL).isNotNull(), _named(full, _USUAL))
+            .when(_named(full).isNotNull(), _named(full))
+            .when(short != "", F.concat(_named(short), F.substr(head, F.length(short) + 1)))
+            .otherwise(F.concat(F.lit("&"), head))
         )
 
-    pieces = F.split(value, "&")
-    tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
-    return F.when(F.size(pieces) > 1, F.concat(pieces[0], F.array_join(tail, ""))).otherwise(value)
+    def whole(text_):
+        heads = F.regexp_extract_all(text_, F.lit(f"&({_HEAD})?"), F.lit(1))
+        rests = F.split(text_, f"&(?:{_HEAD})?")
+
+        def joined(heads, known):
+            chars = F.concat(F.array(F.lit("")), F.transform(heads, lambda h: F.try_element_at(known, h)))
+            return F.array_join(F.zip_with(chars, rests, lambda c, r: F.concat(c, r)), "")
+
+        def looked_up(heads):
+            entries = F.transform(F.array_distinct(heads), lambda h: F.struct(h.alias("head"), decoded(h).alias("char")))
+            return _once(F.map_from_entries(entries), lambda known: joined(heads, known))
+
+        return F.when(F.contains(text_, F.lit("&")), _once(heads, looked_up)).otherwise(text_)
+
+    return _once(value, whole)
 
 
 def collapse(value: Column) -> Column:
@@ -131,14 +149,19 @@ def table_rows(html: Column) -> Column:
     )
 
 
-def table_cell(html: Column, label: str, col: int = 1, width: int | None = 2) -> Column:
-    """Cell ``col`` of the first row whose first cell is the label."""
-    rows = F.filter(
-        table_rows(html),
+def cell_of(rows: Column, label: str, col: int = 1, width: int | None = 2) -> Column:
+    """Cell ``col`` of the first of the ``table_rows`` whose first cell is the label."""
+    found = F.filter(
+        rows,
         lambda cells: (F.size(cells) == width if width else F.size(cells) > col)
         & (F.lower(F.get(cells, F.lit(0))) == label.lower()),
     )
-    return text.truthy(F.get(F.get(rows, F.lit(0)), F.lit(col)))
+    return text.truthy(F.get(F.get(found, F.lit(0)), F.lit(col)))
+
+
+def table_cell(html: Column, label: str, col: int = 1, width: int | None = 2) -> Column:
+    """Cell ``col`` of the first row whose first cell is the label."""
+    return cell_of(table_rows(html), label, col, width)
 
 
 def labelled_field(html: Column, label: str) -> Column:

@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date, datetime
 
 import pytest
@@ -266,3 +267,25 @@ def test_near_keyword(spark):
     texts = [("the price is 1,250 dollars", True), ("1250 x price", True), ("price" + " y" * 30 + " 1250", False), ("11250 price", False), ("price 12501", False), (None, False)]
     df = spark.createDataFrame([(t, 1250) for t, _ in texts], "t string, n long").select(markup.near_keyword(F.col("t"), F.col("n"), ["price"], 30).alias("h"))
     assert [r.h for r in df.collect()] == [w for _, w in texts]
+
+
+def test_references_are_looked_up_once_a_text(spark):
+    """Many references of a long text: each kind is searched in the whole table once."""
+    import time
+
+    df = spark.createDataFrame([("a&period;&eacute;b&#111;&nosuch;&uuml" * 100_000,)], "t string")
+    started = time.monotonic()
+    got = df.select(F.sha2(markup.unescape(F.col("t")), 256)).first()[0]
+    assert time.monotonic() - started < 10
+    assert got == hashlib.sha256(("a.ébo&nosuch;ü" * 100_000).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", ["component_rows", "ballistics_facts"])
+def test_page_work_is_dealt(spark, tmp_path, name):
+    """A small file of many parts is worked on by more tasks than the one that reads it."""
+    from farthing.plans import queries
+
+    rows = [(i, f"red bolt {i}", f"Brand#{i % 5}", "SMALL", i % 50 + 1, 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    df.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert queries.REGISTRY[name](spark, str(tmp_path)).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
