@@ -31,7 +31,8 @@ from farthing.llm.common import in_batches, new_folder, pieces, utf8
 from farthing.llm.words import ALNUM, words_of
 
 WINDOW = 13
-SHARD_WORDS = 1 << 20
+#: Words of a shard: about a hundred bytes each while it is sorted, in every worker of an executor.
+SHARD_WORDS = 1 << 18
 #: Bytes of test items in one file, which a task holds at once.
 BLOCK_BYTES = 4 << 20
 #: Occurrences that one step expands.

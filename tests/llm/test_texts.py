@@ -147,3 +147,17 @@ def test_models_are_distributions():
         assert np.isfinite(r.values).all() and np.isfinite(r.others).all()
         same = toxicity.ratios(cells, ordinary, ordinary, trust)
         assert np.abs(same.values).max() < 1e-6 and np.abs(same.others).max() < 1e-6
+
+
+def test_shards_stay_small(tmp_path):
+    """A task never sorts many more words than a shard has, so that two workers fit an executor."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from farthing.llm import contamination
+
+    pq.write_table(pa.table({"item_id": pa.array([1], pa.int64()), "text": pa.array([b"w1 w2 w3"])}), tmp_path / "a.parquet")
+    words = " ".join(f"w{i % 900}" for i in range(2000)).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array([words] * 600)], ["text"])
+    shards = [shard for _, shard in contamination._shards(iter([batch]), str(tmp_path))]
+    assert sum(int(s.sizes.sum()) for s in shards) == 1_200_000 and max(len(s.tokens) for s in shards) < 1 << 20
