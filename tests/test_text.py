@@ -238,3 +238,14 @@ def test_pack_signals(spark):
     got = df.select(enrich.pack_from_signals(F.col("l"), F.col("t"), F.col("s"))).collect()
     assert [r[0] for r in got] == [50, 40, 20, None]
     assert packs.PACK_RULES["label"]
+
+
+def test_noise_words_stand_in_every_noise(spark):
+    """Texts without a noise word skip the pattern; letters that count as s or i where case does not are known."""
+    from farthing.rulebook import brands
+
+    cases = ["9mm Colt", "357 sig", "45 long colt mag", "17 WIN rimfire", "22 rem mag", "9 wın", "357 ſig", "357 sıg-x", "5 ſıg", "308 WİN", "9 ring", "", None]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    plain = F.regexp_replace(F.translate(F.lower(F.col("t")), "-_/", "   "), brands.BRAND_NOISE, " ")
+    got = df.select(text.brand_text(F.col("t")).alias("a"), plain.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and all(any(w in p for w in brands.NOISE_WORDS) for p in ("colt", "rem", "win", "sig"))
