@@ -55,8 +55,9 @@ def _once(value: Column, made: Callable[[Column], Column]) -> Column:
 def unescape(value: Column) -> Column:
     """Character references decoded in one pass, so nothing decodes twice.
 
-    Each different reference of a text is decoded once and looked up where it stands. Named ones by the whole HTML table (some also without semicolon, the longest
-    such name first), decimal and hexadecimal ones of any length.
+    Each different reference of a text is decoded once and looked up where it stands. Named
+    ones by the whole HTML table (some also without semicolon, the longest such name first),
+    decimal and hexadecimal ones of any length.
     """
     bare = "^(" + "|".join(BARE_NAMES) + ")"
 
