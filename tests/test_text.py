@@ -249,3 +249,105 @@ def test_noise_words_stand_in_every_noise(spark):
     plain = F.regexp_replace(F.translate(F.lower(F.col("t")), "-_/", "   "), brands.BRAND_NOISE, " ")
     got = df.select(text.brand_text(F.col("t")).alias("a"), plain.alias("b")).collect()
     assert [r.a for r in got] == [r.b for r in got] and all(any(w in p for w in brands.NOISE_WORDS) for p in ("colt", "rem", "win", "sig"))
+
+
+def odd_texts(spark):
+    """Every character of the first plane around a word, and texts at the edges of the helpers."""
+    plane = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    cases = [
+        None, "", " ", "\n", "/", "//", "a/\n", "a/b\r\n", "x/y//", "x/y/\n/", "a ", "x/ ", "  x  ", "9mm \u2013\u00a050\u00d710 \u00ae\u2122 ", "a\u202fb\u2022",
+        "a - b_(c).d", "a \t\n\x0b b", "a   b     c", "LİMİT 5", "lımıt of 7", "Limit 0, limit 12", "limit 1000 Max Qty: 5", "5 per cuſtomer", "9 PER HOUSEHOLD",
+        "1,000 Rounds Case", "20 roundſ", "20 Rnds", "٥ rounds", "5,0 rd", "99999999999999999999 rounds 7 count", "50rd Box x 10", "50/20", "3/20", "pack of 5", "20/box", "box of 25",
+        "20 PACK 9 PK", "Gr 5 grain", "5-GR", "(50) ", "-20", "5K",
+    ]
+    return spark.createDataFrame([(t,) for t in cases + [f"{c}x{c}" for c in plane] + [f"20{c}rd / 5{c}per order" for c in plane]], "t string")
+
+
+def test_text_helpers_agree_with_their_patterns(spark):
+    """What the helpers answer without a regex is what the regexes say."""
+    t = F.col("t")
+    glyphs = F.translate(
+        text.filled(t), "\u2013\u2014\u2018\u2019\u201c\u201d\u00b7\u2022\u00d7\u00a0\u202f\u00ae\u2122", "--''\"\"**x  ")
+
+    def number(pattern, group=1):
+        return F.regexp_replace(text.captured(t, "(?iU)" + pattern, group), ",", "").try_cast("bigint")
+
+    def counted(pattern, low, high, mode):
+        value = number(pattern) * number(pattern, 2) if mode == "product" else number(pattern)
+        return value if high >= packs.ANY else F.when(value.between(low, high), value)
+
+    limits = [F.when(number(p).between(1, 999), number(p)) for p in packs.LIMIT_PATTERNS]
+    pairs = [
+        (text.clean_title(t), F.regexp_replace(glyphs, r"(?U)^\s+|\s+$", "")),
+        (text.type_text(t), F.trim(F.regexp_replace(F.translate(F.lower(text.filled(t)), "-_/.()", "      "), r"\s+", " "))),
+        (text.product_key(t), text.truthy(F.regexp_extract(F.regexp_replace(t, r"/+$", ""), r"([^/]*)$", 1))),
+        (text.purchase_limit(t), F.coalesce(*limits).cast("int")),
+        (text.weight_number(t), text.captured(t, r"(?iU)(\d+)[\s-]*gr(?:ain)?").try_cast("int")),
+        *[(text.pack_count(t, name), F.coalesce(*[counted(*r) for r in rule])) for name, rule in packs.PACK_RULES.items()],
+    ]
+    wrong = [F.count_if(~a.eqNullSafe(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
+    assert set(odd_texts(spark).select(*wrong).first()) == {0}
+
+
+def test_folded_shows_what_a_caseless_regex_finds(spark):
+    t = F.col("t")
+    low = text.folded(t)
+    hidden = [F.count_if(t.rlike("(?iU)" + c) & ~rules.shows(low, c)).alias(c) for c in "abcdefghijklmnopqrstuvwxyz"]
+    assert set(odd_texts(spark).select(*hidden).first()) == {0}
+
+
+@pytest.mark.parametrize(
+    "pattern, literals",
+    [(r"\ba\b|\bbc\b", ["a", "bc"]), (r"(?=.*\bmc\b)(?=.*\b(?:umc|rem)\b)", ["mc"]), (r"(?:\b27\s*win\b(?!\s*(?:x|y)))|(?:\b\.27\b)", ["win", ".27"]),
+     (r"(?:ab)?", []), (r"(?=ab)?c*", []), (r"a*|b", []), (r"[|]|ab", []), (r"\|x|yz", ["x", "yz"]), (r"(?!ab)", []), ("a|", []), (r"\bv[\s-]?max\b", ["max"])],
+)
+def test_required_literals(pattern, literals):
+    assert rules.required_literals(pattern) == literals
+
+
+def test_every_tabled_regex_has_a_literal():
+    """A rule without one runs its regex on every text that reaches it."""
+    from farthing.rulebook import categories, types
+
+    patterns = [p for p, _ in types.TYPE_CASCADE] + [p for _, specs in categories.CATEGORY_CASCADE for kind, p in specs if kind == "re"]
+    assert all(rules.required_literals(p) for p in patterns)
+
+
+def test_guards_never_change_a_cascade(spark):
+    """Rule sets behind shared literals and letters agree with the plain tests of all their specs."""
+    from farthing.rulebook import brands, categories, types
+
+    tables = [specs for _, specs in categories.CATEGORY_CASCADE] + [[("re", p)] for p, _ in types.TYPE_CASCADE[::3] + types.TYPE_CASCADE[-2:]] + [[("sub", w)] for w, _ in brands.BRAND_ALIASES[::12]]
+    tables += [[("sub", "ab"), ("sub", "abc"), ("re", r"\bab\d"), ("re", r"x\s*c\b|q"), ("re", r"\d+")], [("sub", "")]]
+    bare = [p.replace(r"\b", "").replace(r"\s+", " ").replace(r"\s*", "").replace("?", "") for specs in tables for _, p in specs]
+    words = [None, "", "xc", "x  c", "q", "7", "umc 9 mc", "remington mc", "hornady cx", "270 win", "270 win short", ".270 wsm", ".270 x", "45 auto rim", "9 mm7"]
+    df = spark.createDataFrame([(w,) for w in [*words, *bare, *["9 " + b + "é" for b in bare]]], "t string").withColumn("has", rules.letters(F.col("t")))
+    t, wrong = F.col("t"), []
+    for i, specs in enumerate(tables):
+        plain = [t.contains(p) if kind == "sub" else t.rlike("(?U)" + p) for kind, p in specs]
+        any_of = plain[0]
+        for test in plain[1:]:
+            any_of = any_of | test
+        for k, got in enumerate((rules.spec_hit(t, specs), rules.spec_hit(t, specs, F.col("has")))):
+            wrong.append(F.count_if(~got.eqNullSafe(any_of)).alias(f"c{i}_{k}"))
+    assert set(df.select(*wrong).first()) == {0}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_regexes_of_a_card_run_once(spark):
+    """A pattern stands once in the plan, and long cascades stand outside whole-stage code."""
+    df = spark.createDataFrame([("Wolf 9mm 50 rounds limit 2", "a/b")], "title string, url string")
+    t = F.col("title")
+    assert plan_of(df.select(text.pack_count(t).alias("n"))).count("regexp_extract(") == len(packs.PACK_RULES["simple"])
+    assert plan_of(df.select(text.purchase_limit(t).alias("n"))).count("regexp_extract(") == len(packs.LIMIT_PATTERNS)
+    for frame in (enrich.enrich_type(df, "title", "url"), enrich.enrich_brand(df, "title", "url"), enrich.enrich_category(df)):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            lines = plan_of(frame).splitlines()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        long = [line for line in lines if len(line) > 5000]
+        assert long and not any(line.lstrip(" :+-").startswith("*(") for line in long)
